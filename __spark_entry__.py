@@ -9,9 +9,11 @@ results.
 
 from __future__ import annotations
 
+import dataclasses
+import functools
 import os
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,8 +57,18 @@ def _ntz(df: DataFrame) -> DataFrame:
     ])
 
 
+@functools.lru_cache(maxsize=1)
+def _table_defs():
+    return tuple(default_silver_tables())
+
+
 def _tables():
-    return {t.name: t for t in default_silver_tables()}
+    return {t.name: dataclasses.replace(t) for t in _table_defs()}
+
+
+@functools.lru_cache(maxsize=1)
+def _gold_specs():
+    return default_gold_specs()
 
 
 def _checked(spark, sf, name):
@@ -64,8 +76,28 @@ def _checked(spark, sf, name):
     return silver_check(spark, _tables()[name], fixtures.bronze(spark, sf, name))
 
 
-def _silver(spark, sf) -> dict[str, DataFrame]:
-    return {n: _checked(spark, sf, n).valid() for n in (ACCOUNT, PROFILE, EMAIL)}
+class _Silver(Mapping):
+    """Silver tables of one run, each built on first use."""
+
+    def __init__(self, spark, sf):
+        self.spark, self.sf, self.built = spark, sf, {}
+
+    def __getitem__(self, name):
+        if name not in (ACCOUNT, PROFILE, EMAIL):
+            raise KeyError(name)
+        if name not in self.built:
+            self.built[name] = _checked(self.spark, self.sf, name).valid()
+        return self.built[name]
+
+    def __iter__(self):
+        return iter((ACCOUNT, PROFILE, EMAIL))
+
+    def __len__(self):
+        return 3
+
+
+def _silver(spark, sf) -> Mapping:
+    return _Silver(spark, sf)
 
 
 def _no_stamp(df: DataFrame) -> DataFrame:
@@ -82,8 +114,7 @@ def _report(df: DataFrame) -> DataFrame:
 
 
 def _gold(spark, sf, name):
-    silver = {k: v for k, v in _silver(spark, sf).items()}
-    return gold_view(spark, default_gold_specs()[name], silver)
+    return gold_view(spark, _gold_specs()[name], _silver(spark, sf))
 
 
 def _silver_ledger(spark, sf) -> DataFrame:
@@ -243,11 +274,11 @@ def q_latest_per_account(spark, sf):
 
 
 def q_scd1_current(spark, sf):
-    return _ntz(build_gold(spark, default_gold_specs()[CURRENT], _silver(spark, sf)))
+    return _ntz(build_gold(spark, _gold_specs()[CURRENT], _silver(spark, sf)))
 
 
 def q_scd2_history(spark, sf):
-    return _ntz(build_gold(spark, default_gold_specs()[HISTORY], _silver(spark, sf)))
+    return _ntz(build_gold(spark, _gold_specs()[HISTORY], _silver(spark, sf)))
 
 
 def q_scd2_tracked(spark, sf):
@@ -308,7 +339,7 @@ def _stream_cdc(spark, sf, name, stream_path=None, spec=None, rules=None, source
         if stream_path is None:
             _stream_silver_email(spark, sf, layout)
         source = _silver_as_stream(spark, layout, stream_path)
-    spec = spec or default_gold_specs()[name]
+    spec = spec or _gold_specs()[name]
     _run(cdc_stream(spark, spec, {EMAIL: source}, layout, buckets=8, rules=rules))
     return layout, spec, cdc_view(spark, spec, layout)
 
@@ -337,7 +368,7 @@ def q_stream_gold_quarantine(spark, sf):
     import copy
 
     _prepare(spark)
-    spec = copy.deepcopy(default_gold_specs()[CURRENT])
+    spec = copy.deepcopy(_gold_specs()[CURRENT])
     spec.cfg["apply_dqx"] = True
     t = _tables()[EMAIL]
     source = stage(spark, t, fixtures.bronze_stream(spark, sf, EMAIL))

@@ -12,14 +12,16 @@ so the ordered scan is split into range chunks instead:
 1. ``repartitionByRange(keys, seq)``: the sampled range partitioner cuts a hot
    key into several contiguous pieces; the partition id is the chunk id.
 2. Windows over ``(keys, chunk)``: de-duplicate equal ``(key, seq)`` (they are
-   always in one chunk), previous tracked values, next sequence, running count
-   of changes inside the chunk.
-3. A per-(key, chunk) summary (one row per chunk) stitches chunk borders: the
-   previous chunk's last tracked values, the next chunk's first sequence and
-   the number of changes before the chunk.  Its window per key spans at most
-   as many rows as there are partitions.
-4. Island id = changes before the chunk + changes up to the row; one
-   partial-aggregated ``groupBy(keys, island)`` builds the versions.
+   always in one chunk), previous / next tracked values, next sequence, and
+   the running start of the current island.
+3. Chunk borders: keys are contiguous in range order, so only the first and
+   the last key of a chunk can continue in a neighbouring chunk.  Their
+   per-(key, chunk) summaries -- at most two per chunk, a bound set by the
+   partition count, not by the data -- are stitched with a small window and
+   broadcast back.
+4. A version is the last row of its island (the next row differs or there is
+   none): a filter, no aggregation.  ``__START_AT`` is the island's first
+   sequence, ``__END_AT`` the next row's sequence.
 
 Semantics (decided, since the managed CDC engine is not public):
 * rows with a NULL key or NULL sequence are not applied;
@@ -104,78 +106,77 @@ def scd2(
     """Type 2 history: one row per version, ``__START_AT`` / ``__END_AT`` validity interval."""
     d, keys = _prepare(df, keys, sequence_by, except_columns)
     cols = d.columns
-    seq = sequence_by
-    others = [c for c in cols if c not in keys and c != seq]
+    seq = _q(sequence_by)
+    others = [c for c in cols if c not in keys and c != sequence_by]
     tracked = tracked_columns(cols, keys, track_history_columns, track_history_except_columns)
-    spark = d.sparkSession
-    n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = chunks or int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kcols = [_q(k) for k in keys]
+    part = [*kcols, F.col("_chunk")]
 
     # 1. contiguous (key, seq) ranges; the partition id names the chunk
-    chunked = d.repartitionByRange(n, *kcols, _q(seq)).withColumn("_chunk", F.spark_partition_id())
-    part = [*kcols, F.col("_chunk")]
+    chunked = d.repartitionByRange(n, *kcols, seq).withColumn("_chunk", F.spark_partition_id())
 
-    # 2a. de-duplicate (key, seq): order by seq, then remaining columns descending
-    w_dedup = Window.partitionBy(*part).orderBy(_q(seq), *[_q(c).desc_nulls_last() for c in others])
+    # 2. inside a chunk: de-duplicate (key, seq), neighbours, running island start
+    w_dedup = Window.partitionBy(*part).orderBy(seq, *[_q(c).desc_nulls_last() for c in others])
     deduped = (
-        chunked.withColumn("_same_seq", F.coalesce(F.lag(_q(seq)).over(w_dedup) == _q(seq), F.lit(False)))
-        .where(~F.col("_same_seq"))
-        .drop("_same_seq")
+        chunked.withColumn("_dup", F.coalesce(F.lag(seq).over(w_dedup) == seq, F.lit(False)))
+        .where(~F.col("_dup"))
+        .drop("_dup")
     )
-    # 2b. neighbours and running change count inside the chunk
     t = F.struct(*[_q(c) for c in tracked])
-    w = Window.partitionBy(*part).orderBy(_q(seq))
+    w = Window.partitionBy(*part).orderBy(seq)
+    w_run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = deduped.select(
-        *[_q(c) for c in cols],
-        "_chunk",
+        *[_q(c) for c in cols], "_chunk",
         t.alias("_t"),
         F.lag(t).over(w).alias("_prev_t"),
-        F.lead(_q(seq)).over(w).alias("_next_in"),
-    ).withColumn(
-        "_chg", F.when(F.col("_prev_t").isNull() | F.col("_t").eqNullSafe(F.col("_prev_t")), 0).otherwise(1)
+        F.lead(t).over(w).alias("_next_t"),
+        F.lead(seq).over(w).alias("_next_in"),
     )
-    rows = rows.withColumn("_cum", F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-
-    # 3. chunk borders: one row per (key, chunk)
-    summary = rows.groupBy(*part).agg(
-        F.min_by("_t", _q(seq)).alias("_first_t"),
-        F.max_by("_t", _q(seq)).alias("_last_t"),
-        F.min(_q(seq)).alias("_first_seq"),
-        F.sum("_chg").alias("_n_in"),
+    starts_here = F.col("_prev_t").isNotNull() & ~F.col("_t").eqNullSafe(F.col("_prev_t"))
+    rows = rows.select(
+        "*",
+        F.max(F.when(starts_here, seq)).over(w_run).alias("_start_in"),
+        F.min(seq).over(w_run).alias("_first_in"),
     )
+
+    # 3. chunk borders: per (key, chunk) summary, kept only for a chunk's first and last key
+    per_kc = rows.groupBy(*part).agg(
+        F.min_by("_t", seq).alias("_first_t"),
+        F.max_by("_t", seq).alias("_last_t"),
+        F.min(seq).alias("_first_seq"),
+        F.max(F.when(starts_here, seq)).alias("_last_start_in"),
+    )
+    kstruct = F.struct(*kcols)
+    ends = per_kc.groupBy("_chunk").agg(F.min(kstruct).alias("_lo"), F.max(kstruct).alias("_hi"))
+    edge = per_kc.join(F.broadcast(ends), "_chunk").where(
+        (kstruct == F.col("_lo")) | (kstruct == F.col("_hi"))
+    ).drop("_lo", "_hi")
     wk = Window.partitionBy(*kcols).orderBy("_chunk")
-    summary = summary.select(
-        *part,
-        F.when(F.lag("_last_t").over(wk).isNull(), 1)
-        .when(F.col("_first_t").eqNullSafe(F.lag("_last_t").over(wk)), 0)
-        .otherwise(1)
-        .alias("_first_chg"),
+    prev_last = F.lag("_last_t").over(wk)
+    edge = edge.select(
+        *part, "_first_seq",
+        (prev_last.isNull() | ~F.col("_first_t").eqNullSafe(prev_last)).alias("_first_chg"),
+        F.lead("_first_t").over(wk).alias("_next_chunk_t"),
         F.lead("_first_seq").over(wk).alias("_next_chunk_seq"),
-        "_n_in",
+        "_last_start_in",
     )
-    summary = summary.withColumn(
-        "_before",
-        F.coalesce(
-            F.sum(F.col("_first_chg") + F.col("_n_in")).over(wk.rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ),
-    ).drop("_n_in")
-
-    # 4. islands -> versions
-    joined = rows.join(summary, [*keys, "_chunk"]).select(
+    chunk_last_start = F.coalesce(F.col("_last_start_in"), F.when(F.col("_first_chg"), F.col("_first_seq")))
+    edge = edge.withColumn(
+        "_carry", F.last(chunk_last_start, ignorenulls=True).over(wk.rowsBetween(Window.unboundedPreceding, -1))
+    ).drop("_first_seq", "_last_start_in")
+
+    # 4. versions = last row of each island (at most 2 edge rows per chunk are broadcast)
+    j = rows.join(F.broadcast(edge), [*keys, "_chunk"], "left")
+    first_chg = F.coalesce(F.col("_first_chg"), F.lit(True))
+    start = F.coalesce(F.col("_start_in"), F.when(first_chg, F.col("_first_in")), F.col("_carry"))
+    is_last = F.when(
+        F.col("_next_in").isNotNull(), ~F.col("_next_t").eqNullSafe(F.col("_t"))
+    ).otherwise(F.col("_next_chunk_t").isNull() | ~F.col("_next_chunk_t").eqNullSafe(F.col("_t")))
+    return j.where(is_last).select(
         *[_q(c) for c in cols],
-        (F.col("_before") + F.col("_first_chg") + F.col("_cum")).alias("_island"),
-        F.coalesce(F.col("_next_in"), F.col("_next_chunk_seq")).alias("_next_seq"),
-    )
-    versions = joined.groupBy(*kcols, "_island").agg(
-        F.min(_q(seq)).alias(START_AT),
-        F.max_by(F.struct(*[_q(c) for c in cols if c not in keys]), _q(seq)).alias("_v"),
-        F.max_by("_next_seq", _q(seq)).alias(END_AT),
-    )
-    return versions.select(
-        *[_q(c) if c in keys else F.col("_v").getField(c).alias(c) for c in cols],
-        F.col(START_AT),
-        F.col(END_AT),
+        start.alias(START_AT),
+        F.coalesce(F.col("_next_in"), F.col("_next_chunk_seq")).alias(END_AT),
     )
 
 

@@ -8,9 +8,7 @@ equally on a streaming DataFrame (all expressions are row-local).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, SparkSession
 
 # Fixed values of the fixture mapping: id prefixes and width, the "far future"
 # date used to plant not-in-the-future failures, and the business segments.
@@ -21,84 +19,76 @@ FAR_FUTURE = "2999-01-01"
 BUSINESS_SEGMENTS = ["MACHINERY", "BUILDING", "AUTOMOBILE"]
 
 
-def _padded(prefix: str, key: Column) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(key.cast("string"), ID_WIDTH, "0"))
+def _padded(prefix: str, key: str) -> str:
+    return f"concat('{prefix}', lpad(CAST({key} AS STRING), {ID_WIDTH}, '0'))"
 
 
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+_READS: dict = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    """The driver's parquet table (the footer is read once per session and path)."""
+    key = (id(spark), table_path(sf_dir, name))
+    df = _READS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _READS[key] = spark.read.parquet(key[1])
+    return df
+
+
+# The mapping is written as SQL expressions: one parse per column on the JVM side.
+_SEGMENTS = ", ".join(f"'{s}'" for s in BUSINESS_SEGMENTS)
+
+ACCOUNT_EXPRS = [
+    f"""CASE WHEN o_orderkey % 97 = 0 THEN CAST(NULL AS STRING)
+         WHEN o_orderkey % 89 = 0 THEN {_padded(ACCOUNT_PREFIX.lower(), 'o_orderkey')}
+         ELSE {_padded(ACCOUNT_PREFIX, 'o_orderkey')} END AS ACCOUNT_ID""",
+    f"{_padded(CUSTOMER_PREFIX, 'o_custkey')} AS CUSTOMER_ID",
+    """CASE WHEN o_orderkey % 71 = 0 THEN 'PENDING' WHEN o_orderkey % 73 = 0 THEN ' active '
+         WHEN o_orderstatus = 'O' THEN 'ACTIVE' WHEN o_orderstatus = 'P' THEN 'INACTIVE'
+         ELSE 'CLOSED' END AS ACCOUNT_STATUS""",
+    "CASE WHEN o_orderkey % 83 = 0 THEN 'xx' ELSE concat(chr(o_custkey % 26 + 65), 'X') END AS SERVICE_STATE",
+    f"CASE WHEN o_orderkey % 79 = 0 THEN DATE'{FAR_FUTURE}' ELSE CAST(o_orderdate AS DATE) END AS OPEN_DATE",
+]
+
+PROFILE_EXPRS = [
+    f"{_padded(CUSTOMER_PREFIX, 'c_custkey')} AS CUSTOMER_ID",
+    "CASE WHEN _b THEN CAST(NULL AS STRING) ELSE concat('First', CAST(c_custkey AS STRING)) END AS FIRST_NAME",
+    "CASE WHEN _b OR c_custkey % 37 = 0 THEN CAST(NULL AS STRING) "
+    "ELSE concat('Last', CAST(c_custkey AS STRING)) END AS LAST_NAME",
+    "CASE WHEN _b THEN c_name END AS ORG_NAME",
+    """CASE WHEN c_custkey % 43 = 0 THEN 'GOVT' WHEN _b AND c_custkey % 41 = 0 THEN 'business '
+         WHEN _b THEN 'BUSINESS' ELSE 'RESIDENTIAL' END AS CUSTOMER_TYPE""",
+]
+
+EMAIL_EXPRS = [
+    f"{_padded(ACCOUNT_PREFIX, 'user_id')} AS ACCOUNT_ID",
+    """CASE WHEN event_id % 101 = 0 THEN 'user@domain' WHEN event_id % 103 = 0 THEN CAST(NULL AS STRING)
+         ELSE concat('user', CAST(user_id AS STRING), '.', CAST(event_id % 3 AS STRING), '@example.com')
+         END AS EMAIL_ADDRESS""",
+    """CASE WHEN event_id % 113 = 0 THEN ' valid ' WHEN event_type = 'error' THEN 'BOUNCED'
+         WHEN event_type = 'signup' THEN 'INVALID' ELSE 'VALID' END AS EMAIL_STATUS""",
+    "CASE WHEN event_id % 109 = 0 THEN 'maybe' WHEN value >= 10 THEN 'Y' ELSE 'N' END AS PREFERRED_EMAIL_FLAG",
+    # driver timestamps are timestamp_ntz; contracts speak TIMESTAMP (session time zone is UTC)
+    f"CASE WHEN event_id % 107 = 0 THEN TIMESTAMP'{FAR_FUTURE} 00:00:00' ELSE CAST(ts AS TIMESTAMP) END AS UPDATED_AT",
+]
 
 
 def account_from_orders(orders: DataFrame) -> DataFrame:
-    k = F.col("o_orderkey")
-    return orders.select(
-        F.when(k % 97 == 0, F.lit(None).cast("string"))
-        .when(k % 89 == 0, _padded(ACCOUNT_PREFIX.lower(), k))
-        .otherwise(_padded(ACCOUNT_PREFIX, k))
-        .alias("ACCOUNT_ID"),
-        _padded(CUSTOMER_PREFIX, F.col("o_custkey")).alias("CUSTOMER_ID"),
-        F.when(k % 71 == 0, "PENDING")
-        .when(k % 73 == 0, " active ")
-        .when(F.col("o_orderstatus") == "O", "ACTIVE")
-        .when(F.col("o_orderstatus") == "P", "INACTIVE")
-        .otherwise("CLOSED")
-        .alias("ACCOUNT_STATUS"),
-        F.when(k % 83 == 0, "xx")
-        .otherwise(F.concat(F.chr(F.col("o_custkey") % 26 + 65), F.lit("X")))
-        .alias("SERVICE_STATE"),
-        F.when(k % 79 == 0, F.to_date(F.lit(FAR_FUTURE)))
-        .otherwise(F.col("o_orderdate").cast("date"))
-        .alias("OPEN_DATE"),
-    )
+    return orders.selectExpr(*ACCOUNT_EXPRS)
 
 
 def profile_from_customer(customer: DataFrame) -> DataFrame:
-    k = F.col("c_custkey")
     # every 53rd customer has no profile, so account -> profile has orphans
-    c = customer.where(k % 53 != 0).withColumn("_b", F.col("c_mktsegment").isin(BUSINESS_SEGMENTS))
-    b = F.col("_b")
-    return c.select(
-        _padded(CUSTOMER_PREFIX, k).alias("CUSTOMER_ID"),
-        F.when(b, F.lit(None).cast("string")).otherwise(F.concat(F.lit("First"), k.cast("string"))).alias("FIRST_NAME"),
-        F.when(b | (k % 37 == 0), F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("Last"), k.cast("string")))
-        .alias("LAST_NAME"),
-        F.when(b, F.col("c_name")).alias("ORG_NAME"),
-        F.when(k % 43 == 0, "GOVT")
-        .when(b & (k % 41 == 0), "business ")
-        .when(b, "BUSINESS")
-        .otherwise("RESIDENTIAL")
-        .alias("CUSTOMER_TYPE"),
-    )
+    return customer.selectExpr("*", f"c_mktsegment IN ({_SEGMENTS}) AS _b").where("c_custkey % 53 <> 0").selectExpr(
+        *PROFILE_EXPRS)
 
 
 def email_from_events(events: DataFrame) -> DataFrame:
-    e = F.col("event_id")
-    return events.select(
-        _padded(ACCOUNT_PREFIX, F.col("user_id")).alias("ACCOUNT_ID"),
-        F.when(e % 101 == 0, "user@domain")
-        .when(e % 103 == 0, F.lit(None).cast("string"))
-        .otherwise(
-            F.concat(
-                F.lit("user"), F.col("user_id").cast("string"), F.lit("."), (e % 3).cast("string"), F.lit("@example.com")
-            )
-        )
-        .alias("EMAIL_ADDRESS"),
-        F.when(e % 113 == 0, " valid ")
-        .when(F.col("event_type") == "error", "BOUNCED")
-        .when(F.col("event_type") == "signup", "INVALID")
-        .otherwise("VALID")
-        .alias("EMAIL_STATUS"),
-        F.when(e % 109 == 0, "maybe").when(F.col("value") >= 10, "Y").otherwise("N").alias("PREFERRED_EMAIL_FLAG"),
-        # driver timestamps are timestamp_ntz; contracts speak TIMESTAMP (session time zone is UTC)
-        F.when(e % 107 == 0, F.to_timestamp(F.lit(FAR_FUTURE)))
-        .otherwise(F.col("ts").cast(T.TimestampType()))
-        .alias("UPDATED_AT"),
-    )
+    return events.selectExpr(*EMAIL_EXPRS)
 
 
 BRONZE_SOURCES = {
