@@ -173,6 +173,44 @@ class Checked:
             F.inline(rows),
         )
 
+    def observed(self, name: str | None = None):
+        """(valid rows observed on the way, Observation): the counts arrive with the write of valid rows.
+
+        The observation sits before the filter, so it sees every input row; only
+        the aggregated counts (one number per rule) reach the driver.
+        """
+        from pyspark.sql import Observation
+
+        obs = Observation(name or f"dq_{uuid.uuid4().hex[:8]}")
+        err, warn = self.has_error, self.has_warning
+        watched = self.flagged.observe(
+            obs,
+            F.count(F.lit(1)).alias("input_row_count"),
+            F.count_if(~err & ~warn).alias("valid_row_count"),
+            F.count_if(err).alias("error_row_count"),
+            F.count_if(warn).alias("warning_row_count"),
+            *[F.count_if(F.col(f)).alias(f"failed_{i}") for i, f in enumerate(self.flags)],
+        )
+        return watched.where(~err).select(*self._data_cols()), obs
+
+    def metrics_from_counts(self, spark, counts: dict, output_location: str, quarantine_location: str,
+                            run_id: str | None = None) -> DataFrame:
+        """The ledger entry from already observed counts (no further pass over the data)."""
+        import datetime as _dt
+        import json as _json
+
+        items = [
+            {"check_name": r.name,
+             "error_count": int(counts[f"failed_{i}"]) if r.criticality == ERROR else 0,
+             "warning_count": int(counts[f"failed_{i}"]) if r.criticality == WARN else 0}
+            for i, r in enumerate(self.rules)
+        ]
+        values = [str(int(counts[k])) for k in METRIC_NAMES[:4]] + [_json.dumps(items, separators=(",", ":"))]
+        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        run_id = run_id or str(uuid.uuid4())
+        rows = [(output_location, quarantine_location, run_id, now, k, v) for k, v in zip(METRIC_NAMES, values)]
+        return spark.createDataFrame(rows, METRICS_SCHEMA)
+
     # -- execution helpers ----------------------------------------------------
     def persist(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> "Checked":
         return Checked(self.flagged, self.rules, self.quarantine_warnings, _flagged=self.flagged.persist(level))

@@ -2,9 +2,9 @@
 
 ``silver_check`` returns a lazy ``Checked`` whose ``valid()`` is the silver
 table, ``quarantine()`` the quarantine table and ``metrics()`` the ledger
-entry.  ``write_silver`` fans one checked frame out to the three sinks with a
-single evaluation of the rules (persist, three writes, unpersist); it is used
-per micro-batch by the streaming runner and for whole-table batch runs.
+entry.  ``write_silver`` fans one checked frame out to the three sinks: per
+micro-batch by persisting the (bounded) batch once, for a whole table by one
+observed scan for valid rows and counts plus one filtered scan for quarantine.
 """
 
 from __future__ import annotations
@@ -104,6 +104,21 @@ def locations(layout: Layout, table: SilverTable) -> tuple[str, str]:
     return layout.name("silver", table.target_table), layout.name("quarantine", f"{table.target_table}_quarantine")
 
 
+def write_checked(checked: Checked, layout: Layout, layer: str, name: str, q_layer_name: tuple[str, str],
+                  metrics_name: str, out_loc: str, q_loc: str, run_id: str | None = None) -> None:
+    """Whole-table batch fan-out without caching the table.
+
+    Job 1 writes the valid rows and observes all counts on the way (one scan);
+    job 2 writes the quarantine (filter of the same plan); the ledger entry is
+    built from the observed counts.  Nothing but the counts reaches the driver.
+    """
+    valid, obs = checked.observed()
+    layout.write(valid, layer, name, mode="overwrite")
+    layout.write(checked.quarantine(), *q_layer_name, mode="overwrite")
+    m = checked.metrics_from_counts(checked.flagged.sparkSession, obs.get, out_loc, q_loc, run_id)
+    layout.write(m.coalesce(1), "metrics", metrics_name, mode="overwrite")
+
+
 def write_silver(
     checked: Checked,
     layout: Layout,
@@ -111,14 +126,21 @@ def write_silver(
     batch_id: int | None = None,
     run_id: str | None = None,
 ) -> None:
-    """Write valid rows, quarantine and metrics from one evaluation of the rules.
+    """Write valid rows, quarantine and metrics of one check run.
 
-    With ``batch_id`` (streaming) every output is partitioned by ``_batch_id`` and
-    only that partition is overwritten, so a replayed micro-batch replaces its
-    own earlier attempt instead of duplicating it.
+    Whole table (``batch_id`` None): see ``write_checked`` (no cache).
+    Micro-batch: the batch is persisted so the rules run once per row, and
+    every output goes to its own ``_batch_id`` partition, overwritten on
+    replay, so a replayed micro-batch replaces its earlier attempt instead of
+    duplicating it.
     """
     out_loc, q_loc = locations(layout, table)
     run_id = run_id or str(uuid.uuid4())
+    if batch_id is None:
+        write_checked(checked, layout, "silver", table.target_table,
+                      ("quarantine", f"{table.target_table}_quarantine"), f"{table.target_table}_metrics",
+                      out_loc, q_loc, run_id)
+        return
     c = checked.persist()
     try:
         outputs = [
@@ -127,10 +149,7 @@ def write_silver(
             (c.metrics(out_loc, q_loc, run_id), "metrics", f"{table.target_table}_metrics"),
         ]
         for df, layer, name in outputs:
-            if batch_id is None:
-                layout.write(df, layer, name, mode="overwrite")
-            else:
-                layout.write(df.withColumn("_batch_id", F.lit(int(batch_id))), layer, name,
-                             mode="overwrite", partition_by="_batch_id")
+            layout.write(df.withColumn("_batch_id", F.lit(int(batch_id))), layer, name,
+                         mode="overwrite", partition_by="_batch_id")
     finally:
         c.unpersist()
