@@ -63,7 +63,7 @@ def run_silver(spark: SparkSession, layout: Layout, tables: list[SilverTable], s
 
 
 def run_gold(spark: SparkSession, layout: Layout, specs: list[GoldSpec], domain: str,
-             streaming_cdc: bool = False, buckets: int = 64) -> None:
+             streaming_cdc: bool = False, buckets: int | None = None) -> None:
     """Gold tables of one domain, in registry order."""
     from ..streaming.cdc import cdc_stream, cdc_view
 

@@ -69,3 +69,16 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
         for s in fs.listStatus(p)
         if s.isDirectory() and not s.getPath().getName().startswith(("_", "."))
     )
+
+
+def marker_names(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """Names of files in ``path`` starting with ``prefix`` (small metadata markers)."""
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.getPath().getName().startswith(prefix))
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    p, fs = _fs(spark, path)
+    fs.create(p, True).close()

@@ -31,10 +31,12 @@ from pyspark.sql import functions as F
 from ..operators.quality import check
 from ..operators.scd import _prepare, scd1, scd2
 from ..plans.gold import GoldSpec, gold_rules, gold_source
-from ..sources.tables import Layout, path_exists
+from ..sources.tables import Layout, marker_names, path_exists, touch
 
 BUCKET = "_bucket"
-DEFAULT_BUCKETS = 64
+# Fixed at state creation.  Pick it so one bucket holds ~128 MB - 1 GB of state:
+# a micro-batch rewrites only the buckets its keys fall into.
+DEFAULT_BUCKETS = 256
 
 
 def bucket_of(keys, buckets: int):
@@ -52,6 +54,15 @@ def _swap_in(spark: SparkSession, staging: str, target: str) -> None:
     )
 
 
+def check_bucket_count(spark: SparkSession, state_root: str, buckets: int) -> None:
+    """The bucket count is fixed when the state is created (a key must stay in one bucket)."""
+    found = marker_names(spark, state_root, "_BUCKETS_")
+    if not found:
+        touch(spark, f"{state_root}/_BUCKETS_{buckets}")
+    elif found != [f"_BUCKETS_{buckets}"]:
+        raise ValueError(f"CDC state {state_root} was created with {found[0][9:]} buckets, not {buckets}")
+
+
 def _touched(spark: SparkSession, df: DataFrame) -> list[int]:
     return [r[0] for r in df.select(BUCKET).distinct().collect()]
 
@@ -64,6 +75,7 @@ def _state(spark: SparkSession, path: str, touched: list[int]) -> DataFrame | No
 
 def merge_scd1(spark, batch_df, state_root, keys, sequence_by, except_columns=(), buckets=DEFAULT_BUCKETS, batch_id=0):
     keys = [keys] if isinstance(keys, str) else list(keys)
+    check_bucket_count(spark, state_root, buckets)
     staging = f"{state_root}__staging/current/batch={batch_id}"
     target = f"{state_root}/current"
     if not path_exists(spark, f"{staging}/_SUCCESS"):
@@ -97,6 +109,7 @@ def _dedup_log(df: DataFrame, keys, sequence_by: str) -> DataFrame:
 def merge_scd2(spark, batch_df, state_root, keys, sequence_by, except_columns=(), track_history_columns=None,
                track_history_except_columns=None, buckets=DEFAULT_BUCKETS, batch_id=0):
     keys = [keys] if isinstance(keys, str) else list(keys)
+    check_bucket_count(spark, state_root, buckets)
     log_target, hist_target = f"{state_root}/log", f"{state_root}/history"
     log_staging = f"{state_root}__staging/log/batch={batch_id}"
     hist_staging = f"{state_root}__staging/history/batch={batch_id}"
@@ -132,7 +145,7 @@ def cdc_stream(
     spec: GoldSpec,
     silver_streams: dict[str, DataFrame],
     layout: Layout,
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
     rules=None,
     available_now: bool = True,
     processing_time: str | None = None,
@@ -157,6 +170,7 @@ def cdc_stream(
         raise ValueError("cdc_stream needs streaming silver sources")
     gate_rules = (rules if rules is not None else gold_rules(spec)) if spec.apply_gate else None
     excluded = spec.cfg.get("except_columns") or []
+    buckets = int(buckets or spec.cfg.get("cdc_buckets") or DEFAULT_BUCKETS)
     state_root = layout.state_path(spec.cdc_target)
     name = query_name or f"cdc_{spec.cdc_target}"
 

@@ -102,3 +102,11 @@ def test_cdc_stream_guards(spark, layout, silver_email):
     spec = default_gold_specs()["customer_email_contact_current"]
     with pytest.raises(ValueError, match="streaming"):
         cdc.cdc_stream(spark, spec, {EMAIL: silver_email}, layout)
+
+
+def test_bucket_count_is_fixed_at_creation(spark, silver_email):
+    root = new_scratch_dir(spark, "buckets")
+    cdc.merge_scd1(spark, silver_email, root, ["ACCOUNT_ID"], "UPDATED_AT", ["processed_time"], buckets=4, batch_id=0)
+    with pytest.raises(ValueError, match="created with 4 buckets"):
+        cdc.merge_scd1(spark, silver_email, root, ["ACCOUNT_ID"], "UPDATED_AT", ["processed_time"], buckets=8,
+                       batch_id=1)
