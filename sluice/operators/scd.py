@@ -20,7 +20,10 @@ so the ordered scan is split into range chunks instead:
    partition count, not by the data -- are stitched with a small window and
    broadcast back.
 4. A version is the last row of its island (the next row differs or there is
-   none): a filter, no aggregation.  ``__START_AT`` is the island's first
+   none): a filter, no aggregation.
+
+The windowed rows feed two consumers (steps 3 and 4); they are checkpointed
+once into the shared checkpoint folder instead of being recomputed.  ``__START_AT`` is the island's first
    sequence, ``__END_AT`` the next row's sequence.
 
 Semantics (decided, since the managed CDC engine is not public):
@@ -41,6 +44,14 @@ START_AT = "__START_AT"
 END_AT = "__END_AT"
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into ``spark.checkpoint.dir`` (survives lost executors)."""
+    from ..session import scratch_root
+
+    scratch_root(df.sparkSession)  # sets a folder only when the session has none (tests)
+    return df.checkpoint(eager=True)
+
+
 def _q(c: str) -> Column:
     return F.col(f"`{c}`")
 
@@ -139,6 +150,12 @@ def scd2(
         F.max(F.when(starts_here, seq)).over(w_run).alias("_start_in"),
         F.min(seq).over(w_run).alias("_first_in"),
     )
+    # Two consumers follow (the chunk summary and the final filter).  Their plans
+    # differ after column pruning, so Spark would not reuse the shuffles and would
+    # scan, range-partition and sort the input once per consumer.  Cut the lineage
+    # instead: a reliable checkpoint in the shared checkpoint folder, which keeps
+    # the (key, chunk) partitioning, so neither consumer shuffles the rows again.
+    rows = materialize(rows)
 
     # 3. chunk borders: per (key, chunk) summary, kept only for a chunk's first and last key
     per_kc = rows.groupBy(*part).agg(
