@@ -41,6 +41,8 @@ class Layout:
     def write(self, df: DataFrame, layer: str, table: str, mode: str = "overwrite", partition_by=None) -> None:
         w = df.write.mode(mode)
         if partition_by:
+            # only the partitions present in df are replaced, whatever the session default
+            w = w.option("partitionOverwriteMode", "dynamic")
             w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
         w.parquet(self.path(layer, table))
 
