@@ -4,8 +4,8 @@ from sluice.operators.joins import left_join_many
 def test_left_join_many_equals_left_outer_with_hot_key(spark):
     left = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "n")], "k int, l string")
     right = spark.createDataFrame([(1, i) for i in range(500)] + [(2, 7), (None, 9)], "k int, r int")
-    got = sorted(tuple(r) for r in left_join_many(left, right, "k").collect())
-    want = sorted(tuple(r) for r in left.join(right, "k", "left").select("k", "l", "r").collect())
+    got = sorted((tuple(r) for r in left_join_many(left, right, "k").collect()), key=repr)
+    want = sorted((tuple(r) for r in left.join(right, "k", "left").select("k", "l", "r").collect()), key=repr)
     assert got == want and len(got) == 503
 
 
