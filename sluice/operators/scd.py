@@ -88,6 +88,16 @@ def scd1(df: DataFrame, keys, sequence_by: str, except_columns=()) -> DataFrame:
     )
 
 
+def range_chunks(df: DataFrame, keys, order_by: str, n: int) -> DataFrame:
+    """Add ``_chunk``: contiguous, size-balanced ranges of (keys, order_by).
+
+    The range partitioner samples the composite key, so a key holding a large
+    share of the rows is cut into several chunks of about ``rows / n`` each.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    return df.repartitionByRange(n, *[_q(k) for k in keys], _q(order_by)).withColumn("_chunk", F.spark_partition_id())
+
+
 def tracked_columns(columns, keys, track_history_columns=None, track_history_except_columns=None) -> list[str]:
     if track_history_columns and track_history_except_columns:
         raise ValueError("give track_history_columns or track_history_except_columns, not both")
@@ -125,7 +135,7 @@ def scd2(
     part = [*kcols, F.col("_chunk")]
 
     # 1. contiguous (key, seq) ranges; the partition id names the chunk
-    chunked = d.repartitionByRange(n, *kcols, seq).withColumn("_chunk", F.spark_partition_id())
+    chunked = range_chunks(d, keys, sequence_by, n)
 
     # 2. inside a chunk: de-duplicate (key, seq), neighbours, running island start
     w_dedup = Window.partitionBy(*part).orderBy(seq, *[_q(c).desc_nulls_last() for c in others])

@@ -25,17 +25,20 @@ from .gold import GoldSpec, build_gold, gold_rules, gold_view
 from .silver import SilverTable, silver_check, write_checked, write_silver
 
 
-def _stream_of(spark: SparkSession, layout: Layout, layer: str, table: str, max_files: int | None = None) -> DataFrame:
+def _stream_of(spark: SparkSession, layout: Layout, layer: str, table: str, options: dict | None = None) -> DataFrame:
+    """A table folder as a file stream; ``options`` bound each micro-batch
+    (``maxFilesPerTrigger`` / ``maxBytesPerTrigger``), which bounds what one batch persists."""
     path = layout.path(layer, table)
     schema = spark.read.parquet(path).schema
     reader = spark.readStream.schema(schema)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    for k, v in (options or {}).items():
+        reader = reader.option(k, v)
     return reader.parquet(path)
 
 
 def run_silver(spark: SparkSession, layout: Layout, tables: list[SilverTable], system: str,
-               bronze: dict[str, DataFrame] | None = None, streaming: bool = False) -> None:
+               bronze: dict[str, DataFrame] | None = None, streaming: bool = False,
+               stream_options: dict | None = None) -> None:
     """Silver tables of one source system.
 
     ``bronze`` maps source table -> DataFrame (batch, or streaming when
@@ -48,7 +51,7 @@ def run_silver(spark: SparkSession, layout: Layout, tables: list[SilverTable], s
         if streaming:
             src = (bronze or {}).get(t.source_table)
             if src is None:
-                src = _stream_of(spark, layout, "bronze", t.source_table)
+                src = _stream_of(spark, layout, "bronze", t.source_table, stream_options)
             q = silver_stream(spark, t, src, layout, query_name=f"silver_{system}_{t.target_table}")
             q.awaitTermination()
             if q.exception():
@@ -63,7 +66,7 @@ def run_silver(spark: SparkSession, layout: Layout, tables: list[SilverTable], s
 
 
 def run_gold(spark: SparkSession, layout: Layout, specs: list[GoldSpec], domain: str,
-             streaming_cdc: bool = False, buckets: int | None = None) -> None:
+             streaming_cdc: bool = False, buckets: int | None = None, stream_options: dict | None = None) -> None:
     """Gold tables of one domain, in registry order."""
     from ..streaming.cdc import cdc_stream, cdc_view
 
@@ -84,7 +87,7 @@ def run_gold(spark: SparkSession, layout: Layout, specs: list[GoldSpec], domain:
                               layout.name("quarantine", f"{spec.target}_gold_quarantine"), run_id)
                 gated.append(spec.target)
         elif streaming_cdc:
-            streams = {t: _stream_of(spark, layout, "silver", t) for t in spec.sources}
+            streams = {t: _stream_of(spark, layout, "silver", t, stream_options) for t in spec.sources}
             q = cdc_stream(spark, spec, streams, layout, buckets=buckets)
             q.awaitTermination()
             if q.exception():

@@ -7,7 +7,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from sluice.operators.scd import END_AT, START_AT, latest_per_key, scd1, scd2
+from sluice.operators.scd import END_AT, START_AT, latest_per_key, range_chunks, scd1, scd2
 
 SCHEMA = "k string, v string, w string, seq timestamp"
 T0 = dt.datetime(2024, 1, 1)
@@ -132,3 +132,16 @@ def test_latest_per_key_keeps_null_groups(spark):
     rows = [(None, "x", "p", ts(1)), (None, "y", "p", ts(2)), ("a", "x", "p", None), ("a", "y", "p", ts(1))]
     got = {tuple(r) for r in latest_per_key(spark.createDataFrame(rows, SCHEMA), "k", "seq").collect()}
     assert got == {(None, "y", "p", ts(2)), ("a", "y", "p", ts(1))}
+
+
+def test_range_chunks_split_a_hot_key(spark):
+    from pyspark.sql import functions as F
+
+    n_rows, chunks = 20000, 8
+    df = spark.range(n_rows).select(
+        F.when(F.col("id") % 10 == 0, F.concat(F.lit("k"), F.col("id").cast("string"))).otherwise("hot").alias("k"),
+        F.col("id").alias("seq"))
+    sizes = {r["_chunk"]: r["count"] for r in range_chunks(df, "k", "seq", chunks).groupBy("_chunk").count().collect()}
+    hot = range_chunks(df, "k", "seq", chunks).where("k = 'hot'").select("_chunk").distinct().count()
+    assert hot >= chunks - 2  # the 90% key is spread over (almost) every chunk
+    assert max(sizes.values()) <= 2 * n_rows / chunks  # no chunk is much larger than its share
