@@ -26,14 +26,9 @@ from .silver import SilverTable, silver_check, write_checked, write_silver
 
 
 def _stream_of(spark: SparkSession, layout: Layout, layer: str, table: str, options: dict | None = None) -> DataFrame:
-    """A table folder as a file stream; ``options`` bound each micro-batch
-    (``maxFilesPerTrigger`` / ``maxBytesPerTrigger``), which bounds what one batch persists."""
-    path = layout.path(layer, table)
-    schema = spark.read.parquet(path).schema
-    reader = spark.readStream.schema(schema)
-    for k, v in (options or {}).items():
-        reader = reader.option(k, v)
-    return reader.parquet(path)
+    """A layer table as a stream; ``options`` (``maxFilesPerTrigger`` / ``maxBytesPerTrigger``)
+    bound each micro-batch, which bounds what one batch persists."""
+    return layout.stream(spark, layer, table, options)
 
 
 def run_silver(spark: SparkSession, layout: Layout, tables: list[SilverTable], system: str,

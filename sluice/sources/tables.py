@@ -49,6 +49,52 @@ class Layout:
     def list_tables(self, spark: SparkSession, layer: str) -> list[str]:
         return list_dirs(spark, f"{self.root.rstrip('/')}/{layer}")
 
+    def stream(self, spark: SparkSession, layer: str, table: str, options: dict | None = None) -> DataFrame:
+        """The table as a file stream; options such as ``maxBytesPerTrigger`` bound each micro-batch."""
+        path = self.path(layer, table)
+        reader = spark.readStream.schema(spark.read.parquet(path).schema)
+        for k, v in (options or {}).items():
+            reader = reader.option(k, v)
+        return reader.parquet(path)
+
+
+@dataclass
+class CatalogLayout(Layout):
+    """Tables in the session catalog: each layer is a database (``names[layer]``, may be ``catalog.schema``).
+
+    Reads use ``spark.read.table`` / ``readStream.table``, discovery lists the
+    database (``SHOW TABLES``); ``root`` only holds stream checkpoints and CDC state.
+    """
+
+    def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
+        return spark.read.table(self.name(layer, table))
+
+    def exists(self, spark: SparkSession, layer: str, table: str) -> bool:
+        return bool(spark.catalog.tableExists(self.name(layer, table)))
+
+    def write(self, df: DataFrame, layer: str, table: str, mode: str = "overwrite", partition_by=None) -> None:
+        name = self.name(layer, table)
+        parts = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+        if parts and mode == "overwrite" and df.sparkSession.catalog.tableExists(name):
+            # replace only the partitions present in df (positional insert: use the table's column order)
+            cols = df.sparkSession.read.table(name).columns
+            df.select(*cols).write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
+            return
+        w = df.write.mode(mode).format("parquet")
+        if parts:
+            w = w.partitionBy(*parts)
+        w.saveAsTable(name)
+
+    def list_tables(self, spark: SparkSession, layer: str) -> list[str]:
+        db = self.names.get(layer, layer)
+        return sorted(t.name for t in spark.catalog.listTables(db) if not t.isTemporary)
+
+    def stream(self, spark: SparkSession, layer: str, table: str, options: dict | None = None) -> DataFrame:
+        reader = spark.readStream
+        for k, v in (options or {}).items():
+            reader = reader.option(k, v)
+        return reader.table(self.name(layer, table))
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm

@@ -57,3 +57,26 @@ def test_metrics_conserve_rows(spark, runs):
     for loc in ("silver.customer_account", "gold.customer_account_profile_summary"):
         assert int(m[(loc, "input_row_count")]) == int(m[(loc, "error_row_count")]) + \
             runs["batch"].read(spark, loc.split(".")[0], loc.split(".")[1]).count()
+
+
+def test_catalog_layout_end_to_end(spark):
+    """Layers as catalog databases: saveAsTable / read.table / SHOW TABLES discovery."""
+    from sluice.sources.tables import CatalogLayout
+
+    root = new_scratch_dir(spark, "catalog")
+    suffix = root.rsplit("-", 1)[-1]
+    names = {layer: f"{layer}_{suffix}" for layer in ("bronze", "silver", "quarantine", "gold", "metrics")}
+    for db in names.values():
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}/{db}'")
+    lay = CatalogLayout(root, names)
+    for name in fixtures.BRONZE_SOURCES:
+        lay.write(fixtures.bronze(spark, SF001, name), "bronze", name)
+    run_silver(spark, lay, default_silver_tables(), "core", streaming=True)
+    run_silver(spark, lay, default_silver_tables(), "core", streaming=True)  # nothing new: tables unchanged
+    run_gold(spark, lay, list(default_gold_specs().values()), "customer")
+    glob = run_global(spark, lay)
+    assert lay.list_tables(spark, "metrics")[0].endswith("_metrics")
+    assert glob.count() == 25
+    silver = lay.read(spark, "silver", "customer_account")
+    assert f"{names['silver']}.customer_account" == lay.name("silver", "customer_account")
+    assert silver.count() == silver.select("ACCOUNT_ID", "_batch_id").distinct().count()
