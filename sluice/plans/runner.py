@@ -61,8 +61,9 @@ def run_silver(spark: SparkSession, layout: Layout, tables: list[SilverTable], s
 
 
 def run_gold(spark: SparkSession, layout: Layout, specs: list[GoldSpec], domain: str,
-             streaming_cdc: bool = False, buckets: int | None = None, stream_options: dict | None = None) -> None:
-    """Gold tables of one domain, in registry order."""
+             streaming_cdc: bool = False, buckets: int | None = None, stream_options: dict | None = None,
+             contract_dir: str | None = None) -> None:
+    """Gold tables of one domain, in registry order (gold contracts from ``contract_dir``)."""
     from ..streaming.cdc import cdc_stream, cdc_view
 
     run_id = str(uuid.uuid4())
@@ -71,8 +72,9 @@ def run_gold(spark: SparkSession, layout: Layout, specs: list[GoldSpec], domain:
         silver = {t: layout.read(spark, "silver", t) for t in spec.sources if layout.exists(spark, "silver", t)}
         gold = {t: layout.read(spark, "gold", t) for t in spec.sources if layout.exists(spark, "gold", t)}
         op = spec.operation
+        rules = gold_rules(spec, contract_dir, domain) if spec.apply_gate else None
         if op == "materialized_view":
-            view = gold_view(spark, spec, silver, gold=gold, layout=layout)
+            view = gold_view(spark, spec, silver, rules=rules, gold=gold, layout=layout)
             if view.checked is None:
                 layout.write(view.staged, "gold", spec.target)
             else:
@@ -83,7 +85,7 @@ def run_gold(spark: SparkSession, layout: Layout, specs: list[GoldSpec], domain:
                 gated.append(spec.target)
         elif streaming_cdc:
             streams = {t: _stream_of(spark, layout, "silver", t, stream_options) for t in spec.sources}
-            q = cdc_stream(spark, spec, streams, layout, buckets=buckets)
+            q = cdc_stream(spark, spec, streams, layout, buckets=buckets, rules=rules)
             q.awaitTermination()
             if q.exception():
                 raise q.exception()
@@ -91,8 +93,7 @@ def run_gold(spark: SparkSession, layout: Layout, specs: list[GoldSpec], domain:
             if spec.apply_gate:
                 gated.append(spec.target)
         else:
-            layout.write(build_gold(spark, spec, silver, rules=gold_rules(spec) if spec.apply_gate else None),
-                         "gold", spec.target)
+            layout.write(build_gold(spark, spec, silver, rules=rules), "gold", spec.target)
     frames = [layout.read(spark, "metrics", f"{t}_gold_metrics") for t in gated]
     layout.write(ledger.union_ledgers(spark, frames), "metrics", ledger.gold_ledger_name(domain))
 
@@ -104,24 +105,35 @@ def run_global(spark: SparkSession, layout: Layout) -> DataFrame:
 
 
 def main(argv=None) -> None:
-    """Run the bundled customer example on the driver's test tables."""
-    parser = argparse.ArgumentParser(description="bronze -> silver -> gold -> ledgers on the fixture tables")
-    parser.add_argument("--sf-dir", required=True)
+    """Run a project (or the bundled customer example) bronze -> silver -> gold -> ledgers."""
+    parser = argparse.ArgumentParser(description="bronze -> silver -> gold -> ledgers")
     parser.add_argument("--root", help="layout root (default: a new folder under the scratch root)")
+    parser.add_argument("--project", help="project folder (config/, contracts/, src/); default: bundled example")
+    parser.add_argument("--system", default="core", help="source system key of the silver registry")
+    parser.add_argument("--domain", default="customer", help="domain key of the gold registry")
+    parser.add_argument("--sf-dir", help="fill the bronze layer from the driver's test tables first")
     parser.add_argument("--streaming", action="store_true", help="silver and CDC as availableNow streams")
     args = parser.parse_args(argv)
 
     from ..session import local_session, new_scratch_dir
     from ..sources import fixtures
     from .gold import default_gold_specs
+    from .project import Project
     from .silver import default_silver_tables
 
     spark = local_session()
     layout = Layout(args.root or new_scratch_dir(spark, "run"))
-    for name, (src, fn) in fixtures.BRONZE_SOURCES.items():
-        layout.write(fixtures.bronze(spark, args.sf_dir, name), "bronze", name)
-    run_silver(spark, layout, default_silver_tables(), "core", streaming=args.streaming)
-    run_gold(spark, layout, list(default_gold_specs().values()), "customer", streaming_cdc=args.streaming)
+    if args.sf_dir:
+        for name in fixtures.BRONZE_SOURCES:
+            layout.write(fixtures.bronze(spark, args.sf_dir, name), "bronze", name)
+    if args.project:
+        proj = Project(args.project)
+        tables, specs = proj.silver_tables(args.system), proj.gold_specs(args.domain)
+        contract_dir = f"{args.project}/contracts/02_gold/{args.domain}"
+    else:
+        tables, specs, contract_dir = default_silver_tables(), list(default_gold_specs().values()), None
+    run_silver(spark, layout, tables, args.system, streaming=args.streaming)
+    run_gold(spark, layout, specs, args.domain, streaming_cdc=args.streaming, contract_dir=contract_dir)
     run_global(spark, layout).groupBy("output_location").count().show(truncate=False)
     print(f"tables under {layout.root}")
 

@@ -80,3 +80,33 @@ def test_catalog_layout_end_to_end(spark):
     silver = lay.read(spark, "silver", "customer_account")
     assert f"{names['silver']}.customer_account" == lay.name("silver", "customer_account")
     assert silver.count() == silver.select("ACCOUNT_ID", "_batch_id").distinct().count()
+
+
+def test_project_folder_conventions(spark, tmp_path):
+    """A project laid out as config/, contracts/01_silver|02_gold/, src/01_silver|02_gold/sql/ runs unchanged."""
+    import shutil
+
+    from sluice.plans.project import Project
+    from sluice.plans.silver import resource
+
+    base = tmp_path / "project"
+    (base / "config").mkdir(parents=True)
+    shutil.copy(resource("registry", "silver.yml"), base / "config" / "silver.yml")
+    shutil.copy(resource("registry", "gold.yml"), base / "config" / "gold.yml")
+    (base / "contracts" / "01_silver" / "core").mkdir(parents=True)
+    shutil.copy(resource("contracts", "core_silver.yml"), base / "contracts" / "01_silver" / "core" / "core.yml")
+    (base / "contracts" / "02_gold" / "customer").mkdir(parents=True)
+    shutil.copy(resource("contracts", "customer_gold.yml"), base / "contracts" / "02_gold" / "customer")
+    shutil.copytree(resource("sql", "silver"), base / "src" / "01_silver" / "sql" / "core")
+    shutil.copytree(resource("sql", "gold"), base / "src" / "02_gold" / "sql" / "customer")
+
+    proj = Project(str(base))
+    layout = Layout(new_scratch_dir(spark, "project"))
+    for name in fixtures.BRONZE_SOURCES:
+        layout.write(fixtures.bronze(spark, SF001, name), "bronze", name)
+    run_silver(spark, layout, proj.silver_tables("core"), "core")
+    run_gold(spark, layout, proj.gold_specs("customer"), "customer",
+             contract_dir=str(base / "contracts" / "02_gold" / "customer"))
+    assert run_global(spark, layout).count() == 25
+    with pytest.raises(FileNotFoundError):
+        proj.silver_tables("other_system")
