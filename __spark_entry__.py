@@ -177,6 +177,13 @@ def _quarantine(name):
     return lambda spark, sf: _report(_checked(spark, sf, name).quarantine())
 
 
+def q_quarantine_account_warnings(spark, sf):
+    """Quarantine that also takes warn-only rows (option of the split)."""
+    _prepare(spark)
+    t = _tables()[ACCOUNT]
+    return _report(silver_check(spark, t, fixtures.bronze(spark, sf, ACCOUNT), quarantine_warnings=True).quarantine())
+
+
 def q_dq_warn_account(spark, sf):
     c = _checked(spark, sf, ACCOUNT)
     rows = c.annotated().where(F.size(ERRORS) == 0).where(F.size(WARNINGS) > 0)
@@ -394,6 +401,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quarantine_account": _quarantine(ACCOUNT),
         "quarantine_profile": _quarantine(PROFILE),
         "quarantine_email": _quarantine(EMAIL),
+        "quarantine_account_warnings": q_quarantine_account_warnings,
         "dq_warn_account": q_dq_warn_account,
         "dq_profile_rules": q_dq_profile_rules,
         "schema_check": q_schema_check,
@@ -454,6 +462,9 @@ def oracle_sql() -> dict[str, str]:
         "quarantine_account": O.quarantine_report(ACCOUNT, acc_cols),
         "quarantine_profile": O.quarantine_report(PROFILE, prof_cols),
         "quarantine_email": email_quarantine,
+        "quarantine_account_warnings": O.q(
+            f"SELECT {acc_cols}, {O._names(ACCOUNT, 'error')} AS error_names, {O._names(ACCOUNT, 'warn')} AS "
+            f"warning_names FROM account_f WHERE {O._any(ACCOUNT, 'error')} OR {O._any(ACCOUNT, 'warn')}"),
         "dq_warn_account": O.q(f"SELECT {acc_cols}, '' AS error_names, {O._names(ACCOUNT, 'warn')} AS warning_names "
                                f"FROM account_f WHERE NOT {O._any(ACCOUNT, 'error')} AND {O._any(ACCOUNT, 'warn')}"),
         "dq_profile_rules": O.q(f"SELECT {prof_cols}, {O._names(PROFILE, 'error')} AS error_names, "
