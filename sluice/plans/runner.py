@@ -25,10 +25,16 @@ from .gold import GoldSpec, build_gold, gold_rules, gold_view
 from .silver import SilverTable, silver_check, write_checked, write_silver
 
 
+# Each micro-batch is persisted once for the fan-out, so its size is bounded: on
+# a 1000-executor cluster 256 GB is ~256 MB per executor, and 100 TB of backlog
+# is ~400 batches (per-batch scheduling overhead stays small).
+DEFAULT_STREAM_OPTIONS = {"maxBytesPerTrigger": "256g"}
+
+
 def _stream_of(spark: SparkSession, layout: Layout, layer: str, table: str, options: dict | None = None) -> DataFrame:
     """A layer table as a stream; ``options`` (``maxFilesPerTrigger`` / ``maxBytesPerTrigger``)
     bound each micro-batch, which bounds what one batch persists."""
-    return layout.stream(spark, layer, table, options)
+    return layout.stream(spark, layer, table, DEFAULT_STREAM_OPTIONS if options is None else options)
 
 
 def run_silver(spark: SparkSession, layout: Layout, tables: list[SilverTable], system: str,
