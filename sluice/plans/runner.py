@@ -28,7 +28,7 @@ from .silver import SilverTable, silver_check, write_checked, write_silver
 # Each micro-batch is persisted once for the fan-out, so its size is bounded: on
 # a 1000-executor cluster 256 GB is ~256 MB per executor, and 100 TB of backlog
 # is ~400 batches (per-batch scheduling overhead stays small).
-DEFAULT_STREAM_OPTIONS = {"maxBytesPerTrigger": "256g"}
+DEFAULT_STREAM_OPTIONS = {"maxBytesPerTrigger": str(256 * 1024**3)}
 
 
 def _stream_of(spark: SparkSession, layout: Layout, layer: str, table: str, options: dict | None = None) -> DataFrame:
