@@ -298,6 +298,24 @@ def q_scd2_tracked_except(spark, sf):
     return _ntz(scd2(e, ["ACCOUNT_ID"], "UPDATED_AT", ["processed_time"], track_history_except_columns=["UPDATED_AT"]))
 
 
+def _hot_email(spark, sf):
+    """Silver email rows where one account holds a third of all rows (derived from events)."""
+    _prepare(spark)
+    t = _tables()[EMAIL]
+    ev = fixtures.read_table(spark, sf, "events")
+    hot = ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
+    return silver_check(spark, t, fixtures.email_from_events(hot)).valid()
+
+
+def q_scd1_hot_account(spark, sf):
+    return _ntz(scd1(_hot_email(spark, sf), ["ACCOUNT_ID"], "UPDATED_AT", ["processed_time"]))
+
+
+def q_scd2_hot_account(spark, sf):
+    e = _hot_email(spark, sf)
+    return _ntz(scd2(e, ["ACCOUNT_ID"], "UPDATED_AT", ["processed_time"], track_history_columns=EMAIL_TRACKED))
+
+
 # -- streaming queries (availableNow into a fresh scratch folder, then read back) ---
 def _run(query) -> None:
     query.awaitTermination()
@@ -423,6 +441,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scd2_history": q_scd2_history,
         "scd2_tracked": q_scd2_tracked,
         "scd2_tracked_except": q_scd2_tracked_except,
+        "scd1_hot_account": q_scd1_hot_account,
+        "scd2_hot_account": q_scd2_hot_account,
         "stream_silver_email": q_stream_silver_email,
         "stream_quarantine_email": q_stream_quarantine_email,
         "stream_metrics": q_stream_metrics,
@@ -495,6 +515,8 @@ def oracle_sql() -> dict[str, str]:
         "scd2_history": scd2_all,
         "scd2_tracked": scd2_three,
         "scd2_tracked_except": scd2_three,
+        "scd1_hot_account": O.hot(O.SCD1),
+        "scd2_hot_account": O.hot(scd2_three),
         "stream_silver_email": silver_email_q,
         "stream_quarantine_email": email_quarantine,
         "stream_metrics": O.q(O.metrics_select(EMAIL, f"silver.{EMAIL}", f"quarantine.{EMAIL}_quarantine")),

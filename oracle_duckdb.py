@@ -231,3 +231,11 @@ r AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ACCOUNT_ID, islan
 SELECT r.ACCOUNT_ID, r.EMAIL_ADDRESS, r.EMAIL_STATUS, r.PREFERRED_EMAIL_FLAG, r.UPDATED_AT, s.__START_AT,
   lead(s.__START_AT) OVER (PARTITION BY s.ACCOUNT_ID ORDER BY s.island) AS __END_AT
 FROM r JOIN s ON r.ACCOUNT_ID = s.ACCOUNT_ID AND r.island = s.island"""
+
+
+def hot(sql: str) -> str:
+    """The same query over events where every third event belongs to user 0 (a hot account)."""
+    marker = "  FROM events)"
+    assert sql.count(marker) == 1
+    return sql.replace(marker, "  FROM (SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id) "
+                               "FROM events))")

@@ -8,7 +8,6 @@ The streaming CDC form lives in ``sluice.streaming.cdc``.
 from __future__ import annotations
 
 import os
-import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,10 +22,6 @@ from .silver import resource
 OPERATIONS = ("materialized_view", "delta_type1", "delta_type2")
 
 
-def safe_identifier(value: str) -> str:
-    return re.sub(r"[^A-Za-z0-9_]", "_", value).lower()
-
-
 @dataclass
 class GoldSpec:
     name: str
