@@ -218,6 +218,16 @@ class Checked:
     def unpersist(self) -> None:
         self.flagged.unpersist()
 
+    def checkpointed(self) -> "Checked":
+        """Materialize the checked rows once (reliable checkpoint in the shared folder).
+
+        For inputs that are expensive to recompute (joins, DISTINCT), so the
+        valid and quarantine writes do not each run the whole plan again.
+        """
+        from ..operators.scd import materialize
+
+        return Checked(self.flagged, self.rules, self.quarantine_warnings, _flagged=materialize(self.flagged))
+
 
 def check(df: DataFrame, rules: list[Rule], quarantine_warnings: bool = False) -> Checked:
     return Checked(df, rules, quarantine_warnings)

@@ -84,7 +84,8 @@ def run_gold(spark: SparkSession, layout: Layout, specs: list[GoldSpec], domain:
             if view.checked is None:
                 layout.write(view.staged, "gold", spec.target)
             else:
-                write_checked(view.checked, layout, "gold", spec.target,
+                # the view joins and de-duplicates: run that plan once, then split
+                write_checked(view.checked.checkpointed(), layout, "gold", spec.target,
                               ("quarantine", f"{spec.target}_gold_quarantine"), f"{spec.target}_gold_metrics",
                               layout.name("gold", spec.target),
                               layout.name("quarantine", f"{spec.target}_gold_quarantine"), run_id)
