@@ -224,7 +224,7 @@ class Checked:
         For inputs that are expensive to recompute (joins, DISTINCT), so the
         valid and quarantine writes do not each run the whole plan again.
         """
-        from ..operators.scd import materialize
+        from ..session import materialize
 
         return Checked(self.flagged, self.rules, self.quarantine_warnings, _flagged=materialize(self.flagged))
 

@@ -40,18 +40,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 START_AT = "__START_AT"
 END_AT = "__END_AT"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into ``spark.checkpoint.dir`` (survives lost executors)."""
-    from ..session import scratch_root
-
-    scratch_root(df.sparkSession)  # sets a folder only when the session has none (tests)
-    return df.checkpoint(eager=True)
-
-
 def _q(c: str) -> Column:
     return F.col(f"`{c}`")
 

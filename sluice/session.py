@@ -53,6 +53,16 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def materialize(df):
+    """Cut lineage with a reliable checkpoint into the shared checkpoint folder.
+
+    Survives lost executors (unlike a local checkpoint) and keeps the frame's
+    partitioning, so consumers of the result do not shuffle it again.
+    """
+    scratch_root(df.sparkSession)  # sets a folder only when the session has none (tests)
+    return df.checkpoint(eager=True)
+
+
 def new_scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh, never reused sub-folder of the scratch root."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
