@@ -20,6 +20,10 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     # remove checkpoint files once no DataFrame refers to them any more
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # the contract checks of a table become one large generated predicate; let
+    # the JIT compile methods above 8 KB of bytecode instead of interpreting them
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 
