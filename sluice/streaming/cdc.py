@@ -11,6 +11,10 @@ micro-batch:
    (a complete, independent copy), then overwrite those buckets of the state from
    it with dynamic partition overwrite.
 
+The first batch of a new state (the initial load, usually the largest) is
+written in place: there is nothing old to lose, and a replay recomputes
+``f(partial ∪ batch) = f(batch)``.
+
 Both reductions obey ``f(f(A) ∪ B) = f(A ∪ B)``: the result does not depend on
 arrival order or batch boundaries, so late and out-of-order rows are handled by
 ``sequence_by`` alone.  If a run dies while step 4 commits, the replayed batch
@@ -73,6 +77,10 @@ def _state(spark: SparkSession, path: str, touched: list[int]) -> DataFrame | No
     return spark.read.parquet(path).where(F.col(BUCKET).isin(touched))
 
 
+def _write_buckets(df: DataFrame, target: str) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(target)
+
+
 def merge_scd1(spark, batch_df, state_root, keys, sequence_by, except_columns=(), buckets=DEFAULT_BUCKETS, batch_id=0):
     keys = [keys] if isinstance(keys, str) else list(keys)
     check_bucket_count(spark, state_root, buckets)
@@ -86,10 +94,12 @@ def merge_scd1(spark, batch_df, state_root, keys, sequence_by, except_columns=()
             if not touched:
                 return
             old = _state(spark, target, touched)
-            fresh = winners
-            if old is not None:
-                both = old.drop(BUCKET).unionByName(winners.drop(BUCKET))
-                fresh = scd1(both, keys, sequence_by).withColumn(BUCKET, bucket_of(keys, buckets))
+            if old is None:
+                # initial load: nothing old can be lost, a replay recomputes f(partial ∪ batch) = f(batch)
+                _write_buckets(winners, target)
+                return
+            both = old.drop(BUCKET).unionByName(winners.drop(BUCKET))
+            fresh = scd1(both, keys, sequence_by).withColumn(BUCKET, bucket_of(keys, buckets))
             fresh.write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
         finally:
             winners.unpersist()
@@ -113,6 +123,13 @@ def merge_scd2(spark, batch_df, state_root, keys, sequence_by, except_columns=()
     log_target, hist_target = f"{state_root}/log", f"{state_root}/history"
     log_staging = f"{state_root}__staging/log/batch={batch_id}"
     hist_staging = f"{state_root}__staging/history/batch={batch_id}"
+
+    def history(log: DataFrame) -> DataFrame:
+        hist = scd2(log.drop(BUCKET), keys, sequence_by,
+                    track_history_columns=track_history_columns,
+                    track_history_except_columns=track_history_except_columns)
+        return hist.withColumn(BUCKET, bucket_of(keys, buckets))
+
     if not path_exists(spark, f"{hist_staging}/_SUCCESS"):
         if not path_exists(spark, f"{log_staging}/_SUCCESS"):
             d, _ = _prepare(batch_df, keys, sequence_by, except_columns)
@@ -123,19 +140,17 @@ def merge_scd2(spark, batch_df, state_root, keys, sequence_by, except_columns=()
                 if not touched:
                     return
                 old = _state(spark, log_target, touched)
-                fresh = rows
-                if old is not None:
-                    fresh = _dedup_log(old.unionByName(rows), keys, sequence_by).withColumn(
-                        BUCKET, bucket_of(keys, buckets))
+                if old is None:
+                    # initial load: nothing old can be lost; write log and history in place
+                    _write_buckets(rows, log_target)
+                    _write_buckets(history(spark.read.parquet(log_target)), hist_target)
+                    return
+                fresh = _dedup_log(old.unionByName(rows), keys, sequence_by).withColumn(
+                    BUCKET, bucket_of(keys, buckets))
                 fresh.write.mode("overwrite").partitionBy(BUCKET).parquet(log_staging)
             finally:
                 rows.unpersist()
-        log = spark.read.parquet(log_staging)
-        hist = scd2(log.drop(BUCKET), keys, sequence_by,
-                    track_history_columns=track_history_columns,
-                    track_history_except_columns=track_history_except_columns)
-        hist.withColumn(BUCKET, bucket_of(keys, buckets)).write.mode("overwrite").partitionBy(BUCKET).parquet(
-            hist_staging)
+        history(spark.read.parquet(log_staging)).write.mode("overwrite").partitionBy(BUCKET).parquet(hist_staging)
     _swap_in(spark, log_staging, log_target)
     _swap_in(spark, hist_staging, hist_target)
 
