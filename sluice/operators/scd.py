@@ -10,7 +10,8 @@ A per-key window would put a hot key (say a third of all rows) into one task,
 so the ordered scan is split into range chunks instead:
 
 1. ``repartitionByRange(keys, seq)``: the sampled range partitioner cuts a hot
-   key into several contiguous pieces; the partition id is the chunk id.
+   key into several contiguous pieces; the partition id is the chunk id.  The
+   chunk count follows the input size (~256 MB per chunk).
 2. Windows over ``(keys, chunk)``: de-duplicate equal ``(key, seq)`` (they are
    always in one chunk), previous / next tracked values, next sequence, and
    the running start of the current island.
@@ -82,6 +83,22 @@ def scd1(df: DataFrame, keys, sequence_by: str, except_columns=()) -> DataFrame:
     )
 
 
+CHUNK_BYTES = 256 * 1024**2   # target input bytes per chunk (one window sort per chunk)
+BROADCAST_CHUNKS = 50_000     # up to here the edge table (<= 2 rows per chunk) is always broadcast
+
+
+def chunk_count(df: DataFrame, target_bytes: int = CHUNK_BYTES) -> int:
+    """Chunks for ``df``: Catalyst's size estimate / target, at least the shuffle partition count."""
+    spark = df.sparkSession
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        size = v if isinstance(v, int) else int(v.toString())
+    except Exception:  # no estimate available: the configured parallelism
+        return base
+    return max(base, min(1_000_000, -(-size // target_bytes)))
+
+
 def range_chunks(df: DataFrame, keys, order_by: str, n: int) -> DataFrame:
     """Add ``_chunk``: contiguous, size-balanced ranges of (keys, order_by).
 
@@ -124,7 +141,8 @@ def scd2(
     seq = _q(sequence_by)
     others = [c for c in cols if c not in keys and c != sequence_by]
     tracked = tracked_columns(cols, keys, track_history_columns, track_history_except_columns)
-    n = chunks or int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = chunks or chunk_count(d)
+    small = n <= BROADCAST_CHUNKS  # edge rows <= 2n: a proven bound; broadcast while it is small
     kcols = [_q(k) for k in keys]
     part = [*kcols, F.col("_chunk")]
 
@@ -170,7 +188,7 @@ def scd2(
     )
     kstruct = F.struct(*kcols)
     ends = per_kc.groupBy("_chunk").agg(F.min(kstruct).alias("_lo"), F.max(kstruct).alias("_hi"))
-    edge = per_kc.join(F.broadcast(ends), "_chunk").where(
+    edge = per_kc.join(F.broadcast(ends) if small else ends, "_chunk").where(
         (kstruct == F.col("_lo")) | (kstruct == F.col("_hi"))
     ).drop("_lo", "_hi")
     wk = Window.partitionBy(*kcols).orderBy("_chunk")
@@ -188,7 +206,7 @@ def scd2(
     ).drop("_first_seq", "_last_start_in")
 
     # 4. versions = last row of each island (at most 2 edge rows per chunk are broadcast)
-    j = rows.join(F.broadcast(edge), [*keys, "_chunk"], "left")
+    j = rows.join(F.broadcast(edge) if small else edge, [*keys, "_chunk"], "left")
     first_chg = F.coalesce(F.col("_first_chg"), F.lit(True))
     start = F.coalesce(F.col("_start_in"), F.when(first_chg, F.col("_first_in")), F.col("_carry"))
     is_last = F.when(

@@ -145,3 +145,12 @@ def test_range_chunks_split_a_hot_key(spark):
     hot = range_chunks(df, "k", "seq", chunks).where("k = 'hot'").select("_chunk").distinct().count()
     assert hot >= chunks - 2  # the 90% key is spread over (almost) every chunk
     assert max(sizes.values()) <= 2 * n_rows / chunks  # no chunk is much larger than its share
+
+
+def test_chunk_count_follows_input_size(spark):
+    from sluice.operators.scd import chunk_count
+
+    df = spark.range(200000).selectExpr("id", "cast(id as string) as s")
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert chunk_count(df) == base                        # small input: the configured parallelism
+    assert chunk_count(df, target_bytes=64 * 1024) > base  # larger input relative to the target: more chunks
