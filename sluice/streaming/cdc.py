@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from ..operators.quality import check
 from ..operators.scd import _prepare, scd1, scd2
 from ..plans.gold import GoldSpec, gold_rules, gold_source
-from ..sources.tables import Layout, marker_names, path_exists, touch
+from ..sources.tables import Layout, list_dirs, marker_names, path_exists, touch
 
 BUCKET = "_bucket"
 # Fixed at state creation.  Pick it so one bucket holds ~128 MB - 1 GB of state:
@@ -155,6 +155,63 @@ def merge_scd2(spark, batch_df, state_root, keys, sequence_by, except_columns=()
     _swap_in(spark, hist_staging, hist_target)
 
 
+# -- merge-on-read: per batch only the batch's own rows; compaction every N batches ----------
+DELTA_BATCH = "_cdc_batch"
+
+
+def _reduce(df: DataFrame, op: str, keys, sequence_by: str) -> DataFrame:
+    """Type 1: winners per key; type 2: one row per (key, sequence).  Both obey f(f(A) ∪ B) = f(A ∪ B)."""
+    return scd1(df, keys, sequence_by) if op == "delta_type1" else _dedup_log(df, keys, sequence_by)
+
+
+def _base_version(spark: SparkSession, state_root: str) -> int | None:
+    """The newest complete compaction (``base/v=N`` with ``_SUCCESS``), or None."""
+    done = [int(n[2:]) for n in list_dirs(spark, f"{state_root}/base")
+            if n.startswith("v=") and path_exists(spark, f"{state_root}/base/{n}/_SUCCESS")]
+    return max(done) if done else None
+
+
+def mor_rows(spark: SparkSession, state_root: str, upto: int | None = None) -> DataFrame | None:
+    """Base (newest complete version) plus the deltas written after it (up to ``upto``)."""
+    v = _base_version(spark, state_root)
+    parts = []
+    if v is not None:
+        parts.append(spark.read.parquet(f"{state_root}/base/v={v}"))
+    if path_exists(spark, f"{state_root}/deltas"):
+        d = spark.read.parquet(f"{state_root}/deltas")
+        if v is not None:
+            d = d.where(F.col(DELTA_BATCH) > v)
+        if upto is not None:
+            d = d.where(F.col(DELTA_BATCH) <= upto)
+        parts.append(d.drop(DELTA_BATCH))
+    if not parts:
+        return None
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def append_delta(spark, batch_df, state_root, op, keys, sequence_by, except_columns=(), batch_id=0,
+                 compact_every: int = 10) -> None:
+    """Merge-on-read step: write the batch's reduced rows (O(batch)); compact every ``compact_every`` batches."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    d, _ = _prepare(batch_df, keys, sequence_by, except_columns)
+    (_reduce(d, op, keys, sequence_by).withColumn(DELTA_BATCH, F.lit(int(batch_id)))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DELTA_BATCH)
+     .parquet(f"{state_root}/deltas"))
+    if compact_every and (int(batch_id) + 1) % compact_every == 0:
+        compact(spark, state_root, op, keys, sequence_by, upto=int(batch_id))
+
+
+def compact(spark, state_root, op, keys, sequence_by, upto: int) -> None:
+    """New base version ``v=upto`` = reduce(base ∪ deltas <= upto); complete once its _SUCCESS exists."""
+    rows = mor_rows(spark, state_root, upto=upto)
+    if rows is None:
+        return
+    _reduce(rows, op, keys, sequence_by).write.mode("overwrite").parquet(f"{state_root}/base/v={upto}")
+
+
 def cdc_stream(
     spark: SparkSession,
     spec: GoldSpec,
@@ -165,8 +222,20 @@ def cdc_stream(
     available_now: bool = True,
     processing_time: str | None = None,
     query_name: str | None = None,
+    mode: str | None = None,
+    compact_every: int | None = None,
 ):
-    """Start the CDC stream of a ``delta_type1`` / ``delta_type2`` registry entry."""
+    """Start the CDC stream of a ``delta_type1`` / ``delta_type2`` registry entry.
+
+    ``mode="merge_on_write"`` keeps the current rows / history up to date per
+    batch (bucketed rewrite); ``mode="merge_on_read"`` writes only each batch's
+    reduced rows and compacts every ``compact_every`` batches; the view then
+    applies the SCD over base and deltas.
+    """
+    mode = mode or spec.cfg.get("cdc_mode", "merge_on_write")
+    compact_every = int(compact_every or spec.cfg.get("cdc_compact_every", 10))
+    if mode not in ("merge_on_write", "merge_on_read"):
+        raise ValueError(f"mode must be merge_on_write or merge_on_read, got {mode!r}")
     op = spec.operation
     if op not in ("delta_type1", "delta_type2"):
         raise ValueError(f"cdc_stream needs delta_type1 or delta_type2, '{spec.name}' is {op}")
@@ -201,7 +270,9 @@ def cdc_stream(
                          mode="overwrite", partition_by="_batch_id")
             batch_df = checked.valid()
         try:
-            if op == "delta_type1":
+            if mode == "merge_on_read":
+                append_delta(spark, batch_df, state_root, op, keys, seq, excluded, batch_id, compact_every)
+            elif op == "delta_type1":
                 merge_scd1(spark, batch_df, state_root, keys, seq, excluded, buckets, batch_id)
             else:
                 merge_scd2(spark, batch_df, state_root, keys, seq, excluded,
@@ -218,6 +289,16 @@ def cdc_stream(
 
 
 def cdc_view(spark: SparkSession, spec: GoldSpec, layout: Layout) -> DataFrame:
-    """The consumer view over the CDC state (current rows or history)."""
+    """The consumer view over the CDC state (current rows or history), either mode."""
+    root = layout.state_path(spec.cdc_target)
     sub = "current" if spec.operation == "delta_type1" else "history"
-    return spark.read.parquet(f"{layout.state_path(spec.cdc_target)}/{sub}").drop(BUCKET)
+    if path_exists(spark, f"{root}/{sub}"):
+        return spark.read.parquet(f"{root}/{sub}").drop(BUCKET)
+    rows = mor_rows(spark, root)
+    if rows is None:
+        raise ValueError(f"no CDC state for '{spec.name}' under {root}")
+    keys, seq = spec.cfg["keys"], spec.cfg["sequence_by"]
+    if spec.operation == "delta_type1":
+        return scd1(rows, keys, seq)
+    return scd2(rows, keys, seq, track_history_columns=spec.cfg.get("track_history_columns"),
+                track_history_except_columns=spec.cfg.get("track_history_except_columns"))

@@ -113,3 +113,20 @@ def test_bucket_count_is_fixed_at_creation(spark, silver_email):
     with pytest.raises(ValueError, match="created with 4 buckets"):
         cdc.merge_scd1(spark, silver_email, root, ["ACCOUNT_ID"], "UPDATED_AT", ["processed_time"], buckets=8,
                        batch_id=1)
+
+
+@pytest.mark.parametrize("name", ["customer_email_contact_current", "customer_email_contact_history"])
+def test_merge_on_read_equals_batch(spark, layout, silver_email, name):
+    path = _split_files(spark, silver_email)
+    src = spark.readStream.schema(silver_email.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    spec = default_gold_specs()[name]
+    q = cdc.cdc_stream(spark, spec, {EMAIL: src}, layout, mode="merge_on_read", compact_every=2)
+    q.awaitTermination()
+    root = layout.state_path(spec.cdc_target)
+    assert cdc._base_version(spark, root) == 3  # batches 0..4: compactions after batches 1 and 3
+    got = cdc.cdc_view(spark, spec, layout)
+    if spec.operation == "delta_type1":
+        want = scd1(silver_email, ["ACCOUNT_ID"], "UPDATED_AT", ["processed_time"])
+    else:
+        want = scd2(silver_email, ["ACCOUNT_ID"], "UPDATED_AT", ["processed_time"])
+    assert _rows(got) == _rows(want)
