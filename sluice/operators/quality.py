@@ -35,10 +35,6 @@ RESULT_ITEM = T.StructType([T.StructField("name", T.StringType()), T.StructField
 RESULT_TYPE = T.ArrayType(RESULT_ITEM)
 
 # The long-format metrics ledger (fixed layout shared by every ledger).
-METRICS_DDL = (
-    "output_location string, quarantine_location string, run_id string, "
-    "run_time timestamp, metric_name string, metric_value string"
-)
 METRICS_SCHEMA = T.StructType([
     T.StructField("output_location", T.StringType()),
     T.StructField("quarantine_location", T.StringType()),
@@ -121,16 +117,19 @@ class Checked:
             _results(self._pairs(WARN)).alias(WARNINGS),
         )
 
-    def counts(self) -> DataFrame:
-        """One row: row counts plus one ``failed_<i>`` count per rule."""
+    def _count_columns(self) -> list[Column]:
         err, warn = self.has_error, self.has_warning
-        return self.flagged.agg(
+        return [
             F.count(F.lit(1)).alias("input_row_count"),
             F.count_if(~err & ~warn).alias("valid_row_count"),
             F.count_if(err).alias("error_row_count"),
             F.count_if(warn).alias("warning_row_count"),
             *[F.count_if(F.col(f)).alias(f"failed_{i}") for i, f in enumerate(self.flags)],
-        )
+        ]
+
+    def counts(self) -> DataFrame:
+        """One row: row counts plus one ``failed_<i>`` count per rule."""
+        return self.flagged.agg(*self._count_columns())
 
     def rule_counts(self) -> DataFrame:
         """Long form: (rule_name, criticality, failed_rows), one row per rule."""
@@ -141,7 +140,7 @@ class Checked:
         ]
         return self.counts().select(F.explode(F.array(*items)).alias("r")).select("r.*")
 
-    def check_metrics_json(self, counts: DataFrame | None = None) -> Column:
+    def check_metrics_json(self) -> Column:
         items = [
             F.struct(
                 F.lit(r.name).alias("check_name"),
@@ -182,16 +181,8 @@ class Checked:
         from pyspark.sql import Observation
 
         obs = Observation(name or f"dq_{uuid.uuid4().hex[:8]}")
-        err, warn = self.has_error, self.has_warning
-        watched = self.flagged.observe(
-            obs,
-            F.count(F.lit(1)).alias("input_row_count"),
-            F.count_if(~err & ~warn).alias("valid_row_count"),
-            F.count_if(err).alias("error_row_count"),
-            F.count_if(warn).alias("warning_row_count"),
-            *[F.count_if(F.col(f)).alias(f"failed_{i}") for i, f in enumerate(self.flags)],
-        )
-        return watched.where(~err).select(*self._data_cols()), obs
+        watched = self.flagged.observe(obs, *self._count_columns())
+        return watched.where(~self.has_error).select(*self._data_cols()), obs
 
     def metrics_from_counts(self, spark, counts: dict, output_location: str, quarantine_location: str,
                             run_id: str | None = None) -> DataFrame:
