@@ -130,3 +130,37 @@ def test_merge_on_read_equals_batch(spark, layout, silver_email, name):
     else:
         want = scd2(silver_email, ["ACCOUNT_ID"], "UPDATED_AT", ["processed_time"])
     assert _rows(got) == _rows(want)
+
+
+def test_streaming_cdc_rejects_gold_sources(spark, layout, silver_email):
+    import copy
+
+    spec = copy.deepcopy(default_gold_specs()["customer_email_contact_current"])
+    spec.sql = "SELECT * FROM __gold__.customer_email_contact"
+    src = spark.readStream.schema(silver_email.schema).parquet(_split_files(spark, silver_email, 1, (0,)))
+    with pytest.raises(ValueError, match="__gold__"):
+        cdc.cdc_stream(spark, spec, {EMAIL: src}, layout)
+
+
+def test_streaming_gate_writes_quarantine_and_metrics(spark, layout, email_table):
+    """The gate before the CDC apply: bad rows quarantined, metrics per micro-batch, valid rows applied."""
+    import copy
+
+    from sluice.plans.silver import stage
+
+    bronze = fixtures.bronze(spark, SF001, EMAIL)
+    path = _split_files(spark, bronze, 2, (1, 0))
+    src = stage(spark, email_table, spark.readStream.schema(bronze.schema).option("maxFilesPerTrigger", 1)
+                .parquet(path))
+    spec = copy.deepcopy(default_gold_specs()["customer_email_contact_current"])
+    spec.cfg["apply_dqx"] = True
+    q = cdc.cdc_stream(spark, spec, {EMAIL: src}, layout, rules=email_table.rules, buckets=4)
+    q.awaitTermination()
+    checked = silver_check(spark, email_table, bronze, validate_schema=False)
+    quarantine = layout.read(spark, "quarantine", f"{spec.target}_gold_quarantine")
+    assert quarantine.count() == checked.quarantine().count()
+    m = layout.read(spark, "metrics", f"{spec.target}_gold_metrics").where("metric_name = 'input_row_count'")
+    assert sorted(r._batch_id for r in m.collect()) == [0, 1]
+    assert sum(int(r.metric_value) for r in m.collect()) == bronze.count()
+    want = scd1(checked.valid(), ["ACCOUNT_ID"], "UPDATED_AT", ["processed_time"])
+    assert _rows(cdc.cdc_view(spark, spec, layout)) == _rows(want)
