@@ -409,7 +409,7 @@ def q_stream_gold_quarantine(spark, sf):
 
     _prepare(spark)
     spec = copy.deepcopy(_gold_specs()[CURRENT])
-    spec.cfg["apply_dqx"] = True
+    spec.cfg["quality_gate"] = True
     t = _tables()[EMAIL]
     source = stage(spark, t, fixtures.bronze_stream(spark, sf, EMAIL))
     layout, spec, _ = _stream_cdc(spark, sf, CURRENT, spec=spec, rules=t.rules, source=source)

@@ -47,7 +47,7 @@ class GoldSpec:
 
     @property
     def apply_gate(self) -> bool:
-        return bool(self.cfg.get("apply_dqx", False))
+        return bool(self.cfg.get("quality_gate", False))
 
 
 def gold_specs(registry: dict, domain: str, sql_dir: str) -> list[GoldSpec]:
@@ -98,12 +98,12 @@ class GoldView:
 
     def quarantine(self) -> DataFrame:
         if not self.checked:
-            raise ValueError(f"'{self.spec.name}' has no quality gate (apply_dqx is false)")
+            raise ValueError(f"'{self.spec.name}' has no quality gate (quality_gate is false)")
         return self.checked.quarantine()
 
     def metrics(self, layout: Layout, run_id: str | None = None) -> DataFrame:
         if not self.checked:
-            raise ValueError(f"'{self.spec.name}' has no quality gate (apply_dqx is false)")
+            raise ValueError(f"'{self.spec.name}' has no quality gate (quality_gate is false)")
         return self.checked.metrics(
             layout.name("gold", self.spec.target),
             layout.name("quarantine", f"{self.spec.target}_gold_quarantine"),

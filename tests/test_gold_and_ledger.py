@@ -57,7 +57,7 @@ def test_operation_dispatch_errors(spark, silver):
 
 def test_gold_without_gate_passes_input_through(spark, silver):
     spec = copy.deepcopy(default_gold_specs()["customer_account_profile_summary"])
-    spec.cfg["apply_dqx"] = False
+    spec.cfg["quality_gate"] = False
     view = gold_view(spark, spec, silver)
     assert view.checked is None and view.output() is view.staged
     with pytest.raises(ValueError, match="no quality gate"):

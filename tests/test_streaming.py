@@ -153,7 +153,7 @@ def test_streaming_gate_writes_quarantine_and_metrics(spark, layout, email_table
     src = stage(spark, email_table, spark.readStream.schema(bronze.schema).option("maxFilesPerTrigger", 1)
                 .parquet(path))
     spec = copy.deepcopy(default_gold_specs()["customer_email_contact_current"])
-    spec.cfg["apply_dqx"] = True
+    spec.cfg["quality_gate"] = True
     q = cdc.cdc_stream(spark, spec, {EMAIL: src}, layout, rules=email_table.rules, buckets=4)
     q.awaitTermination()
     checked = silver_check(spark, email_table, bronze, validate_schema=False)
