@@ -32,6 +32,12 @@ class Layout:
     def checkpoint_path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/_checkpoints/{name}"
 
+    def query_name(self, name: str) -> str:
+        """Streaming query name: stable for one layout (restarts), distinct across layouts (concurrent runs)."""
+        import zlib
+
+        return f"{name}_{zlib.crc32(self.root.encode()):08x}"
+
     def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
         return spark.read.parquet(self.path(layer, table))
 

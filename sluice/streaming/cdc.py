@@ -282,7 +282,7 @@ def cdc_stream(
             if checked is not None:
                 checked.unpersist()
 
-    writer = source.writeStream.queryName(name).foreachBatch(per_batch).option(
+    writer = source.writeStream.queryName(layout.query_name(name)).foreachBatch(per_batch).option(
         "checkpointLocation", layout.checkpoint_path(name))
     writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=available_now)
     return writer.start()

@@ -42,7 +42,7 @@ def silver_stream(
         write_silver(checked, layout, table, batch_id=batch_id, run_id=f"{name}:{batch_id}")
 
     writer = (
-        staged.writeStream.queryName(name)
+        staged.writeStream.queryName(layout.query_name(name))
         .foreachBatch(per_batch)
         .option("checkpointLocation", layout.checkpoint_path(name))
     )
