@@ -23,9 +23,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import oracle_duckdb as O  # noqa: E402
 from sluice.functions.binding import bind_sql  # noqa: E402
-from sluice.functions.contract import Rule  # noqa: E402
 from sluice.operators.joins import left_join_many  # noqa: E402
-from sluice.operators.quality import ERRORS, WARNINGS, check  # noqa: E402
+from sluice.operators.quality import ERRORS, WARNINGS  # noqa: E402
 from sluice.operators.scd import latest_per_key, scd1, scd2  # noqa: E402
 from sluice.plans import ledger  # noqa: E402
 from sluice.plans.gold import build_gold, default_gold_specs, gold_view  # noqa: E402

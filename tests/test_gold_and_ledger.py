@@ -4,9 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from sluice.functions.contract import Rule
 from sluice.plans import ledger
-from sluice.plans.gold import GoldSpec, build_gold, default_gold_specs, gold_view
+from sluice.plans.gold import build_gold, default_gold_specs, gold_view
 from sluice.plans.silver import default_silver_tables, silver_check, stage
 from sluice.sources import fixtures
 

@@ -1,7 +1,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from sluice.functions.contract import Rule
 from sluice.operators.quality import check
