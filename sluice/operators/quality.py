@@ -78,8 +78,17 @@ class Checked:
         self.quarantine_warnings = quarantine_warnings
         if _flagged is None:
             spark = df.sparkSession
-            _flagged = df.select(*[F.col(f"`{c}`") for c in self.columns],
-                                 *[fails(r, spark).alias(f) for r, f in zip(rules, self.flags)])
+            cols = [F.col(f"`{c}`") for c in self.columns]
+            try:
+                _flagged = df.select(*cols, *[fails(r, spark).alias(f) for r, f in zip(rules, self.flags)])
+            except Exception as exc:  # name the rule that cannot be evaluated on this frame
+                for r in rules:
+                    try:
+                        df.select(fails(r, spark))
+                    except Exception as one:
+                        where = f" of table '{r.table}'" if r.table else ""
+                        raise ValueError(f"rule '{r.name}'{where} cannot be evaluated: {one}") from one
+                raise exc
         self.flagged = _flagged
 
     # -- flag helpers -------------------------------------------------------

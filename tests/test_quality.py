@@ -64,3 +64,9 @@ def test_checks_stay_one_projection(checked):
     plan = checked.valid()._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
     assert "WholeStageCodegen" in plan or "*(" in plan
+
+
+def test_rule_on_missing_column_is_named(spark):
+    df = spark.createDataFrame([(1,)], "a int")
+    with pytest.raises(ValueError, match="rule 'needs_b' of table 't' cannot be evaluated"):
+        check(df, [Rule("ok", "a > 0"), Rule("needs_b", "b IS NOT NULL", table="t")])
