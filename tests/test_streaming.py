@@ -55,6 +55,13 @@ def test_silver_stream_equals_batch(spark, layout, email_table):
     assert q_got.count() == batch.quarantine().count()
     m = layout.read(spark, "metrics", f"{EMAIL}_metrics").where("metric_name = 'input_row_count'")
     assert sum(int(r.metric_value) for r in m.collect()) == bronze.count()
+    # per-batch entries folded into one entry per table equal the whole-table metrics
+    from sluice.plans import ledger
+
+    folded = {r.metric_name: r.metric_value for r in ledger.totals(layout.read(spark, "metrics", f"{EMAIL}_metrics"))
+              .collect()}
+    whole = {r.metric_name: r.metric_value for r in batch.metrics("x", "y").collect()}
+    assert folded == whole
 
 
 def test_replayed_micro_batch_does_not_duplicate(spark, layout, email_table):
