@@ -72,6 +72,19 @@ class CatalogLayout(Layout):
     database (``SHOW TABLES``); ``root`` only holds stream checkpoints and CDC state.
     """
 
+    @classmethod
+    def from_conf(cls, spark: SparkSession, root: str, prefix: str = "pipeline.") -> "CatalogLayout":
+        """Layer databases from session settings ``<prefix><layer>_catalog`` / ``<prefix><layer>_schema``.
+
+        A layer without settings keeps its own name as database.
+        """
+        names = {}
+        for layer in LAYERS:
+            schema = spark.conf.get(f"{prefix}{layer}_schema", "") or layer
+            catalog = spark.conf.get(f"{prefix}{layer}_catalog", "")
+            names[layer] = f"{catalog}.{schema}" if catalog else schema
+        return cls(root, names)
+
     def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
         return spark.read.table(self.name(layer, table))
 

@@ -110,3 +110,17 @@ def test_project_folder_conventions(spark, tmp_path):
     assert run_global(spark, layout).count() == 25
     with pytest.raises(FileNotFoundError):
         proj.silver_tables("other_system")
+
+
+def test_catalog_layout_from_session_settings(spark):
+    from sluice.sources.tables import CatalogLayout
+
+    spark.conf.set("pipeline.silver_catalog", "spark_catalog")
+    spark.conf.set("pipeline.silver_schema", "core_silver")
+    try:
+        lay = CatalogLayout.from_conf(spark, "/unused")
+        assert lay.name("silver", "customer_account") == "spark_catalog.core_silver.customer_account"
+        assert lay.name("gold", "t") == "gold.t"
+    finally:
+        spark.conf.unset("pipeline.silver_catalog")
+        spark.conf.unset("pipeline.silver_schema")
