@@ -344,9 +344,10 @@ def q_stream_quarantine_email(spark, sf):
 
 
 def q_stream_metrics(spark, sf):
+    """Per-micro-batch ledger entries of the silver stream, folded into the whole-table entry."""
     layout = Layout(new_scratch_dir(spark, "stream-metrics"))
     _stream_silver_email(spark, sf, layout)
-    return layout.read(spark, "metrics", f"{EMAIL}_metrics").select(*LEDGER_COLS)
+    return ledger.totals(layout.read(spark, "metrics", f"{EMAIL}_metrics")).select(*LEDGER_COLS)
 
 
 def _silver_as_stream(spark, layout, path=None):
