@@ -154,3 +154,17 @@ def test_chunk_count_follows_input_size(spark):
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert chunk_count(df) == base                        # small input: the configured parallelism
     assert chunk_count(df, target_bytes=64 * 1024) > base  # larger input relative to the target: more chunks
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b"]), st.sampled_from([1, 2, None]),
+                               st.sampled_from(["x", "y"]), st.integers(0, 20).map(ts)), min_size=1, max_size=40),
+       chunks=st.integers(1, 6))
+def test_scd2_composite_key_matches_brute_force(spark, rows, chunks):
+    df = spark.createDataFrame(rows, "k1 string, k2 int, v string, seq timestamp")
+    got = sorted((tuple(r) for r in scd2(df, ["k1", "k2"], "seq", track_history_columns=["v"], chunks=chunks)
+                  .select("k1", "k2", "v", "seq", START_AT, END_AT).collect()), key=repr)
+    # reuse the single-key reference by folding (k1, k2) into one key; NULL k2 means a NULL key -> not applied
+    folded = [(None if k2 is None else f"{k1}|{k2}", v, "p", s) for k1, k2, v, s in rows]
+    want = [(k.split("|")[0], int(k.split("|")[1]), v, s, a, e) for k, v, w, s, a, e in brute_scd2(folded, ["v"])]
+    assert got == sorted(want, key=repr)
