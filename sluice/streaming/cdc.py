@@ -77,8 +77,15 @@ def _state(spark: SparkSession, path: str, touched: list[int]) -> DataFrame | No
     return spark.read.parquet(path).where(F.col(BUCKET).isin(touched))
 
 
+def _rebalanced(df: DataFrame) -> DataFrame:
+    """Files sized by AQE per bucket: without it every task writes a file into every bucket it holds
+    (tasks x buckets small files); a bucket larger than the advisory size is still split over tasks."""
+    return df.hint("rebalance", BUCKET)
+
+
 def _write_buckets(df: DataFrame, target: str) -> None:
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(target)
+    (_rebalanced(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BUCKET).parquet(target))
 
 
 def merge_scd1(spark, batch_df, state_root, keys, sequence_by, except_columns=(), buckets=DEFAULT_BUCKETS, batch_id=0):
@@ -100,7 +107,7 @@ def merge_scd1(spark, batch_df, state_root, keys, sequence_by, except_columns=()
                 return
             both = old.drop(BUCKET).unionByName(winners.drop(BUCKET))
             fresh = scd1(both, keys, sequence_by).withColumn(BUCKET, bucket_of(keys, buckets))
-            fresh.write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
+            _rebalanced(fresh).write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
         finally:
             winners.unpersist()
     _swap_in(spark, staging, target)
@@ -147,10 +154,11 @@ def merge_scd2(spark, batch_df, state_root, keys, sequence_by, except_columns=()
                     return
                 fresh = _dedup_log(old.unionByName(rows), keys, sequence_by).withColumn(
                     BUCKET, bucket_of(keys, buckets))
-                fresh.write.mode("overwrite").partitionBy(BUCKET).parquet(log_staging)
+                _rebalanced(fresh).write.mode("overwrite").partitionBy(BUCKET).parquet(log_staging)
             finally:
                 rows.unpersist()
-        history(spark.read.parquet(log_staging)).write.mode("overwrite").partitionBy(BUCKET).parquet(hist_staging)
+        _rebalanced(history(spark.read.parquet(log_staging))).write.mode("overwrite").partitionBy(BUCKET).parquet(
+            hist_staging)
     _swap_in(spark, log_staging, log_target)
     _swap_in(spark, hist_staging, hist_target)
 
