@@ -114,7 +114,8 @@ def write_checked(checked: Checked, layout: Layout, layer: str, name: str, q_lay
     """
     valid, obs = checked.observed()
     layout.write(valid, layer, name, mode="overwrite")
-    layout.write(checked.quarantine(), *q_layer_name, mode="overwrite")
+    # quarantine is a thin slice of every input split: rebalance it into well-sized files
+    layout.write(checked.quarantine().hint("rebalance"), *q_layer_name, mode="overwrite")
     m = checked.metrics_from_counts(checked.flagged.sparkSession, obs.get, out_loc, q_loc, run_id)
     layout.write(m.coalesce(1), "metrics", metrics_name, mode="overwrite")
 
@@ -145,7 +146,7 @@ def write_silver(
     try:
         outputs = [
             (c.valid(), "silver", table.target_table),
-            (c.quarantine(), "quarantine", f"{table.target_table}_quarantine"),
+            (c.quarantine().hint("rebalance"), "quarantine", f"{table.target_table}_quarantine"),
             (c.metrics(out_loc, q_loc, run_id), "metrics", f"{table.target_table}_metrics"),
         ]
         for df, layer, name in outputs:
