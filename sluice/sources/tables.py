@@ -126,16 +126,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def list_dirs(spark: SparkSession, path: str) -> list[str]:
-    """Names of the sub-folders of ``path`` (metadata listing, one call)."""
+def list_dirs(spark: SparkSession, path: str, prefix: str | None = None) -> list[str]:
+    """Names of the sub-folders of ``path`` (metadata listing, one call).
+
+    Without ``prefix`` hidden names (``_x``, ``.x``) are skipped; with it, exactly the names starting with it.
+    """
     p, fs = _fs(spark, path)
     if not fs.exists(p):
         return []
-    return sorted(
-        s.getPath().getName()
-        for s in fs.listStatus(p)
-        if s.isDirectory() and not s.getPath().getName().startswith(("_", "."))
-    )
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    if prefix is not None:
+        return sorted(n for n in names if n.startswith(prefix))
+    return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
 def marker_names(spark: SparkSession, path: str, prefix: str) -> list[str]:
@@ -149,3 +151,8 @@ def marker_names(spark: SparkSession, path: str, prefix: str) -> list[str]:
 def touch(spark: SparkSession, path: str) -> None:
     p, fs = _fs(spark, path)
     fs.create(p, True).close()
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from ..operators.quality import check
 from ..operators.scd import _prepare, scd1, scd2
 from ..plans.gold import GoldSpec, gold_rules, gold_source
-from ..sources.tables import Layout, list_dirs, marker_names, path_exists, touch
+from ..sources.tables import Layout, delete_path, list_dirs, marker_names, path_exists, touch
 
 BUCKET = "_bucket"
 # Fixed at state creation.  Pick it so one bucket holds ~128 MB - 1 GB of state:
@@ -214,12 +214,33 @@ def append_delta(spark, batch_df, state_root, op, keys, sequence_by, except_colu
 
 def compact(spark, state_root, op, keys, sequence_by, upto: int) -> None:
     """New base version ``v=upto`` = reduce(base ∪ deltas <= upto); complete once its _SUCCESS exists."""
+    if path_exists(spark, f"{state_root}/base/v={upto}/_SUCCESS"):
+        return  # a replayed batch: this version is already complete
     rows = mor_rows(spark, state_root, upto=upto)
     if rows is None:
         return
     _reduce(rows, op, keys, sequence_by).write.mode("overwrite").parquet(f"{state_root}/base/v={upto}")
 
 
+def prune(spark: SparkSession, state_root: str, keep: int = 1) -> list[str]:
+    """Delete what the newest complete base makes obsolete, keeping ``keep`` older base versions.
+
+    Readers that started before the last compaction still find their base and
+    deltas (they belong to a kept version).  Returns the deleted paths.
+    """
+    versions = sorted(int(n[2:]) for n in list_dirs(spark, f"{state_root}/base")
+                      if n.startswith("v=") and path_exists(spark, f"{state_root}/base/{n}/_SUCCESS"))
+    if len(versions) <= keep:
+        return []
+    floor = versions[-1 - keep]  # everything up to this version is covered by every kept base
+    doomed = [f"{state_root}/base/v={v}" for v in versions[: -1 - keep]]
+    doomed += [f"{state_root}/deltas/{n}" for n in list_dirs(spark, f"{state_root}/deltas", prefix=f"{DELTA_BATCH}=")
+               if int(n.split("=")[1]) <= floor]
+    for path in doomed:
+        delete_path(spark, path)
+    return doomed
+
+
 def cdc_stream(
     spark: SparkSession,
     spec: GoldSpec,

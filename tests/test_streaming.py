@@ -171,3 +171,18 @@ def test_streaming_gate_writes_quarantine_and_metrics(spark, layout, email_table
     assert sum(int(r.metric_value) for r in m.collect()) == bronze.count()
     want = scd1(checked.valid(), ["ACCOUNT_ID"], "UPDATED_AT", ["processed_time"])
     assert _rows(cdc.cdc_view(spark, spec, layout)) == _rows(want)
+
+
+def test_merge_on_read_prune_keeps_results(spark, silver_email):
+    root = new_scratch_dir(spark, "mor-prune")
+    keys, seq = ["ACCOUNT_ID"], "UPDATED_AT"
+    day = F.dayofmonth(seq)
+    parts = [silver_email.where((day > 6 * i) & (day <= 6 * (i + 1))) for i in range(6)]
+    for i, part in enumerate(parts):
+        cdc.append_delta(spark, part, root, "delta_type1", keys, seq, ["processed_time"], batch_id=i, compact_every=2)
+    assert cdc._base_version(spark, root) == 5
+    deleted = cdc.prune(spark, root, keep=1)  # bases v=1,3,5: keep v=5 and v=3, drop v=1
+    assert any(p.endswith("base/v=1") for p in deleted) and not any(p.endswith("base/v=3") for p in deleted)
+    assert sorted(p.rsplit("=", 1)[1] for p in deleted if "/deltas/" in p) == ["0", "1", "2", "3"]  # covered by v=3 and v=5
+    got = scd1(cdc.mor_rows(spark, root), keys, seq)
+    assert _rows(got) == _rows(scd1(silver_email, keys, seq, ["processed_time"]))
