@@ -81,3 +81,15 @@ def test_ledger_discovery_and_empty(spark, layout):
     assert ledger.discover_ledgers(spark, layout) == ["dom_gold_quality_metrics", "sys_quality_metrics"]
     assert ledger.global_ledger(spark, layout).count() == 10
     assert ledger.global_ledger(spark, layout).columns == ledger.COLUMNS
+
+
+def test_gold_view_over_another_gold_table(spark, silver):
+    from sluice.plans.gold import GoldSpec
+
+    summary = build_gold(spark, default_gold_specs()["customer_account_profile_summary"], silver)
+    spec = GoldSpec(name="business_accounts", cfg={"source_tables": ["customer_account_profile_summary"]},
+                    sql="SELECT ACCOUNT_ID FROM __gold__.customer_account_profile_summary "
+                        "WHERE CUSTOMER_TYPE = 'BUSINESS'",
+                    origin="<test>", sources=["customer_account_profile_summary"])
+    view = gold_view(spark, spec, {}, gold={"customer_account_profile_summary": summary})
+    assert view.output().count() == summary.where("CUSTOMER_TYPE = 'BUSINESS'").count() > 0
