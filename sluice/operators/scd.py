@@ -17,7 +17,7 @@ so the ordered scan is split into range chunks instead:
    the running start of the current island.
 3. Chunk borders: keys are contiguous in range order, so only the first and
    the last key of a chunk can continue in a neighbouring chunk.  Their
-   per-(key, chunk) summaries -- at most two per chunk, a bound set by the
+   per-(key, chunk) summaries (computed in the same sorted window pass) -- at most two per chunk, a bound set by the
    partition count, not by the data -- are stitched with a small window and
    broadcast back.
 4. A version is the last row of its island (the next row differs or there is
@@ -167,10 +167,15 @@ def scd2(
         F.lead(seq).over(w).alias("_next_in"),
     )
     starts_here = F.col("_prev_t").isNotNull() & ~F.col("_t").eqNullSafe(F.col("_prev_t"))
+    group_first = F.col("_prev_t").isNull()  # first row of its (key, chunk) group
+    w_all = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = rows.select(
         "*",
         F.max(F.when(starts_here, seq)).over(w_run).alias("_start_in"),
         F.min(seq).over(w_run).alias("_first_in"),
+        # the group's summary, kept on its first row only (same sorted pass, no extra sort)
+        F.when(group_first, F.last("_t").over(w_all)).alias("_g_last_t"),
+        F.when(group_first, F.max(F.when(starts_here, seq)).over(w_all)).alias("_g_last_start"),
     )
     # Two consumers follow (the chunk summary and the final filter).  Their plans
     # differ after column pruning, so Spark would not reuse the shuffles and would
@@ -180,11 +185,12 @@ def scd2(
     rows = materialize(rows)
 
     # 3. chunk borders: per (key, chunk) summary, kept only for a chunk's first and last key
-    per_kc = rows.groupBy(*part).agg(
-        F.min_by("_t", seq).alias("_first_t"),
-        F.max_by("_t", seq).alias("_last_t"),
-        F.min(seq).alias("_first_seq"),
-        F.max(F.when(starts_here, seq)).alias("_last_start_in"),
+    per_kc = rows.where(F.col("_prev_t").isNull()).select(
+        *part,
+        F.col("_t").alias("_first_t"),
+        F.col("_g_last_t").alias("_last_t"),
+        seq.alias("_first_seq"),
+        F.col("_g_last_start").alias("_last_start_in"),
     )
     kstruct = F.struct(*kcols)
     ends = per_kc.groupBy("_chunk").agg(F.min(kstruct).alias("_lo"), F.max(kstruct).alias("_hi"))
