@@ -118,7 +118,8 @@ def gold_view(spark: SparkSession, spec: GoldSpec, silver: dict[str, DataFrame],
     if spec.apply_gate:
         if layout is not None and not layout.names.get("quarantine"):
             raise ValueError(f"Gold quality gate is enabled for '{spec.name}', but no quarantine location is set.")
-        checked = check(staged, rules if rules is not None else gold_rules(spec))
+        checked = check(staged, rules if rules is not None else gold_rules(spec),
+                        quarantine_warnings=bool(spec.cfg.get("quarantine_warnings", False)))
     return GoldView(spec, staged, checked)
 
 

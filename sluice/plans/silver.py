@@ -40,6 +40,7 @@ class SilverTable:
     exclude_columns: list[str] = field(default_factory=list)
     primary_keys: list[str] = field(default_factory=list)
     origin: str = "<sql>"
+    quarantine_warnings: bool = False  # registry key: warn-only rows also go to quarantine
 
 
 def silver_tables(registry: dict, system: str, contract: Contract, sql_dir: str) -> list[SilverTable]:
@@ -60,6 +61,7 @@ def silver_tables(registry: dict, system: str, contract: Contract, sql_dir: str)
                 exclude_columns=exclude_list(cfg.get("exclude_columns")),
                 primary_keys=list(cfg.get("primary_keys") or []),
                 origin=path,
+                quarantine_warnings=bool(cfg.get("quarantine_warnings", False)),
             )
         )
     return out
@@ -91,13 +93,14 @@ def silver_check(
     bronze_df: DataFrame,
     validate_schema: bool = True,
     strict_schema: bool = False,
-    quarantine_warnings: bool = False,
+    quarantine_warnings: bool | None = None,
 ) -> Checked:
     staged = stage(spark, table, bronze_df)
     rules = list(table.rules)
     if validate_schema and table.expected_schema is not None:
         rules.append(schema_rule(table.name, staged, table.expected_schema, strict_schema))
-    return check(staged, rules, quarantine_warnings)
+    qw = table.quarantine_warnings if quarantine_warnings is None else quarantine_warnings
+    return check(staged, rules, qw)
 
 
 def locations(layout: Layout, table: SilverTable) -> tuple[str, str]:

@@ -25,7 +25,7 @@ def silver_stream(
     available_now: bool = True,
     processing_time: str | None = None,
     validate_schema: bool = True,
-    quarantine_warnings: bool = False,
+    quarantine_warnings: bool | None = None,
     query_name: str | None = None,
 ):
     """Start the silver stream of one table; returns the ``StreamingQuery``."""
@@ -36,9 +36,10 @@ def silver_stream(
     if validate_schema and table.expected_schema is not None:
         rules.append(schema_rule(table.name, staged, table.expected_schema))
     name = query_name or f"silver_{table.target_table}"
+    qw = table.quarantine_warnings if quarantine_warnings is None else quarantine_warnings
 
     def per_batch(batch_df: DataFrame, batch_id: int) -> None:
-        checked = check(batch_df, rules, quarantine_warnings)
+        checked = check(batch_df, rules, qw)
         write_silver(checked, layout, table, batch_id=batch_id, run_id=f"{name}:{batch_id}")
 
     writer = (

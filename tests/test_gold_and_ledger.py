@@ -93,3 +93,14 @@ def test_gold_view_over_another_gold_table(spark, silver):
                     origin="<test>", sources=["customer_account_profile_summary"])
     view = gold_view(spark, spec, {}, gold={"customer_account_profile_summary": summary})
     assert view.output().count() == summary.where("CUSTOMER_TYPE = 'BUSINESS'").count() > 0
+
+
+def test_quarantine_warnings_from_the_registry(spark):
+    import dataclasses
+
+    t = [t for t in default_silver_tables() if t.name == "customer_account"][0]
+    bronze = fixtures.bronze(spark, SF001, "customer_account")
+    plain = silver_check(spark, t, bronze).quarantine().count()
+    with_warn = silver_check(spark, dataclasses.replace(t, quarantine_warnings=True), bronze).quarantine().count()
+    warn_only = silver_check(spark, t, bronze).annotated().where("size(_errors) = 0 AND size(_warnings) > 0").count()
+    assert with_warn == plain + warn_only and warn_only > 0
