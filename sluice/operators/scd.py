@@ -12,9 +12,10 @@ so the ordered scan is split into range chunks instead:
 1. ``repartitionByRange(keys, seq)``: the sampled range partitioner cuts a hot
    key into several contiguous pieces; the partition id is the chunk id.  The
    chunk count follows the input size (~256 MB per chunk).
-2. Windows over ``(keys, chunk)``: de-duplicate equal ``(key, seq)`` (they are
-   always in one chunk), previous / next tracked values, next sequence, and
-   the running start of the current island.
+0. Equal ``(key, seq)`` rows are de-duplicated first by a map-side-combined
+   aggregate: a range partitioner cannot split copies of one value.
+2. Windows over ``(keys, chunk)``: previous / next tracked values, next
+   sequence, and the running start of the current island.
 3. Chunk borders: keys are contiguous in range order, so only the first and
    the last key of a chunk can continue in a neighbouring chunk.  Their
    per-(key, chunk) summaries (computed in the same sorted window pass) -- at most two per chunk, a bound set by the
@@ -99,6 +100,18 @@ def chunk_count(df: DataFrame, target_bytes: int = CHUNK_BYTES) -> int:
     return max(base, min(1_000_000, -(-size // target_bytes)))
 
 
+def dedup_key_seq(df: DataFrame, keys, sequence_by: str) -> DataFrame:
+    """One row per (keys, sequence_by): the greatest remaining columns win (map-side combined)."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    others = [c for c in df.columns if c not in keys and c != sequence_by]
+    group = [_q(k) for k in keys] + [_q(sequence_by)]
+    if not others:
+        return df.select(*group).distinct()
+    best = F.max(F.struct(*[_q(c) for c in others])).alias("_w")
+    return df.groupBy(*group).agg(best).select(
+        *[_q(c) if c in keys or c == sequence_by else F.col("_w").getField(c).alias(c) for c in df.columns])
+
+
 def range_chunks(df: DataFrame, keys, order_by: str, n: int) -> DataFrame:
     """Add ``_chunk``: contiguous, size-balanced ranges of (keys, order_by).
 
@@ -139,23 +152,22 @@ def scd2(
     d, keys = _prepare(df, keys, sequence_by, except_columns)
     cols = d.columns
     seq = _q(sequence_by)
-    others = [c for c in cols if c not in keys and c != sequence_by]
     tracked = tracked_columns(cols, keys, track_history_columns, track_history_except_columns)
     n = chunks or chunk_count(d)
     small = n <= BROADCAST_CHUNKS  # edge rows <= 2n: a proven bound; broadcast while it is small
     kcols = [_q(k) for k in keys]
     part = [*kcols, F.col("_chunk")]
 
+    # 0. one row per (key, seq), the greatest remaining columns winning.  Copies of
+    #    one (key, seq) cannot be split by a range partitioner; this aggregate
+    #    combines them map-side, so even a group of copies holding a third of all
+    #    rows reaches the shuffle as one row per input partition.
+    deduped = dedup_key_seq(d, keys, sequence_by)
+
     # 1. contiguous (key, seq) ranges; the partition id names the chunk
-    chunked = range_chunks(d, keys, sequence_by, n)
-
-    # 2. inside a chunk: de-duplicate (key, seq), neighbours, running island start
-    w_dedup = Window.partitionBy(*part).orderBy(seq, *[_q(c).desc_nulls_last() for c in others])
-    deduped = (
-        chunked.withColumn("_dup", F.coalesce(F.lag(seq).over(w_dedup) == seq, F.lit(False)))
-        .where(~F.col("_dup"))
-        .drop("_dup")
-    )
+    deduped = range_chunks(deduped, keys, sequence_by, n)
+
+    # 2. inside a chunk: neighbours and running island start
     t = F.struct(*[_q(c) for c in tracked])
     w = Window.partitionBy(*part).orderBy(seq)
     w_run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)

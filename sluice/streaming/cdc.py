@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import check
-from ..operators.scd import _prepare, scd1, scd2
+from ..operators.scd import _prepare, dedup_key_seq, scd1, scd2
 from ..plans.gold import GoldSpec, gold_rules, gold_source
 from ..sources.tables import Layout, delete_path, list_dirs, marker_names, path_exists, touch
 
@@ -115,12 +115,7 @@ def merge_scd1(spark, batch_df, state_root, keys, sequence_by, except_columns=()
 
 def _dedup_log(df: DataFrame, keys, sequence_by: str) -> DataFrame:
     """One row per (key, sequence): the greatest remaining columns win (as in ``scd2``)."""
-    others = [c for c in df.columns if c not in keys and c != sequence_by and c != BUCKET]
-    best = F.max(F.struct(*[F.col(f"`{c}`") for c in others])).alias("_w")
-    return df.groupBy(*[F.col(f"`{k}`") for k in keys], F.col(f"`{sequence_by}`")).agg(best).select(
-        *[F.col(f"`{c}`") if c in keys or c == sequence_by else F.col("_w").getField(c).alias(c)
-          for c in df.columns if c != BUCKET]
-    )
+    return dedup_key_seq(df.drop(BUCKET), keys, sequence_by)
 
 
 def merge_scd2(spark, batch_df, state_root, keys, sequence_by, except_columns=(), track_history_columns=None,

@@ -7,7 +7,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from sluice.operators.scd import END_AT, START_AT, latest_per_key, range_chunks, scd1, scd2
+from sluice.operators.scd import END_AT, START_AT, dedup_key_seq, latest_per_key, range_chunks, scd1, scd2
 
 SCHEMA = "k string, v string, w string, seq timestamp"
 T0 = dt.datetime(2024, 1, 1)
@@ -168,3 +168,14 @@ def test_scd2_composite_key_matches_brute_force(spark, rows, chunks):
     folded = [(None if k2 is None else f"{k1}|{k2}", v, "p", s) for k1, k2, v, s in rows]
     want = [(k.split("|")[0], int(k.split("|")[1]), v, s, a, e) for k, v, w, s, a, e in brute_scd2(folded, ["v"])]
     assert got == sorted(want, key=repr)
+
+
+def test_group_of_copies_is_combined_before_chunking(spark):
+    """A third of the rows are copies of one (key, seq): they collapse before the range partitioner sees them."""
+    copies = [("hot", "x", "p", ts(1))] * 3000 + [("hot", "y", "p", ts(1))] * 10
+    rows = copies + [(f"k{i % 50}", "x", "p", ts(i)) for i in range(6000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    d = dedup_key_seq(df, ["k"], "seq")
+    assert d.where("k = 'hot'").collect()[0]["v"] == "y"  # greatest remaining columns win
+    assert d.count() == 1 + 6000
+    assert run_scd2(spark, rows, ["v"], 4) == brute_scd2(rows, ["v"])
