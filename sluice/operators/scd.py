@@ -52,16 +52,26 @@ def _q(c: str) -> Column:
     return F.col(f"`{c}`")
 
 
+def _resolver(df: DataFrame):
+    """Config names -> the frame's own column names (case-insensitive unless the session says otherwise)."""
+    if df.sparkSession.conf.get("spark.sql.caseSensitive", "false").lower() == "true":
+        return lambda c: c
+    lookup = {c.lower(): c for c in df.columns}
+    return lambda c: lookup.get(c.lower(), c)
+
+
 def _prepare(df: DataFrame, keys, sequence_by: str, except_columns) -> tuple[DataFrame, list[str]]:
     if not keys:
         raise ValueError("CDC apply requires keys")
     if not sequence_by:
         raise ValueError("CDC apply requires sequence_by")
-    keys = [keys] if isinstance(keys, str) else list(keys)
+    name = _resolver(df)
+    keys = [name(k) for k in ([keys] if isinstance(keys, str) else list(keys))]
+    sequence_by = name(sequence_by)
     missing = [c for c in keys + [sequence_by] if c not in df.columns]
     if missing:
         raise ValueError(f"CDC columns not found in source: {missing}; source columns are {df.columns}")
-    excluded = set(except_columns or [])
+    excluded = {name(c) for c in (except_columns or [])}
     bad = excluded & (set(keys) | {sequence_by})
     if bad:
         raise ValueError(f"except_columns cannot remove keys or the sequence column: {sorted(bad)}")
@@ -75,6 +85,7 @@ def _prepare(df: DataFrame, keys, sequence_by: str, except_columns) -> tuple[Dat
 def scd1(df: DataFrame, keys, sequence_by: str, except_columns=()) -> DataFrame:
     """Type 1: the row with the greatest sequence per key (ties: greatest remaining columns)."""
     d, keys = _prepare(df, keys, sequence_by, except_columns)
+    sequence_by = _resolver(d)(sequence_by)
     others = [c for c in d.columns if c not in keys and c != sequence_by]
     best = F.max(F.struct(_q(sequence_by), *[_q(c) for c in others])).alias("_w")
     return (
@@ -102,7 +113,9 @@ def chunk_count(df: DataFrame, target_bytes: int = CHUNK_BYTES) -> int:
 
 def dedup_key_seq(df: DataFrame, keys, sequence_by: str) -> DataFrame:
     """One row per (keys, sequence_by): the greatest remaining columns win (map-side combined)."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
+    name = _resolver(df)
+    keys = [name(k) for k in ([keys] if isinstance(keys, str) else list(keys))]
+    sequence_by = name(sequence_by)
     others = [c for c in df.columns if c not in keys and c != sequence_by]
     group = [_q(k) for k in keys] + [_q(sequence_by)]
     if not others:
@@ -150,6 +163,11 @@ def scd2(
 ) -> DataFrame:
     """Type 2 history: one row per version, ``__START_AT`` / ``__END_AT`` validity interval."""
     d, keys = _prepare(df, keys, sequence_by, except_columns)
+    name = _resolver(d)
+    sequence_by = name(sequence_by)
+    track_history_columns = [name(c) for c in track_history_columns] if track_history_columns else None
+    track_history_except_columns = ([name(c) for c in track_history_except_columns]
+                                    if track_history_except_columns else None)
     cols = d.columns
     seq = _q(sequence_by)
     tracked = tracked_columns(cols, keys, track_history_columns, track_history_except_columns)
@@ -245,7 +263,9 @@ def latest_per_key(df: DataFrame, keys, order_by: str) -> DataFrame:
     go to the greatest remaining columns) but is combined map-side, so a hot key
     is never sorted inside one task.
     """
-    keys = [keys] if isinstance(keys, str) else list(keys)
+    name = _resolver(df)
+    keys = [name(k) for k in ([keys] if isinstance(keys, str) else list(keys))]
+    order_by = name(order_by)
     others = [c for c in df.columns if c not in keys and c != order_by]
     best = F.max(F.struct(_q(order_by), *[_q(c) for c in others])).alias("_w")
     return (

@@ -179,3 +179,11 @@ def test_group_of_copies_is_combined_before_chunking(spark):
     assert d.where("k = 'hot'").collect()[0]["v"] == "y"  # greatest remaining columns win
     assert d.count() == 1 + 6000
     assert run_scd2(spark, rows, ["v"], 4) == brute_scd2(rows, ["v"])
+
+
+def test_config_names_resolve_case_insensitively(spark):
+    rows = [("a", "x", "p", ts(1)), ("a", "y", "p", ts(2))]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert [tuple(r) for r in scd1(df, ["K"], "SEQ", except_columns=["W"]).collect()] == [("a", "y", ts(2))]
+    got = scd2(df, ["K"], "Seq", except_columns=["W"], track_history_columns=["V"], chunks=2)
+    assert got.count() == 2 and got.columns == ["k", "v", "seq", START_AT, END_AT]
