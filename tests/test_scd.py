@@ -187,3 +187,18 @@ def test_config_names_resolve_case_insensitively(spark):
     assert [tuple(r) for r in scd1(df, ["K"], "SEQ", except_columns=["W"]).collect()] == [("a", "y", ts(2))]
     got = scd2(df, ["K"], "Seq", except_columns=["W"], track_history_columns=["V"], chunks=2)
     assert got.count() == 2 and got.columns == ["k", "v", "seq", START_AT, END_AT]
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(row_st, min_size=0, max_size=40))
+def test_scd1_matches_brute_force(spark, rows):
+    best = {}
+    for k, v, w, s in rows:
+        if k is None or s is None:
+            continue  # NULL key or sequence: not applied
+        cand = (s, v, w)
+        if k not in best or (cand[0] > best[k][0]) or (cand[0] == best[k][0] and _gt(cand[1:], best[k][1:])):
+            best[k] = cand
+    want = sorted(((k, v, w, s) for k, (s, v, w) in best.items()), key=repr)
+    got = sorted((tuple(r) for r in scd1(spark.createDataFrame(rows, SCHEMA), ["k"], "seq").collect()), key=repr)
+    assert got == want
