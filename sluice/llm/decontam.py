@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common as C
 
@@ -68,15 +69,16 @@ def _automaton(patterns: dict[str, list[str]]):
     return a
 
 
-def _scan(patterns):
-    """Word hits of every document against one broadcast block of patterns."""
+def _scan(patterns, keep_rows: bool = False):
+    """Word hits of every document (a struct ``row``) against one broadcast block of patterns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = _automaton(patterns.value) if patterns.value else None
         schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("hits", pa.list_(pa.int32())), ("items", pa.list_(pa.string())),
                             ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
         for b in batches:
-            data, bounds, _ = C.text_bytes(b.column("text"))
+            row = b.column("row")
+            data, bounds, _ = C.text_bytes(row.field("text"))
             n_words, hits, items, spans = [], [], [], []
             for i, j in C.row_chunks(bounds):
                 raw = C.LOWER[data[bounds[i] : bounds[j]]]
@@ -109,29 +111,36 @@ def _scan(patterns):
                     new = np.flatnonzero(np.diff(at, prepend=-2) > 1)
                     stop = np.append(new[1:], len(at))[: len(new)]
                     spans.append([{"start": int(starts[a + at[p]] - part[d]), "end": int(ends[a + at[q - 1]] - part[d])} for p, q in zip(new, stop)])
-            yield C.batch(schema, b.column("doc_id"), n_words, hits, items, spans)
+            got = C.batch(schema, row.field("doc_id").cast(pa.int64()), n_words, hits, items, spans)
+            yield pa.RecordBatch.from_arrays([*got.columns, row], names=[*schema.names, "row"]) if keep_rows else got
 
     return run
 
 
-def scan_documents(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``doc_id, n_words, hits`` (word numbers), ``items`` (ids, sorted) and ``spans`` (byte offsets in the text) of each document."""
+def scan_documents(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+                   keep_rows: bool = False) -> DataFrame:
+    """``doc_id, n_words, hits`` (word numbers), ``items`` (ids, sorted), ``spans`` (byte offsets in the text) of each document.
+
+    With ``keep_rows`` also all input columns, as the struct ``row``.
+    """
     sc = documents.sparkSession.sparkContext
-    docs = documents.select(F.col("doc_id").cast("long"), "text")
+    rows = documents.select(F.struct("*").alias("row")) if keep_rows else documents.select(F.struct("doc_id", "text").alias("row"))
     blocks = list(pattern_blocks(benchmark, window, block_bytes)) or [{}]
     if len(blocks) == 1:
-        return docs.mapInArrow(_scan(sc.broadcast(blocks[0])), _SCAN)
+        out = T.StructType(T.StructType.fromDDL(_SCAN).fields + rows.schema.fields * keep_rows)
+        return rows.mapInArrow(_scan(sc.broadcast(blocks[0]), keep_rows), out)
     # several automata: scan once for each, then put the findings of a row together
-    numbered = C.cut(docs.withColumn("row", F.monotonically_increasing_id()), "decontam-rows")
+    numbered = C.cut(rows.withColumn("number", F.monotonically_increasing_id()), "decontam-rows")
+    texts = numbered.select(F.struct(F.col("number").alias("doc_id"), F.col("row.text").alias("text")).alias("row"))
     one = None
     for block in blocks:
-        scan = _scan(sc.broadcast(block))
-        part = numbered.select(F.col("row").alias("doc_id"), "text").mapInArrow(scan, _SCAN)
+        part = texts.mapInArrow(_scan(sc.broadcast(block)), _SCAN)
         one = part if one is None else one.unionByName(part)
     union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
     merged = one.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), union("hits").alias("hits"), union("items").alias("items"),
-                                       union("spans").alias("spans")).withColumnRenamed("doc_id", "row")
-    return numbered.select("row", "doc_id").join(merged, "row").select("doc_id", "n_words", "hits", "items", "spans")
+                                       union("spans").alias("spans")).withColumnRenamed("doc_id", "number")
+    found = numbered.join(merged, "number").withColumn("doc_id", F.col("row.doc_id").cast("long"))
+    return found.select("doc_id", "n_words", "hits", "items", "spans", *["row"] * keep_rows)
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:

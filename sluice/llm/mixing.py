@@ -14,7 +14,7 @@ The table of sources (a catalogue, one row each) is the only thing collected.  P
 hash ranges with known offsets and slot ranks from fixed ranges of slots, so no task holds a whole source.
 
 Defined cases: a null or empty text has size 0 and is never taken; a null source is a source; repeated rows are
-documents of their own (equal ones are interchangeable); further columns stay in ``row``; an empty table, or one without
+documents of their own (equal ones are interchangeable); further columns are only read if they are in ``keep``; an empty table, or one without
 words, gives targets of 0.
 """
 
@@ -77,11 +77,12 @@ def schedule(spark, blocks: list[int]) -> DataFrame:
         F.coalesce("slot", F.lit(slots) + F.col("late")).alias("slot"), "src", "block")
 
 
-def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``doc_id, size, source_size, target, taken, first_slot`` and all input columns as the struct ``row``."""
+def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, block_words: int = BLOCK_WORDS,
+        keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, size, source_size, target, taken, first_slot`` and the input columns ``keep`` as the struct ``row``."""
     spark = documents.sparkSession
     name = F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    sized = documents.select(F.struct("*").alias("row"), "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long").alias("size"),
+    sized = documents.select(*([F.struct(*keep).alias("row")] if keep else []), "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long").alias("size"),
                              F.md5(name.cast("binary")).alias("draw")).withColumn("part", F.substring("draw", 1, 3))
     narrow = C.cut(sized.select("source", "part", "size"), "mix-sizes")
     sources = C.cut(source_targets(narrow, weights, most), "mix-sources")
@@ -101,12 +102,12 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     got = where.withColumn("taken", (whole * F.col("size") + part).cast("long")).withColumn(
         "block", F.when(F.col("taken") > 0, F.expr(f"start div {block_words}")))
     found = got.join(slots, ["src", "block"], "left")
-    return found.select("row", "doc_id", "size", "source_size", "target", "taken", F.col("slot").alias("first_slot"))
+    return found.select(*["row"] * bool(keep), "doc_id", "size", "source_size", "target", "taken", F.col("slot").alias("first_slot"))
 
 
 def op8_mixing(spark, sf_dir: str) -> DataFrame:
     docs = C.table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mix(docs).drop("row")
+    return mix(docs)
 
 
 SQL = rf"""
