@@ -417,7 +417,28 @@ def q_stream_gold_quarantine(spark, sf):
 
 
 # -- registry ----------------------------------------------------------------------
+def _llm() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data operators; none where that subpackage isn't there."""
+    try:
+        import corpus_pipeline
+        from sluice.llm.queries import ORACLES, QUERIES
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "sluice.llm"):
+            raise
+        return {}, {}
+    sql = {**ORACLES, "pipeline": corpus_pipeline.ORACLE_SQL}
+    return {**QUERIES, "pipeline": corpus_pipeline.run}, {k: v for k, v in sql.items() if v is not None}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {**core_queries(), **_llm()[0]}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {**core_oracle_sql(), **_llm()[1]}
+
+
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "scan_account": q_scan_account,
         "silver_account": q_silver_account,
@@ -470,7 +491,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
-def oracle_sql() -> dict[str, str]:
+def core_oracle_sql() -> dict[str, str]:
     acc_cols = O.SILVER_COLS[ACCOUNT]
     prof_cols = O.SILVER_COLS[PROFILE]
     email_cols = O.SILVER_COLS[EMAIL]
