@@ -51,6 +51,15 @@ def same_row(left: str, right: str):
     return (F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id"))) & (F.col(f"{left}.tkey") == F.col(f"{right}.tkey"))
 
 
+def detached(df: DataFrame, key: str) -> DataFrame:
+    """``df`` with a long ``key`` that hides how ``df`` is partitioned.
+
+    A join on the key of an aggregate would reuse the aggregate's exchange, and AQE only splits a hot key of a join
+    whose two sides are exchanges of its own.
+    """
+    return df.select(*[F.bitwise_not(F.bitwise_not(F.col(c))).alias(c) if c == key else c for c in df.columns])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -142,7 +142,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int, members_per_task:
     sizes = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / members_per_task).cast("int").alias("salts"))
     hubs = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
     hub_rows = hubs.join(texts, hubs.hub == texts.node).select("hub", "salt", F.lit(0).alias("role"), "node", "text")
-    members = pairs.join(sizes, "hub").withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int")).drop("salts")
+    members = pairs.join(C.detached(sizes, "hub"), "hub").withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int")).drop("salts")
     member_rows = members.join(texts, "node").select("hub", "salt", F.lit(1).alias("role"), "node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +169,7 @@ def linked_classes(nodes: DataFrame, docs: DataFrame, percent: int) -> DataFrame
     """``node, comp`` of the classes that are linked with another one.  ``nodes``: node, doc_id, tkey, n, bands."""
     buckets = nodes.select("node", "n", F.explode("bands").alias("bucket"))
     several = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("bucket")
-    members = C.cut(buckets.join(several, "bucket"), "near-members")
+    members = C.cut(buckets.join(C.detached(several, "bucket"), "bucket"), "near-members")
     wanted = members.select("node").distinct()
     involved = nodes.select("node", "doc_id", "tkey").join(wanted, "node").alias("i")
     # rows that agree in key and text have the same set, so one of them is enough
@@ -180,7 +180,7 @@ def linked_classes(nodes: DataFrame, docs: DataFrame, percent: int) -> DataFrame
         hubs = state.groupBy("bucket").agg(
             F.max_by(F.struct("node", "comp", "n"), F.struct("degree", -F.col("node"))).alias("h"),
             F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high")
-        star = state.join(hubs, "bucket").filter("comp <> h.comp AND 100 * least(n, h.n) >= %d * greatest(n, h.n)" % percent)
+        star = state.join(C.detached(hubs, "bucket"), "bucket").filter("comp <> h.comp AND 100 * least(n, h.n) >= %d * greatest(n, h.n)" % percent)
         pairs = star.select(F.col("h.node").alias("hub"), "node").distinct()
         if tested is not None:
             seen = tested.unionByName(tested.select(F.col("node").alias("hub"), F.col("hub").alias("node")))
@@ -213,7 +213,7 @@ def grouped(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     least = named.join(comps, "node", "left").select("k1", "k2", "node", F.coalesce("comp", "node").alias("comp"), "least")
     least = C.cut(least, "near-components")
     names = least.groupBy("comp").agg(F.min("least").alias("component_id"))
-    named = least.join(names, "comp").select("k1", "k2", "comp", "component_id")
+    named = least.join(C.detached(names, "comp"), "comp").select("k1", "k2", "comp", "component_id")
     out = ["doc_id", "tkey", "n", "comp", "component_id"]
     alone = rows.filter("n = 0").select("doc_id", "tkey", "n", F.lit(None).cast("long").alias("comp"), F.col("doc_id").alias("component_id"))
     return full.join(named, ["k1", "k2"]).select(*out).unionByName(alone.select(*out))

@@ -86,7 +86,7 @@ def shared_fragments(docs: DataFrame, unit: str, window: int, gram: int, label:
     """
     rows = fragments(docs, unit, window, gram)
     often = rows.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h")
-    return C.cut(rows.join(often, "h"), label)
+    return C.cut(rows.join(C.detached(often, "h"), "h"), label)
 
 
 def by_document(spans: DataFrame, *fields: str) -> DataFrame:

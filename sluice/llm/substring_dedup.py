@@ -61,10 +61,10 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
         "substring-contents")
     copies = shared.join(contents.filter("copies > 1").select("h", "seg"), ["h", "seg"]).select("doc_id", "tkey", "lo", "n")
     mixed = contents.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h")
-    picked = contents.join(mixed, "h").select("at.*", "h")
+    picked = contents.join(C.detached(mixed, "h"), "h").select("at.*", "h")
     windows = C.cut(window_hashes(docs, picked, window), "substring-windows")
     twice = windows.groupBy("h", "win").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h", "win")
-    single = windows.join(twice, ["h", "win"]).select("doc_id", "tkey", "lo", F.lit(1).alias("n"))
+    single = windows.join(C.detached(twice, "win"), ["h", "win"]).select("doc_id", "tkey", "lo", F.lit(1).alias("n"))
     return copies.unionByName(single)
 
 
