@@ -134,7 +134,7 @@ def _roots(labels: DataFrame) -> DataFrame:
 _LINK = pa.schema([("hub", pa.int64()), ("node", pa.int64())])
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, percent: int, members_per_task: int = 1000) -> DataFrame:
+def confirm(pairs: DataFrame, texts: DataFrame, percent: int, members_per_task: int = 250) -> DataFrame:
     """The ``(hub, node)`` pairs whose full shingle sets are similar enough.
 
     Members travel to their hub once; a hub with many members is dealt over several salts, each with the hub's text.
