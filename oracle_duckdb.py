@@ -16,7 +16,7 @@ bronze_account AS (
     CASE WHEN o_orderkey % 97 = 0 THEN NULL
          WHEN o_orderkey % 89 = 0 THEN 'acc' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0')
          ELSE 'ACC' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') END AS ACCOUNT_ID,
-    'CUST' || lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS CUSTOMER_ID,
+    'CUST' || lpad(CAST(CASE WHEN o_orderkey % 53 = 0 THEN 90000000 ELSE 0 END + o_custkey AS VARCHAR), 8, '0') AS CUSTOMER_ID,
     CASE WHEN o_orderkey % 71 = 0 THEN 'PENDING' WHEN o_orderkey % 73 = 0 THEN ' active '
          WHEN o_orderstatus = 'O' THEN 'ACTIVE' WHEN o_orderstatus = 'P' THEN 'INACTIVE' ELSE 'CLOSED' END AS ACCOUNT_STATUS,
     CASE WHEN o_orderkey % 83 = 0 THEN 'xx' ELSE chr(CAST(65 + o_custkey % 26 AS INTEGER)) || 'X' END AS SERVICE_STATE,
@@ -30,7 +30,7 @@ bronze_profile AS (
     CASE WHEN b THEN c_name END AS ORG_NAME,
     CASE WHEN c_custkey % 43 = 0 THEN 'GOVT' WHEN b AND c_custkey % 41 = 0 THEN 'business '
          WHEN b THEN 'BUSINESS' ELSE 'RESIDENTIAL' END AS CUSTOMER_TYPE
-  FROM (SELECT *, c_mktsegment IN ('MACHINERY', 'BUILDING', 'AUTOMOBILE') AS b FROM customer WHERE c_custkey % 53 <> 0)),
+  FROM (SELECT *, c_mktsegment IN ('MACHINERY', 'BUILDING', 'AUTOMOBILE') AS b FROM customer)),
 bronze_email AS (
   SELECT
     'ACC' || lpad(CAST(user_id AS VARCHAR), 8, '0') AS ACCOUNT_ID,

@@ -34,36 +34,41 @@ def check_not_empty(text: str, origin: str = "<sql>") -> str:
     """Empty text, or a single comment line, is not a query."""
     t = (text or "").strip()
     if not t or (t.startswith("--") and len(t.splitlines()) == 1):
-        raise ValueError(f"The SQL text at '{origin}' appears to be empty.")
+        raise ValueError(f"{origin} holds no query")
     return t
 
 
+# string literals (either quote) and comments: text inside them is never a place for a bound number
+_OPAQUE = re.compile(r"""'(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.)*"|`[^`]*`|--[^\n]*|/\*.*?\*/""", re.S)
+
+
 def render_parameters(text: str, params: dict | None, origin: str = "<sql>") -> tuple[str, dict]:
-    """Returns (text, args): numeric values become ``:NAME`` markers bound by ``args``."""
+    """Returns (text, args).
+
+    A numeric value standing alone outside quotes and comments becomes the marker ``:NAME`` bound by ``args``.  Anything
+    else (predicates, lists, parts of names or literals) is substituted as the text given.
+    """
     params = {str(k): v for k, v in (params or {}).items()}
+    missing = sorted({m for m in _PARAM.findall(text) if m not in params})
+    if missing:
+        raise ValueError(f"{origin} uses parameters without a value: {', '.join(missing)} (given: {', '.join(params) or 'none'})")
+    opaque = [m.span() for m in _OPAQUE.finditer(text)]
     args = {}
 
     def sub(m):
-        name = m.group(1)
-        if name not in params:
-            return m.group(0)
-        value = params[name]
+        value = params[m.group(1)]
         if isinstance(value, bool):
             return "true" if value else "false"
-        if isinstance(value, (int, float)) or _NUMBER.match(str(value).strip()):
-            s = str(value).strip()
-            args[name] = float(s) if "." in s else int(s)
-            return f":{name}"
-        return f"({value})"
-
-    out = _PARAM.sub(sub, text)
-    missing = sorted(set(_PARAM.findall(out)))
-    if missing:
-        raise ValueError(
-            f"Unresolved SQL parameter(s) {['${' + m + '}' for m in missing]} found in {origin}. "
-            f"Configured parameters are: {list(params)}"
-        )
-    return out, args
+        inside = any(a <= m.start() < b for a, b in opaque)
+        near = text[m.start() - 1 : m.start()] + text[m.end() : m.end() + 1]
+        alone = not inside and not re.search(r"[\w$.{}]", near)
+        s = str(value).strip()
+        if alone and (isinstance(value, (int, float)) or _NUMBER.match(s)):
+            args[m.group(1)] = float(s) if re.search(r"[.eE]", s) else int(s)
+            return f":{m.group(1)}"
+        return str(value)
+
+    return _PARAM.sub(sub, text), args
 
 
 def placeholders(text: str) -> list[tuple[str, str]]:
@@ -94,7 +99,7 @@ def bind_sql(
         if df is None:
             configured = {lay: sorted(t) for lay, t in frames.items()}
             raise ValueError(
-                f"Unresolved __{layer}__.{table} placeholder in {origin}. Configured source tables are: {configured}"
+                f"{origin} reads __{layer}__.{table}, which is no source of it (sources: {configured})"
             )
         key = f"{layer}_{table}"
         kwargs[key] = df

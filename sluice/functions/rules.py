@@ -7,6 +7,8 @@ checks of one table become a single projection inside whole-stage codegen.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,15 +17,16 @@ from .contract import Rule
 
 
 def literal_text(expression: str, spark: SparkSession | None = None) -> str:
-    """Keep backslashes in string literals as the contract author wrote them.
+    """Keep lone backslashes in string literals as the contract author wrote them.
 
-    Spark's default parser unescapes ``'\\.'`` to ``'.'``, which silently turns
-    a regex "literal dot" into "any character".  Doubling the backslashes makes
-    the parsed literal equal the text of the contract (what a raw literal does).
+    Spark's default parser unescapes ``'\\.'`` to ``'.'``, which silently turns a regex "literal dot" into "any
+    character".  A lone backslash is therefore doubled; a pair is already escaped and stays.  The session setting
+    ``sluice.contract.backslashes`` = ``spark`` takes contracts exactly as Spark parses them.
     """
-    if spark is not None and spark.conf.get("spark.sql.parser.escapedStringLiterals", "false").lower() == "true":
+    if spark is not None and (spark.conf.get("spark.sql.parser.escapedStringLiterals", "false").lower() == "true"
+                              or spark.conf.get("sluice.contract.backslashes", "text") == "spark"):
         return expression
-    return expression.replace("\\", "\\\\")
+    return re.sub(r"\\\\|\\", lambda m: "\\\\", expression)
 
 
 def passes(rule: Rule, spark: SparkSession | None = None) -> Column:

@@ -95,20 +95,7 @@ def scd1(df: DataFrame, keys, sequence_by: str, except_columns=()) -> DataFrame:
     )
 
 
-CHUNK_BYTES = 256 * 1024**2   # target input bytes per chunk (one window sort per chunk)
-BROADCAST_CHUNKS = 50_000     # up to here the edge table (<= 2 rows per chunk) is always broadcast
-
-
-def chunk_count(df: DataFrame, target_bytes: int = CHUNK_BYTES) -> int:
-    """Chunks for ``df``: Catalyst's size estimate / target, at least the shuffle partition count."""
-    spark = df.sparkSession
-    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        size = v if isinstance(v, int) else int(v.toString())
-    except Exception:  # no estimate available: the configured parallelism
-        return base
-    return max(base, min(1_000_000, -(-size // target_bytes)))
+CHUNK_ROWS = 1_000_000   # (key, sequence) rows a chunk holds, about: one window sort per chunk
 
 
 def dedup_key_seq(df: DataFrame, keys, sequence_by: str) -> DataFrame:
@@ -171,19 +158,20 @@ def scd2(
     cols = d.columns
     seq = _q(sequence_by)
     tracked = tracked_columns(cols, keys, track_history_columns, track_history_except_columns)
-    n = chunks or chunk_count(d)
-    small = n <= BROADCAST_CHUNKS  # edge rows <= 2n: a proven bound; broadcast while it is small
     kcols = [_q(k) for k in keys]
-    part = [*kcols, F.col("_chunk")]
+    part = [F.col("_chunk"), *kcols]
 
     # 0. one row per (key, seq), the greatest remaining columns winning.  Copies of
     #    one (key, seq) cannot be split by a range partitioner; this aggregate
     #    combines them map-side, so even a group of copies holding a third of all
     #    rows reaches the shuffle as one row per input partition.
-    deduped = dedup_key_seq(d, keys, sequence_by)
+    #    The result is written once, so the number of chunks follows its real row count.
+    deduped = materialize(dedup_key_seq(d, keys, sequence_by), "scd2-rows")
+    n = chunks or max(1, -(-deduped.count() // CHUNK_ROWS))
 
-    # 1. contiguous (key, seq) ranges; the partition id names the chunk
-    deduped = range_chunks(deduped, keys, sequence_by, n)
+    # 1. contiguous (key, seq) ranges; the partition id names the chunk.  Rows are then
+    #    placed by chunk: the windows below need no further exchange and keep n partitions.
+    deduped = range_chunks(deduped, keys, sequence_by, n).repartition(n, "_chunk")
 
     # 2. inside a chunk: neighbours and running island start
     t = F.struct(*[_q(c) for c in tracked])
@@ -207,24 +195,23 @@ def scd2(
         F.when(group_first, F.last("_t").over(w_all)).alias("_g_last_t"),
         F.when(group_first, F.max(F.when(starts_here, seq)).over(w_all)).alias("_g_last_start"),
     )
-    # Two consumers follow (the chunk summary and the final filter).  Their plans
-    # differ after column pruning, so Spark would not reuse the shuffles and would
-    # scan, range-partition and sort the input once per consumer.  Cut the lineage
-    # instead: a reliable checkpoint in the shared checkpoint folder, which keeps
-    # the (key, chunk) partitioning, so neither consumer shuffles the rows again.
-    rows = materialize(rows)
+    # Two consumers follow (the chunk summary and the final filter).  The rows are written
+    # once, as columns: data, flags and sequences, no tracked struct but one per group.
+    rows = materialize(rows.select(
+        *[_q(c) for c in cols], "_chunk", "_next_in", "_start_in", "_first_in", "_g_last_t", "_g_last_start",
+        group_first.alias("_is_first"), F.col("_next_t").eqNullSafe(F.col("_t")).alias("_same_next")), "scd2-windows")
 
     # 3. chunk borders: per (key, chunk) summary, kept only for a chunk's first and last key
-    per_kc = rows.where(F.col("_prev_t").isNull()).select(
+    per_kc = rows.where(F.col("_is_first")).select(
         *part,
-        F.col("_t").alias("_first_t"),
+        t.alias("_first_t"),
         F.col("_g_last_t").alias("_last_t"),
         seq.alias("_first_seq"),
         F.col("_g_last_start").alias("_last_start_in"),
     )
     kstruct = F.struct(*kcols)
     ends = per_kc.groupBy("_chunk").agg(F.min(kstruct).alias("_lo"), F.max(kstruct).alias("_hi"))
-    edge = per_kc.join(F.broadcast(ends) if small else ends, "_chunk").where(
+    edge = per_kc.join(ends, "_chunk").where(
         (kstruct == F.col("_lo")) | (kstruct == F.col("_hi"))
     ).drop("_lo", "_hi")
     wk = Window.partitionBy(*kcols).orderBy("_chunk")
@@ -241,13 +228,13 @@ def scd2(
         "_carry", F.last(chunk_last_start, ignorenulls=True).over(wk.rowsBetween(Window.unboundedPreceding, -1))
     ).drop("_first_seq", "_last_start_in")
 
-    # 4. versions = last row of each island (at most 2 edge rows per chunk are broadcast)
-    j = rows.join(F.broadcast(edge) if small else edge, [*keys, "_chunk"], "left")
+    # 4. versions = last row of each island (at most 2 edge rows per chunk; AQE broadcasts them by their measured size)
+    j = rows.join(edge, [*keys, "_chunk"], "left")
     first_chg = F.coalesce(F.col("_first_chg"), F.lit(True))
     start = F.coalesce(F.col("_start_in"), F.when(first_chg, F.col("_first_in")), F.col("_carry"))
     is_last = F.when(
-        F.col("_next_in").isNotNull(), ~F.col("_next_t").eqNullSafe(F.col("_t"))
-    ).otherwise(F.col("_next_chunk_t").isNull() | ~F.col("_next_chunk_t").eqNullSafe(F.col("_t")))
+        F.col("_next_in").isNotNull(), ~F.col("_same_next")
+    ).otherwise(F.col("_next_chunk_t").isNull() | ~F.col("_next_chunk_t").eqNullSafe(t))
     return j.where(is_last).select(
         *[_q(c) for c in cols],
         start.alias(START_AT),

@@ -17,6 +17,7 @@ from ..functions.contract import load_contract
 from ..operators.quality import Checked, check
 from ..operators.scd import scd1, scd2
 from ..sources.tables import Layout
+from .gold_views import BUILDERS
 from .silver import resource
 
 OPERATIONS = ("materialized_view", "delta_type1", "delta_type2")
@@ -29,12 +30,13 @@ class GoldSpec:
     sql: str
     origin: str
     sources: list[str] = field(default_factory=list)
+    gate_key: str = "quality_gate"
 
     @property
     def operation(self) -> str:
         op = self.cfg.get("operation_type", "materialized_view")
         if op not in OPERATIONS:
-            raise ValueError(f"Unsupported operation_type='{op}' for table '{self.name}'")
+            raise ValueError(f"gold table '{self.name}': operation_type is {op!r}, expected one of {', '.join(OPERATIONS)}")
         return op
 
     @property
@@ -47,18 +49,31 @@ class GoldSpec:
 
     @property
     def apply_gate(self) -> bool:
-        return bool(self.cfg.get("quality_gate", False))
+        return bool(self.cfg.get(self.gate_key, False))
 
 
-def gold_specs(registry: dict, domain: str, sql_dir: str) -> list[GoldSpec]:
+KNOWN_KEYS = {
+    "operation_type", "target_table", "cdc_target_table", "sql_file", "source_table", "source_tables", "sql_parameters",
+    "contract_file", "keys", "sequence_by", "except_columns", "track_history_columns", "track_history_except_columns",
+    "quarantine_warnings", "cdc_mode", "cdc_compact_every", "cdc_buckets", "builder", "description", "comment",
+}
+
+
+def gold_specs(registry: dict, domain: str, sql_dir: str, gate_key: str = "quality_gate") -> list[GoldSpec]:
+    """Registry entries; ``gate_key`` names the key that switches the gate on.  Unknown keys are errors."""
     entries = ((registry or {}).get("tables") or {}).get(domain) or {}
     if not entries:
-        raise ValueError(f"No gold tables found for '{domain}'")
+        raise ValueError(f"the registry has no gold tables in domain '{domain}'")
     out = []
     for name, cfg in entries.items():
         cfg = dict(cfg or {})
+        unknown = sorted(set(cfg) - KNOWN_KEYS - {gate_key})
+        if unknown:
+            raise ValueError(f"gold table '{name}': unknown registry keys {unknown}")
         path = os.path.join(sql_dir, cfg.get("sql_file", f"{name}.sql"))
-        spec = GoldSpec(name=name, cfg=cfg, sql=read_sql(path), origin=path, sources=source_tables(name, cfg))
+        if cfg.get("builder") and cfg["builder"] not in BUILDERS:
+            raise ValueError(f"gold table '{name}': no builder {cfg['builder']!r}")
+        spec = GoldSpec(name=name, cfg=cfg, sql="" if cfg.get("builder") else read_sql(path), origin=path, sources=source_tables(name, cfg), gate_key=gate_key)
         spec.operation  # validate early
         out.append(spec)
     return out
@@ -82,6 +97,8 @@ def gold_source(spark: SparkSession, spec: GoldSpec, silver: dict[str, DataFrame
                 gold: dict[str, DataFrame] | None = None) -> DataFrame:
     """The gold SQL with parameters rendered and ``__silver__`` / ``__gold__`` bound."""
     frames = {"silver": {t: silver[t] for t in spec.sources if t in silver}}
+    if spec.cfg.get("builder"):
+        return BUILDERS[spec.cfg["builder"]](frames["silver"], spec.cfg.get("sql_parameters") or {})
     if gold:
         frames["gold"] = {t: gold[t] for t in spec.sources if t in gold}
     return bind_sql(spark, spec.sql, frames, spec.cfg.get("sql_parameters") or {}, origin=spec.origin)
@@ -117,7 +134,7 @@ def gold_view(spark: SparkSession, spec: GoldSpec, silver: dict[str, DataFrame],
     checked = None
     if spec.apply_gate:
         if layout is not None and not layout.names.get("quarantine"):
-            raise ValueError(f"Gold quality gate is enabled for '{spec.name}', but no quarantine location is set.")
+            raise ValueError(f"gold table '{spec.name}' is gated but has nowhere to put its quarantine")
         checked = check(staged, rules if rules is not None else gold_rules(spec),
                         quarantine_warnings=bool(spec.cfg.get("quarantine_warnings", False)))
     return GoldView(spec, staged, checked)
@@ -131,11 +148,17 @@ def build_gold(spark: SparkSession, spec: GoldSpec, silver: dict[str, DataFrame]
     source = gold_source(spark, spec, silver)
     if spec.apply_gate:
         source = check(source, rules if rules is not None else gold_rules(spec)).valid()
+    return apply_cdc(spec, source)
+
+
+def apply_cdc(spec: GoldSpec, source: DataFrame) -> DataFrame:
+    """Type 1 or type 2 result of a (checked) source."""
+    op = spec.operation
     keys, seq = spec.cfg.get("keys"), spec.cfg.get("sequence_by")
     if not keys:
-        raise ValueError(f"{op} operation requires keys for table '{spec.name}'")
+        raise ValueError(f"gold table '{spec.name}': {op} needs keys")
     if not seq:
-        raise ValueError(f"{op} operation requires sequence_by for table '{spec.name}'")
+        raise ValueError(f"gold table '{spec.name}': {op} needs sequence_by")
     excluded = spec.cfg.get("except_columns") or []
     if op == "delta_type1":
         return scd1(source, keys, seq, excluded)

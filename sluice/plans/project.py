@@ -34,6 +34,7 @@ def _yaml(path: str) -> dict:
 @dataclass
 class Project:
     base: str
+    gate_key: str = "quality_gate"  # the gold registry's key that switches a table's gate on
 
     def silver_tables(self, system: str) -> list[SilverTable]:
         registry = _yaml(os.path.join(self.base, "config", "silver.yml"))
@@ -42,7 +43,7 @@ class Project:
 
     def gold_specs(self, domain: str) -> list[GoldSpec]:
         registry = _yaml(os.path.join(self.base, "config", "gold.yml"))
-        return gold_specs(registry, domain, os.path.join(self.base, "src", "02_gold", "sql", domain))
+        return gold_specs(registry, domain, os.path.join(self.base, "src", "02_gold", "sql", domain), self.gate_key)
 
     def gold_rules(self, spec: GoldSpec, domain: str):
         return gold_rules(spec, os.path.join(self.base, "contracts", "02_gold", domain), domain)

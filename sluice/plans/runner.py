@@ -19,9 +19,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.quality import check
 from ..sources.tables import Layout
 from . import ledger
-from .gold import GoldSpec, build_gold, gold_rules, gold_view
+from .gold import GoldSpec, apply_cdc, build_gold, gold_rules, gold_source, gold_view
 from .silver import SilverTable, silver_check, write_checked, write_silver
 
 
@@ -99,6 +100,15 @@ def run_gold(spark: SparkSession, layout: Layout, specs: list[GoldSpec], domain:
             layout.write(cdc_view(spark, spec, layout), "gold", spec.target)
             if spec.apply_gate:
                 gated.append(spec.target)
+        elif spec.apply_gate:
+            checked = check(gold_source(spark, spec, silver), rules if rules is not None else gold_rules(spec),
+                            quarantine_warnings=bool(spec.cfg.get("quarantine_warnings", False))).checkpointed()
+            passed = f"{spec.target}_gold_passed"  # the rows that go on to the CDC apply
+            write_checked(checked, layout, "gold", passed, ("quarantine", f"{spec.target}_gold_quarantine"),
+                          f"{spec.target}_gold_metrics", layout.name("gold", spec.target),
+                          layout.name("quarantine", f"{spec.target}_gold_quarantine"), run_id)
+            gated.append(spec.target)
+            layout.write(apply_cdc(spec, layout.read(spark, "gold", passed)), "gold", spec.target)
         else:
             layout.write(build_gold(spark, spec, silver, rules=rules), "gold", spec.target)
     frames = [layout.read(spark, "metrics", f"{t}_gold_metrics") for t in gated]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -51,20 +50,22 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="sluice-scratch-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
     return root.rstrip("/")
 
 
-def materialize(df):
-    """Cut lineage with a reliable checkpoint into the shared checkpoint folder.
+def materialize(df, label: str = "table"):
+    """Cut lineage: write ``df`` as Parquet into the shared scratch folder and read it back.
 
-    Survives lost executors (unlike a local checkpoint) and keeps the frame's
-    partitioning, so consumers of the result do not shuffle it again.
+    Survives lost executors (unlike a local checkpoint), and consumers read only the columns they need.
     """
-    scratch_root(df.sparkSession)  # sets a folder only when the session has none (tests)
-    return df.checkpoint(eager=True)
+    path = new_scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def new_scratch_dir(spark: SparkSession, label: str) -> str:
@@ -74,10 +75,3 @@ def new_scratch_dir(spark: SparkSession, label: str) -> str:
 
 def strip_scheme(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_local_dir(path: str) -> None:
-    """Create a local directory (only used for file: scratch roots in tests)."""
-    p = strip_scheme(path)
-    if p.startswith("/"):
-        os.makedirs(p, exist_ok=True)

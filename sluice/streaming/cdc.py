@@ -265,9 +265,9 @@ def cdc_stream(
         raise ValueError(f"cdc_stream needs delta_type1 or delta_type2, '{spec.name}' is {op}")
     keys, seq = spec.cfg.get("keys"), spec.cfg.get("sequence_by")
     if not keys:
-        raise ValueError(f"{op} operation requires keys for table '{spec.name}'")
+        raise ValueError(f"gold table '{spec.name}': {op} needs keys")
     if not seq:
-        raise ValueError(f"{op} operation requires sequence_by for table '{spec.name}'")
+        raise ValueError(f"gold table '{spec.name}': {op} needs sequence_by")
     if "__gold__." in spec.sql:
         raise ValueError(f"'{spec.name}': a streaming CDC source cannot read __gold__ tables")
     streams = [s for s in silver_streams.values() if s.isStreaming]

@@ -66,3 +66,12 @@ def test_schema_validation_non_strict_and_strict(spark):
     bad = ok.withColumn("CUSTOMER_TYPE", F.lit(1))
     assert "CUSTOMER_TYPE has type int" in schema_mismatches(bad, exp)[0]
     assert schema_rule("customer_profile", bad, exp).expression == "false"
+
+
+def test_both_spellings_of_a_literal_dot(spark):
+    """A lone backslash keeps its place in the regex; an escaped pair is not doubled again."""
+    from sluice.functions.rules import literal_text
+
+    df = spark.createDataFrame([("u@d.com",), ("u@dxcom",)], "e string")
+    for spelling in (r"e RLIKE '^u@d\.com$'", r"e RLIKE '^u@d\\.com$'"):
+        assert [r.e for r in df.where(literal_text(spelling, spark)).collect()] == ["u@d.com"]

@@ -147,13 +147,20 @@ def test_range_chunks_split_a_hot_key(spark):
     assert max(sizes.values()) <= 2 * n_rows / chunks  # no chunk is much larger than its share
 
 
-def test_chunk_count_follows_input_size(spark):
-    from sluice.operators.scd import chunk_count
-
-    df = spark.range(200000).selectExpr("id", "cast(id as string) as s")
-    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert chunk_count(df) == base                        # small input: the configured parallelism
-    assert chunk_count(df, target_bytes=64 * 1024) > base  # larger input relative to the target: more chunks
+def test_chunks_follow_the_measured_rows(spark, monkeypatch):
+    """One row makes one chunk whatever Catalyst estimates; windows run on the chunk placement without another exchange."""
+    import sluice.operators.scd as scd
+
+    seen = []
+    real = scd.range_chunks
+    monkeypatch.setattr(scd, "range_chunks", lambda df, keys, order_by, n: seen.append(n) or real(df, keys, order_by, n))
+    one = spark.createDataFrame([("k", 1, "a")], "id string, seq int, v string")
+    assert scd.scd2(one, ["id"], "seq").count() == 1
+    assert scd.scd2(spark.createDataFrame(one.rdd, one.schema).join(one.select("id"), "id"), ["id"], "seq").count() == 1
+    monkeypatch.setattr(scd, "CHUNK_ROWS", 100)
+    many = spark.range(1000).selectExpr("concat('k', id % 3) AS id", "CAST(id AS INT) AS seq", "CAST(id % 5 AS STRING) AS v")
+    assert scd.scd2(many, ["id"], "seq").count() == 1000
+    assert seen == [1, 1, 10]
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
