@@ -7,6 +7,8 @@ root, which on a cluster is a shared file system or object store path.
 
 from __future__ import annotations
 
+import uuid
+
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,6 +54,10 @@ class Layout:
             w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
         w.parquet(self.path(layer, table))
 
+    def clear(self, spark: SparkSession, layer: str, table: str) -> None:
+        """Remove all rows of a table."""
+        delete_path(spark, self.path(layer, table))
+
     def list_tables(self, spark: SparkSession, layer: str) -> list[str]:
         return list_dirs(spark, f"{self.root.rstrip('/')}/{layer}")
 
@@ -104,6 +110,11 @@ class CatalogLayout(Layout):
             w = w.partitionBy(*parts)
         w.saveAsTable(name)
 
+    def clear(self, spark: SparkSession, layer: str, table: str) -> None:
+        name = self.name(layer, table)
+        if spark.catalog.tableExists(name):
+            spark.sql(f"TRUNCATE TABLE {name}")
+
     def list_tables(self, spark: SparkSession, layer: str) -> list[str]:
         db = self.names.get(layer, layer)
         return sorted(t.name for t in spark.catalog.listTables(db) if not t.isTemporary)
@@ -156,3 +167,12 @@ def touch(spark: SparkSession, path: str) -> None:
 def delete_path(spark: SparkSession, path: str) -> None:
     p, fs = _fs(spark, path)
     fs.delete(p, True)
+
+
+def run_token(spark: SparkSession, checkpoint: str) -> str:
+    """Name of the streaming run that owns ``checkpoint``: kept inside it, so a new checkpoint folder is a new run."""
+    found = marker_names(spark, checkpoint, "_RUN_")
+    if not found:
+        found = [f"_RUN_{uuid.uuid4().hex[:12]}"]
+        touch(spark, f"{checkpoint}/{found[0]}")
+    return found[0][5:]

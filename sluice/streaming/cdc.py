@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from ..operators.quality import check
 from ..operators.scd import _prepare, dedup_key_seq, scd1, scd2
 from ..plans.gold import GoldSpec, gold_rules, gold_source
-from ..sources.tables import Layout, delete_path, list_dirs, marker_names, path_exists, touch
+from ..sources.tables import Layout, delete_path, list_dirs, marker_names, path_exists, run_token, touch
 
 BUCKET = "_bucket"
 # Fixed at state creation.  Pick it so one bucket holds ~128 MB - 1 GB of state:
@@ -88,12 +88,30 @@ def _write_buckets(df: DataFrame, target: str) -> None:
      .partitionBy(BUCKET).parquet(target))
 
 
+def _stage(spark: SparkSession, df: DataFrame, staging: str) -> None:
+    """Write a complete staging copy; its own marker says so, whatever the session's overwrite mode writes."""
+    (_rebalanced(df).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(staging))
+    touch(spark, f"{staging}/_COMPLETE")
+
+
+def _staged(spark: SparkSession, staging: str) -> bool:
+    return path_exists(spark, f"{staging}/_COMPLETE")
+
+
+def _drop_older_staging(spark: SparkSession, root: str, batch_id) -> None:
+    """Staging copies of other batches are no longer needed once a batch begins: their swap is complete."""
+    for name in list_dirs(spark, root, prefix="batch="):
+        if name != f"batch={batch_id}":
+            delete_path(spark, f"{root}/{name}")
+
+
 def merge_scd1(spark, batch_df, state_root, keys, sequence_by, except_columns=(), buckets=DEFAULT_BUCKETS, batch_id=0):
     keys = [keys] if isinstance(keys, str) else list(keys)
     check_bucket_count(spark, state_root, buckets)
     staging = f"{state_root}__staging/current/batch={batch_id}"
     target = f"{state_root}/current"
-    if not path_exists(spark, f"{staging}/_SUCCESS"):
+    _drop_older_staging(spark, f"{state_root}__staging/current", batch_id)
+    if not _staged(spark, staging):
         winners = scd1(batch_df, keys, sequence_by, except_columns).withColumn(BUCKET, bucket_of(keys, buckets))
         winners = winners.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -107,7 +125,7 @@ def merge_scd1(spark, batch_df, state_root, keys, sequence_by, except_columns=()
                 return
             both = old.drop(BUCKET).unionByName(winners.drop(BUCKET))
             fresh = scd1(both, keys, sequence_by).withColumn(BUCKET, bucket_of(keys, buckets))
-            _rebalanced(fresh).write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
+            _stage(spark, fresh, staging)
         finally:
             winners.unpersist()
     _swap_in(spark, staging, target)
@@ -132,8 +150,10 @@ def merge_scd2(spark, batch_df, state_root, keys, sequence_by, except_columns=()
                     track_history_except_columns=track_history_except_columns)
         return hist.withColumn(BUCKET, bucket_of(keys, buckets))
 
-    if not path_exists(spark, f"{hist_staging}/_SUCCESS"):
-        if not path_exists(spark, f"{log_staging}/_SUCCESS"):
+    for part in ("log", "history"):
+        _drop_older_staging(spark, f"{state_root}__staging/{part}", batch_id)
+    if not _staged(spark, hist_staging):
+        if not _staged(spark, log_staging):
             d, _ = _prepare(batch_df, keys, sequence_by, except_columns)
             rows = _dedup_log(d, keys, sequence_by).withColumn(BUCKET, bucket_of(keys, buckets))
             rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
@@ -149,11 +169,10 @@ def merge_scd2(spark, batch_df, state_root, keys, sequence_by, except_columns=()
                     return
                 fresh = _dedup_log(old.unionByName(rows), keys, sequence_by).withColumn(
                     BUCKET, bucket_of(keys, buckets))
-                _rebalanced(fresh).write.mode("overwrite").partitionBy(BUCKET).parquet(log_staging)
+                _stage(spark, fresh, log_staging)
             finally:
                 rows.unpersist()
-        _rebalanced(history(spark.read.parquet(log_staging))).write.mode("overwrite").partitionBy(BUCKET).parquet(
-            hist_staging)
+        _stage(spark, history(spark.read.parquet(log_staging)), hist_staging)
     _swap_in(spark, log_staging, log_target)
     _swap_in(spark, hist_staging, hist_target)
 
@@ -217,6 +236,18 @@ def compact(spark, state_root, op, keys, sequence_by, upto: int) -> None:
     _reduce(rows, op, keys, sequence_by).write.mode("overwrite").parquet(f"{state_root}/base/v={upto}")
 
 
+def run_offset(spark: SparkSession, state_root: str, token: str) -> int:
+    """Number of the first batch of this run: after every delta and base that earlier runs have written."""
+    mine = marker_names(spark, state_root, f"_RUN_{token}_")
+    if mine:
+        return int(mine[0].rsplit("_", 1)[1])
+    used = [int(n.split("=")[1]) for n in list_dirs(spark, f"{state_root}/deltas", prefix=f"{DELTA_BATCH}=")]
+    used += [int(n[2:]) for n in list_dirs(spark, f"{state_root}/base") if n.startswith("v=")]
+    offset = max(used, default=-1) + 1
+    touch(spark, f"{state_root}/_RUN_{token}_{offset}")
+    return offset
+
+
 def prune(spark: SparkSession, state_root: str, keep: int = 1) -> list[str]:
     """Delete what the newest complete base makes obsolete, keeping ``keep`` older base versions.
 
@@ -281,6 +312,7 @@ def cdc_stream(
     buckets = int(buckets or spec.cfg.get("cdc_buckets") or DEFAULT_BUCKETS)
     state_root = layout.state_path(spec.cdc_target)
     name = query_name or f"cdc_{spec.cdc_target}"
+    token = run_token(spark, layout.checkpoint_path(name))
 
     def per_batch(batch_df: DataFrame, batch_id: int) -> None:
         checked = None
@@ -293,15 +325,17 @@ def cdc_stream(
             layout.write(m.withColumn("_batch_id", F.lit(int(batch_id))), "metrics", f"{spec.target}_gold_metrics",
                          mode="overwrite", partition_by="_batch_id")
             batch_df = checked.valid()
+        staged_as = f"{token}-{batch_id}"  # another run's batch of the same number is another batch
         try:
             if mode == "merge_on_read":
-                append_delta(spark, batch_df, state_root, op, keys, seq, excluded, batch_id, compact_every)
+                append_delta(spark, batch_df, state_root, op, keys, seq, excluded,
+                             run_offset(spark, state_root, token) + batch_id, compact_every)
             elif op == "delta_type1":
-                merge_scd1(spark, batch_df, state_root, keys, seq, excluded, buckets, batch_id)
+                merge_scd1(spark, batch_df, state_root, keys, seq, excluded, buckets, staged_as)
             else:
                 merge_scd2(spark, batch_df, state_root, keys, seq, excluded,
                            spec.cfg.get("track_history_columns"), spec.cfg.get("track_history_except_columns"),
-                           buckets, batch_id)
+                           buckets, staged_as)
         finally:
             if checked is not None:
                 checked.unpersist()

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.rules import schema_rule
 from ..operators.quality import check
 from ..plans.silver import SilverTable, stage, write_silver
-from ..sources.tables import Layout
+from ..sources.tables import Layout, delete_path, marker_names, path_exists, run_token, touch
 
 
 def silver_stream(
@@ -38,7 +38,19 @@ def silver_stream(
     name = query_name or f"silver_{table.target_table}"
     qw = table.quarantine_warnings if quarantine_warnings is None else quarantine_warnings
 
+    token = run_token(spark, layout.checkpoint_path(name))
+    runs = layout.state_path(f"{name}__runs")
+
     def per_batch(batch_df: DataFrame, batch_id: int) -> None:
+        # a new checkpoint reads its source from the start, perhaps cut into other batches:
+        # what an earlier run wrote would stay beside it under other batch numbers
+        if marker_names(spark, runs, "_RUN_") != [f"_RUN_{token}"]:
+            if path_exists(spark, runs):
+                for layer, out in (("silver", table.target_table), ("quarantine", f"{table.target_table}_quarantine"),
+                                   ("metrics", f"{table.target_table}_metrics")):
+                    layout.clear(spark, layer, out)
+                delete_path(spark, runs)
+            touch(spark, f"{runs}/_RUN_{token}")
         checked = check(batch_df, rules, qw)
         write_silver(checked, layout, table, batch_id=batch_id, run_id=f"{name}:{batch_id}")
 

@@ -92,17 +92,42 @@ def test_cdc_stream_equals_batch(spark, layout, silver_email, name):
     assert _rows(got) == _rows(want)
 
 
-def test_cdc_merge_recovers_from_a_crash_during_commit(spark, silver_email):
+@pytest.mark.parametrize("overwrite", ["dynamic", "static"])
+@pytest.mark.parametrize("kind", ["scd1", "scd2"])
+def test_cdc_merge_recovers_from_a_crash_during_commit(spark, silver_email, kind, overwrite):
+    """A swap that died halfway is repeated from the staging copy, also for keys that the batch doesn't hold."""
     root = new_scratch_dir(spark, "crash")
     keys, seq = ["ACCOUNT_ID"], "UPDATED_AT"
-    first, second = silver_email.where(F.dayofmonth(seq) <= 15), silver_email.where(F.dayofmonth(seq) > 15)
-    cdc.merge_scd1(spark, first, root, keys, seq, ["processed_time"], buckets=4, batch_id=0)
-    cdc.merge_scd1(spark, second, root, keys, seq, ["processed_time"], buckets=4, batch_id=1)
-    # simulate a commit that deleted a bucket of the state and died before replacing it
-    shutil.rmtree(strip_scheme(f"{root}/current/_bucket=0"), ignore_errors=True)
-    cdc.merge_scd1(spark, second, root, keys, seq, ["processed_time"], buckets=4, batch_id=1)  # replay
-    got = spark.read.parquet(f"{root}/current").drop("_bucket")
-    assert _rows(got) == _rows(scd1(silver_email, keys, seq, ["processed_time"]))
+    half = F.pmod(F.xxhash64("ACCOUNT_ID"), F.lit(2)) == 0  # the second batch holds other keys than the first
+    first, second = silver_email.where(half), silver_email.where(~half)
+    merge, reduce_, parts = (cdc.merge_scd1, scd1, ["current"]) if kind == "scd1" else (cdc.merge_scd2, scd2, ["log", "history"])
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", overwrite)
+    try:
+        merge(spark, first, root, keys, seq, ["processed_time"], buckets=4, batch_id="a-0")
+        merge(spark, second, root, keys, seq, ["processed_time"], buckets=4, batch_id="a-1")
+        # simulate a commit that deleted a bucket of the state and died before replacing it
+        for part in parts:
+            shutil.rmtree(strip_scheme(f"{root}/{part}/_bucket=0"), ignore_errors=True)
+        merge(spark, second, root, keys, seq, ["processed_time"], buckets=4, batch_id="a-1")  # replay
+        merge(spark, first, root, keys, seq, ["processed_time"], buckets=4, batch_id="b-0")  # another run, from the start
+        got = spark.read.parquet(f"{root}/{parts[-1]}").drop("_bucket")
+        assert _rows(got) == _rows(reduce_(silver_email, keys, seq, ["processed_time"]))
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+
+
+def test_a_new_checkpoint_continues_merge_on_read(spark):
+    """Batch numbers of a second run follow those of the first; its deltas are neither lost nor overwrite others."""
+    root = new_scratch_dir(spark, "runs")
+    rows = lambda *r: spark.createDataFrame(list(r), "id string, seq int")
+    at = lambda token, b: cdc.run_offset(spark, root, token) + b
+    for b, batch in enumerate([rows(("a", 1), ("b", 1)), rows(("c", 2)), rows(("d", 3))]):
+        cdc.append_delta(spark, batch, root, "delta_type1", ["id"], "seq", batch_id=at("one", b), compact_every=2)
+    for b, batch in enumerate([rows(("a", 5), ("x", 5)), rows(("y", 6)), rows(("z", 7))]):
+        cdc.append_delta(spark, batch, root, "delta_type1", ["id"], "seq", batch_id=at("two", b), compact_every=2)
+    got = {(r.id, r.seq) for r in scd1(cdc.mor_rows(spark, root), ["id"], "seq").collect()}
+    assert got == {("a", 5), ("b", 1), ("c", 2), ("d", 3), ("x", 5), ("y", 6), ("z", 7)}
 
 
 def test_cdc_stream_guards(spark, layout, silver_email):
