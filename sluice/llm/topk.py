@@ -15,7 +15,7 @@ Every step is exact: partial scores are integer products, held in doubles where
 in 64-bit integers elsewhere.
 
 Defined cases: vectors that are null or hold a null or non-finite component, and rows with a null id, take no part;
-a component times the scale saturates at the 64-bit range; only vectors of equal length are compared; of rows with one
+a component times the scale saturates at the 64-bit range, and a score has to fit into 64 bits; only vectors of equal length are compared; of rows with one
 id the least vector counts; ties go to the smaller id; a query meets every id but its own; further columns are not
 read; an empty table, or one without queries, gives an empty result.
 """
