@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sluice.session import new_scratch_dir
 
-CHUNK = 1 << 21  # symbols hashed at once inside a task; a longer text is a chunk of its own
+CHUNK = 1 << 20  # symbols hashed at once inside a task; a longer text is a chunk of its own
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -146,7 +146,7 @@ class Prefix:
     """Hashes of any slice of a symbol array from one prefix sum."""
 
     def __init__(self, symbols: np.ndarray, base: int = BASES[1]):
-        size = 1 << max(16, int(len(symbols)).bit_length())
+        size = 1 << max(16, int(len(symbols) - 1).bit_length())
         power, self.inverse = _powers(base, size)
         self.sums = np.zeros(len(symbols) + 1, np.uint64)
         np.cumsum(symbols * power[: len(symbols)], out=self.sums[1:])

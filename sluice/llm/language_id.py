@@ -131,8 +131,8 @@ def token_scores(model: Model, tokens: list[str]) -> tuple[np.ndarray, np.ndarra
     """Per token: negative log-probability and its square sum per language, and predicted characters."""
     n_lang, order = len(model.langs), len(model.hashes)
     total, squares, size = np.zeros((len(tokens), n_lang)), np.zeros((len(tokens), n_lang)), np.zeros(len(tokens))
-    for a in range(0, len(tokens), 40_000):
-        part = tokens[a : a + 40_000]
+    for a in range(0, len(tokens), 20_000):
+        part = tokens[a : a + 20_000]
         text, at, owner = _padded(part, order)
         if not len(at):
             continue
