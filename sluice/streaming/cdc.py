@@ -267,6 +267,13 @@ def prune(spark: SparkSession, state_root: str, keep: int = 1) -> list[str]:
     return doomed
 
 
+def _declare(spark: SparkSession, source: DataFrame, state_root: str) -> None:
+    """Keep the source's columns as an empty table, so that a target without rows still has a typed view."""
+    path = f"{state_root}/declared"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        spark.createDataFrame([], source.schema).write.mode("overwrite").parquet(path)
+
+
 def cdc_stream(
     spark: SparkSession,
     spec: GoldSpec,
@@ -286,6 +293,10 @@ def cdc_stream(
     batch (bucketed rewrite); ``mode="merge_on_read"`` writes only each batch's
     reduced rows and compacts every ``compact_every`` batches; the view then
     applies the SCD over base and deltas.
+
+    Of the sources, any may be static frames (joined as Spark joins a stream
+    with a table).  Several streams need a watermark each: registry key
+    ``watermarks``, table -> ``{column, delay}``.
     """
     mode = mode or spec.cfg.get("cdc_mode", "merge_on_write")
     compact_every = int(compact_every or spec.cfg.get("cdc_compact_every", 10))
@@ -301,16 +312,23 @@ def cdc_stream(
         raise ValueError(f"gold table '{spec.name}': {op} needs sequence_by")
     if "__gold__." in spec.sql:
         raise ValueError(f"'{spec.name}': a streaming CDC source cannot read __gold__ tables")
-    streams = [s for s in silver_streams.values() if s.isStreaming]
-    if len(spec.sources) > 1:
-        raise ValueError(f"'{spec.name}': a CDC source joining several streams needs watermarks; not configured")
-    source = gold_source(spark, spec, silver_streams)
-    if not source.isStreaming or not streams:
+    bound = {t: silver_streams[t] for t in spec.sources if t in silver_streams}
+    streamed = [t for t, df in bound.items() if df.isStreaming]
+    if not streamed:
         raise ValueError("cdc_stream needs streaming silver sources")
+    marks = spec.cfg.get("watermarks") or {}
+    if set(marks) - set(streamed):
+        raise ValueError(f"'{spec.name}': watermarks on tables that are no streaming source: {sorted(set(marks) - set(streamed))}")
+    if len(streamed) > 1 and set(marks) != set(streamed):
+        raise ValueError(f"'{spec.name}': a CDC source joining several streams needs a watermark on each (registry key watermarks)")
+    source = gold_source(spark, spec, bound | {t: bound[t].withWatermark(m["column"], m["delay"]) for t, m in marks.items()})
+    if not source.isStreaming:
+        raise ValueError(f"'{spec.name}': the CDC source reads no stream")
     gate_rules = (rules if rules is not None else gold_rules(spec)) if spec.apply_gate else None
     excluded = spec.cfg.get("except_columns") or []
     buckets = int(buckets or spec.cfg.get("cdc_buckets") or DEFAULT_BUCKETS)
     state_root = layout.state_path(spec.cdc_target)
+    _declare(spark, source, state_root)
     name = query_name or f"cdc_{spec.cdc_target}"
     token = run_token(spark, layout.checkpoint_path(name))
 
@@ -352,11 +370,13 @@ def cdc_view(spark: SparkSession, spec: GoldSpec, layout: Layout) -> DataFrame:
     sub = "current" if spec.operation == "delta_type1" else "history"
     if path_exists(spark, f"{root}/{sub}"):
         return spark.read.parquet(f"{root}/{sub}").drop(BUCKET)
-    rows = mor_rows(spark, root)
-    if rows is None:
-        raise ValueError(f"no CDC state for '{spec.name}' under {root}")
+    rows, excluded = mor_rows(spark, root), []
+    if rows is None:  # no batch yet
+        if not path_exists(spark, f"{root}/declared/_SUCCESS"):
+            raise ValueError(f"no CDC state for '{spec.name}' under {root}")
+        rows, excluded = spark.read.parquet(f"{root}/declared"), spec.cfg.get("except_columns") or []
     keys, seq = spec.cfg["keys"], spec.cfg["sequence_by"]
     if spec.operation == "delta_type1":
-        return scd1(rows, keys, seq)
-    return scd2(rows, keys, seq, track_history_columns=spec.cfg.get("track_history_columns"),
+        return scd1(rows, keys, seq, excluded)
+    return scd2(rows, keys, seq, excluded, track_history_columns=spec.cfg.get("track_history_columns"),
                 track_history_except_columns=spec.cfg.get("track_history_except_columns"))

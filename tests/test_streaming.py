@@ -1,6 +1,7 @@
 """Streams equal their batch counterparts, whatever the file order and batch cut; replays are idempotent."""
 
 import shutil
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -211,3 +212,57 @@ def test_merge_on_read_prune_keeps_results(spark, silver_email):
     assert sorted(p.rsplit("=", 1)[1] for p in deleted if "/deltas/" in p) == ["0", "1", "2", "3"]  # covered by v=3 and v=5
     got = scd1(cdc.mor_rows(spark, root), keys, seq)
     assert _rows(got) == _rows(scd1(silver_email, keys, seq, ["processed_time"]))
+
+
+@pytest.mark.parametrize("name", ["customer_email_contact_current", "customer_email_contact_history"])
+def test_target_without_rows_has_a_typed_empty_view(spark, layout, silver_email, name):
+    path = new_scratch_dir(spark, "no-rows")
+    silver_email.limit(0).write.mode("overwrite").parquet(path)
+    spec = default_gold_specs()[name]
+    src = spark.readStream.schema(silver_email.schema).parquet(path)
+    cdc.cdc_stream(spark, spec, {EMAIL: src}, layout, buckets=4).awaitTermination()
+    scd = scd1 if spec.operation == "delta_type1" else scd2
+    want = scd(silver_email, ["ACCOUNT_ID"], "UPDATED_AT", ["processed_time"])
+    got = cdc.cdc_view(spark, spec, layout)
+    assert got.count() == 0
+    assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in want.schema]
+
+
+ENRICHED = """SELECT e.*, a.ACCOUNT_STATUS FROM __silver__.customer_email_contact e
+              JOIN __silver__.customer_account a ON e.ACCOUNT_ID = a.ACCOUNT_ID"""
+
+
+def _enriched(**cfg):
+    spec = default_gold_specs()["customer_email_contact_current"]
+    return replace(spec, cfg={**spec.cfg, **cfg}, sql=ENRICHED, sources=[EMAIL, "customer_account"])
+
+
+def _two_sources(spark, silver_email):
+    account = [t for t in default_silver_tables() if t.name == "customer_account"][0]
+    accounts = silver_check(spark, account, fixtures.bronze(spark, SF001, "customer_account")).valid().select("ACCOUNT_ID", "ACCOUNT_STATUS", "processed_time")
+    path = _split_files(spark, silver_email)
+    src = spark.readStream.schema(silver_email.schema).option("maxFilesPerTrigger", 2).parquet(path)
+    wide = silver_email.join(accounts.drop("processed_time"), "ACCOUNT_ID").select(*silver_email.columns, "ACCOUNT_STATUS")
+    return src, accounts, scd1(wide, ["ACCOUNT_ID"], "UPDATED_AT", ["processed_time"])
+
+
+def test_cdc_stream_joined_with_a_table(spark, layout, silver_email):
+    src, accounts, want = _two_sources(spark, silver_email)
+    spec = _enriched()
+    cdc.cdc_stream(spark, spec, {EMAIL: src, "customer_account": accounts}, layout, buckets=4).awaitTermination()
+    got = cdc.cdc_view(spark, spec, layout)
+    assert got.count() > 0
+    assert _rows(got) == _rows(want)
+
+
+def test_cdc_stream_of_two_streams_needs_watermarks(spark, layout, silver_email):
+    src, accounts, want = _two_sources(spark, silver_email)
+    path = new_scratch_dir(spark, "accounts")
+    accounts.write.mode("overwrite").parquet(path)
+    both = {EMAIL: src, "customer_account": spark.readStream.schema(accounts.schema).parquet(path)}
+    with pytest.raises(ValueError, match="watermark on each"):
+        cdc.cdc_stream(spark, _enriched(), both, layout, buckets=4)
+    mark = {"column": "processed_time", "delay": "1 day"}
+    spec = _enriched(watermarks={EMAIL: mark, "customer_account": mark})
+    cdc.cdc_stream(spark, spec, both, layout, buckets=4).awaitTermination()
+    assert _rows(cdc.cdc_view(spark, spec, layout)) == _rows(want)
