@@ -356,7 +356,7 @@ def _silver_as_stream(spark, layout, path=None):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-def _stream_cdc(spark, sf, name, stream_path=None, spec=None, rules=None, source=None, **kw):
+def _stream_cdc(spark, sf, name, stream_path=None, spec=None, rules=None, source=None, tables=None, **kw):
     from sluice.streaming.cdc import cdc_stream, cdc_view
 
     layout = Layout(new_scratch_dir(spark, f"stream-{name}"))
@@ -365,7 +365,7 @@ def _stream_cdc(spark, sf, name, stream_path=None, spec=None, rules=None, source
             _stream_silver_email(spark, sf, layout)
         source = _silver_as_stream(spark, layout, stream_path)
     spec = spec or _gold_specs()[name]
-    _run(cdc_stream(spark, spec, {EMAIL: source}, layout, buckets=8, rules=rules, **kw))
+    _run(cdc_stream(spark, spec, {EMAIL: source, **(tables or {})}, layout, buckets=8, rules=rules, **kw))
     return layout, spec, cdc_view(spark, spec, layout)
 
 
@@ -377,15 +377,13 @@ def q_stream_scd2(spark, sf):
     return _ntz(_stream_cdc(spark, sf, HISTORY)[2])
 
 
-def _interleaved_silver(spark, sf, parts=(3, 1, 0, 2)):
-    """Silver email rows written as several files whose sequences interleave (late and early rows mixed)."""
+def _interleaved_silver(spark, sf, slices=4):
+    """Silver email rows, in one pass, as slices whose sequences interleave (late and early rows mixed)."""
     _prepare(spark)
     src = new_scratch_dir(spark, "ooo-src")
-    rows = _silver(spark, sf)[EMAIL]
-    part = F.pmod(F.xxhash64("ACCOUNT_ID", "UPDATED_AT"), F.lit(len(parts)))
-    for i in parts:
-        rows.where(part == i).coalesce(1).write.mode("append").parquet(src)
-    return src
+    dealt = F.pmod(F.xxhash64("ACCOUNT_ID", "UPDATED_AT"), F.lit(slices))
+    _silver(spark, sf)[EMAIL].withColumn("slice", dealt).write.mode("append").partitionBy("slice").parquet(src)
+    return f"{src}/slice=*"
 
 
 def q_stream_scd1_ooo(spark, sf):
@@ -394,15 +392,27 @@ def q_stream_scd1_ooo(spark, sf):
 
 def q_stream_scd1_mor(spark, sf):
     """Merge-on-read CDC: per batch only its own rows, compaction every 2 batches, SCD applied on read."""
-    src = _interleaved_silver(spark, sf, parts=(4, 2, 0, 3, 1))
+    src = _interleaved_silver(spark, sf, slices=5)
     return _ntz(_stream_cdc(spark, sf, CURRENT, stream_path=src, mode="merge_on_read", compact_every=2)[2])
 
 
 def q_stream_scd2_mor(spark, sf):
-    src = _interleaved_silver(spark, sf, parts=(4, 2, 0, 3, 1))
+    src = _interleaved_silver(spark, sf, slices=5)
     return _ntz(_stream_cdc(spark, sf, HISTORY, stream_path=src, mode="merge_on_read", compact_every=2)[2])
 
 
+def q_stream_scd1_enriched(spark, sf):
+    """Merge-on-write CDC over a stream joined with a table: contacts with their account's status."""
+    import dataclasses
+
+    contacts, accounts = f"__silver__.{EMAIL}", f"__silver__.{ACCOUNT}"
+    spec = dataclasses.replace(
+        _gold_specs()[CURRENT], sources=[EMAIL, ACCOUNT],
+        sql=f"SELECT c.*, a.ACCOUNT_STATUS FROM {contacts} c JOIN {accounts} a ON a.ACCOUNT_ID = c.ACCOUNT_ID")
+    return _ntz(_stream_cdc(spark, sf, CURRENT, stream_path=_interleaved_silver(spark, sf), spec=spec,
+                            tables={ACCOUNT: _silver(spark, sf)[ACCOUNT]})[2])
+
+
 def q_stream_gold_quarantine(spark, sf):
     """Streaming gate before the type 1 apply: the gate checks the unvalidated projection."""
     import copy
@@ -486,6 +496,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_scd2": q_stream_scd2,
         "stream_scd1_ooo": q_stream_scd1_ooo,
         "stream_scd1_mor": q_stream_scd1_mor,
+        "stream_scd1_enriched": q_stream_scd1_enriched,
         "stream_scd2_mor": q_stream_scd2_mor,
         "stream_gold_quarantine": q_stream_gold_quarantine,
     }
@@ -562,6 +573,7 @@ def core_oracle_sql() -> dict[str, str]:
         "stream_scd2": scd2_all,
         "stream_scd1_ooo": O.SCD1,
         "stream_scd1_mor": O.SCD1,
+        "stream_scd1_enriched": O.SCD1_ENRICHED,
         "stream_scd2_mor": scd2_all,
         "stream_gold_quarantine": email_quarantine,
     }

@@ -214,6 +214,11 @@ SCD1 = q(f"""SELECT {EMAIL_COLS} FROM (
     EMAIL_STATUS DESC NULLS LAST, PREFERRED_EMAIL_FLAG DESC NULLS LAST) AS rn
   FROM silver_email WHERE ACCOUNT_ID IS NOT NULL AND UPDATED_AT IS NOT NULL) WHERE rn = 1""")
 
+SCD1_ENRICHED = q(f"""SELECT {EMAIL_COLS}, ACCOUNT_STATUS FROM (
+  SELECT e.*, a.ACCOUNT_STATUS, row_number() OVER (PARTITION BY e.ACCOUNT_ID ORDER BY e.UPDATED_AT DESC, EMAIL_ADDRESS DESC NULLS LAST,
+    EMAIL_STATUS DESC NULLS LAST, PREFERRED_EMAIL_FLAG DESC NULLS LAST, a.ACCOUNT_STATUS DESC NULLS LAST) AS rn
+  FROM silver_email e JOIN silver_account a ON a.ACCOUNT_ID = e.ACCOUNT_ID WHERE e.UPDATED_AT IS NOT NULL) WHERE rn = 1""")
+
 
 def scd2(tracked: list[str]) -> str:
     prev = ", ".join(f"lag({c}) OVER w AS p_{c}" for c in tracked)
