@@ -251,6 +251,21 @@ def q_gold_contact_quarantine(spark, sf):
     return _report(_gold(spark, sf, CONTACT).quarantine())
 
 
+def q_gold_contact_unvalidated_quarantine(spark, sf):
+    """The contact gate over rows that no silver rule has seen, so that its own rules have work to do."""
+    _prepare(spark)
+    staged = {n: stage(spark, t, fixtures.bronze(spark, sf, n)) for n, t in _tables().items()}
+    return _report(gold_view(spark, _gold_specs()[CONTACT], staged).quarantine())
+
+
+def q_param_text(spark, sf):
+    """Parameters inside a literal, as a list, as part of a name, and as a number of its own."""
+    sql = ("SELECT ACCOUNT_ID AS ACCOUNT_${SUFFIX}, 'v${N}' AS TAG, CAST(${N} AS BIGINT) AS N, ACCOUNT_STATUS "
+           "FROM __silver__.customer_account WHERE ACCOUNT_STATUS IN ${STATES}")
+    params = {"SUFFIX": "NO", "N": "256", "STATES": "('ACTIVE', 'CLOSED')"}
+    return bind_sql(spark, sql, {"silver": {ACCOUNT: _silver(spark, sf)[ACCOUNT]}}, params)
+
+
 def q_gold_profile_gated(spark, sf):
     return _gold(spark, sf, SUMMARY).output()
 
@@ -283,6 +298,29 @@ def q_scd1_current(spark, sf):
     return _ntz(build_gold(spark, _gold_specs()[CURRENT], _silver(spark, sf)))
 
 
+def _gated_scd1(spark, sf) -> Layout:
+    """A batch run of a gated type 1 entry over unvalidated contacts: table, quarantine and ledger are written."""
+    from sluice.plans.runner import run_gold
+    from sluice.plans.silver import resource
+
+    _prepare(spark)
+    layout = Layout(new_scratch_dir(spark, "gated-scd1"))
+    layout.write(stage(spark, _tables()[EMAIL], fixtures.bronze(spark, sf, EMAIL)), "silver", EMAIL)
+    spec = _gold_specs()[CURRENT]
+    cfg = {**spec.cfg, "quality_gate": True, "contract_file": "core_silver.yml"}
+    # the entry takes the name of the contract's table, whose rules are the silver ones
+    run_gold(spark, layout, [dataclasses.replace(spec, name=EMAIL, cfg=cfg)], "customer", contract_dir=resource("contracts"))
+    return layout
+
+
+def q_scd1_gated(spark, sf):
+    return _ntz(_gated_scd1(spark, sf).read(spark, "gold", CURRENT))
+
+
+def q_scd1_gated_quarantine(spark, sf):
+    return _report(_gated_scd1(spark, sf).read(spark, "quarantine", f"{CURRENT}_gold_quarantine"))
+
+
 def q_scd2_history(spark, sf):
     return _ntz(build_gold(spark, _gold_specs()[HISTORY], _silver(spark, sf)))
 
@@ -350,6 +388,20 @@ def q_stream_metrics(spark, sf):
     return ledger.totals(layout.read(spark, "metrics", f"{EMAIL}_metrics")).select(*LEDGER_COLS)
 
 
+def q_stream_silver_restart(spark, sf):
+    """Silver read again from a new checkpoint and in other batches: the rows are those of one run."""
+    from sluice.streaming.fanout import silver_stream
+
+    _prepare(spark)
+    t, layout, src = _tables()[EMAIL], Layout(new_scratch_dir(spark, "silver-restart")), new_scratch_dir(spark, "restart-src")
+    bronze = fixtures.bronze(spark, sf, EMAIL)
+    bronze.withColumn("slice", F.pmod(F.xxhash64("ACCOUNT_ID", "UPDATED_AT"), F.lit(3))).write.mode("append").partitionBy("slice").parquet(src)
+    for name, files in (("first", 1), ("second", 2)):
+        stream = spark.readStream.schema(bronze.schema).option("maxFilesPerTrigger", files).parquet(f"{src}/slice=*")
+        _run(silver_stream(spark, t, stream, layout, query_name=name))
+    return _no_stamp(layout.read(spark, "silver", EMAIL))
+
+
 def _silver_as_stream(spark, layout, path=None):
     path = path or layout.path("silver", EMAIL)
     schema = spark.read.parquet(path).schema
@@ -390,6 +442,21 @@ def q_stream_scd1_ooo(spark, sf):
     return _ntz(_stream_cdc(spark, sf, CURRENT, stream_path=_interleaved_silver(spark, sf))[2])
 
 
+def q_stream_scd1_restart(spark, sf):
+    """Merge-on-write CDC over two of four slices, then over all of them from a new checkpoint and the state so far."""
+    from sluice.streaming.cdc import cdc_stream, cdc_view
+
+    layout, spec, src = Layout(new_scratch_dir(spark, "scd1-restart")), _gold_specs()[CURRENT], _interleaved_silver(spark, sf)
+    for name, path in (("first", src.replace("slice=*", "slice=[01]")), ("second", src)):
+        _run(cdc_stream(spark, spec, {EMAIL: _silver_as_stream(spark, layout, path)}, layout, buckets=8, query_name=name))
+    return _ntz(cdc_view(spark, spec, layout))
+
+
+def q_stream_scd2_merge(spark, sf):
+    """Type 2 merge-on-write over several micro-batches, with late rows that split stored versions."""
+    return _ntz(_stream_cdc(spark, sf, HISTORY, stream_path=_interleaved_silver(spark, sf))[2])
+
+
 def q_stream_scd1_mor(spark, sf):
     """Merge-on-read CDC: per batch only its own rows, compaction every 2 batches, SCD applied on read."""
     src = _interleaved_silver(spark, sf, slices=5)
@@ -477,6 +544,8 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_contact_staged": q_gold_contact_staged,
         "gold_contact_summary": q_gold_contact_summary,
         "gold_contact_quarantine": q_gold_contact_quarantine,
+        "gold_contact_unvalidated_quarantine": q_gold_contact_unvalidated_quarantine,
+        "param_text": q_param_text,
         "gold_profile_gated": q_gold_profile_gated,
         "gold_profile_quarantine": q_gold_profile_quarantine,
         "silver_metrics": q_silver_metrics,
@@ -484,6 +553,8 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "global_metrics": q_global_metrics,
         "latest_per_account": q_latest_per_account,
         "scd1_current": q_scd1_current,
+        "scd1_gated": q_scd1_gated,
+        "scd1_gated_quarantine": q_scd1_gated_quarantine,
         "scd2_history": q_scd2_history,
         "scd2_tracked": q_scd2_tracked,
         "scd2_tracked_except": q_scd2_tracked_except,
@@ -495,6 +566,9 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_scd1": q_stream_scd1,
         "stream_scd2": q_stream_scd2,
         "stream_scd1_ooo": q_stream_scd1_ooo,
+        "stream_silver_restart": q_stream_silver_restart,
+        "stream_scd1_restart": q_stream_scd1_restart,
+        "stream_scd2_merge": q_stream_scd2_merge,
         "stream_scd1_mor": q_stream_scd1_mor,
         "stream_scd1_enriched": q_stream_scd1_enriched,
         "stream_scd2_mor": q_stream_scd2_mor,
@@ -554,6 +628,9 @@ def core_oracle_sql() -> dict[str, str]:
         "gold_contact_summary": O.q(f"SELECT {contact_cols} FROM contact_f "
                                     f"WHERE NOT {O._any(CONTACT, 'error')}"),
         "gold_contact_quarantine": O.quarantine_report(CONTACT, contact_cols),
+        "gold_contact_unvalidated_quarantine": O.unvalidated(O.quarantine_report(CONTACT, contact_cols)),
+        "param_text": O.q("SELECT ACCOUNT_ID AS ACCOUNT_NO, 'v256' AS TAG, CAST(256 AS BIGINT) AS N, ACCOUNT_STATUS "
+                          "FROM silver_account WHERE ACCOUNT_STATUS IN ('ACTIVE', 'CLOSED')"),
         "gold_profile_gated": O.q(f"SELECT {summary_cols} FROM summary_f WHERE NOT {O._any(SUMMARY, 'error')}"),
         "gold_profile_quarantine": O.quarantine_report(SUMMARY, summary_cols),
         "silver_metrics": O.q(O.silver_metrics_select()),
@@ -561,6 +638,8 @@ def core_oracle_sql() -> dict[str, str]:
         "global_metrics": O.q(O.silver_metrics_select() + " UNION ALL " + O.gold_metrics_select()),
         "latest_per_account": O.SCD1,
         "scd1_current": O.SCD1,
+        "scd1_gated": O.SCD1,
+        "scd1_gated_quarantine": email_quarantine,
         "scd2_history": scd2_all,
         "scd2_tracked": scd2_three,
         "scd2_tracked_except": scd2_three,
@@ -572,6 +651,9 @@ def core_oracle_sql() -> dict[str, str]:
         "stream_scd1": O.SCD1,
         "stream_scd2": scd2_all,
         "stream_scd1_ooo": O.SCD1,
+        "stream_silver_restart": silver_email_q,
+        "stream_scd1_restart": O.SCD1,
+        "stream_scd2_merge": scd2_all,
         "stream_scd1_mor": O.SCD1,
         "stream_scd1_enriched": O.SCD1_ENRICHED,
         "stream_scd2_mor": scd2_all,

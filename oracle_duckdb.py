@@ -244,3 +244,9 @@ def hot(sql: str) -> str:
     assert sql.count(marker) == 1
     return sql.replace(marker, "  FROM (SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id) "
                                "FROM events))")
+
+
+def unvalidated(sql: str) -> str:
+    """The same query with the gold statements over bronze rows: no silver rule applied."""
+    assert sql.count(GOLD_CONTACT.strip()) == 1
+    return sql.replace(GOLD_CONTACT.strip(), GOLD_CONTACT.strip().replace("silver_", "bronze_"))

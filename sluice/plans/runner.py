@@ -19,7 +19,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.quality import check
+from ..operators.quality import check, empty_metrics
 from ..sources.tables import Layout
 from . import ledger
 from .gold import GoldSpec, apply_cdc, build_gold, gold_rules, gold_source, gold_view
@@ -38,6 +38,14 @@ def _stream_of(spark: SparkSession, layout: Layout, layer: str, table: str, opti
     return layout.stream(spark, layer, table, DEFAULT_STREAM_OPTIONS if options is None else options)
 
 
+def _entries(spark: SparkSession, layout: Layout, name: str, streamed: bool) -> DataFrame:
+    """A table's ledger entry: five rows, folded over the micro-batches of a stream."""
+    if streamed and not layout.exists(spark, "metrics", name):
+        return empty_metrics(spark)  # no micro-batch yet
+    entries = layout.read(spark, "metrics", name)
+    return ledger.totals(entries) if streamed else entries
+
+
 def run_silver(spark: SparkSession, layout: Layout, tables: list[SilverTable], system: str,
                bronze: dict[str, DataFrame] | None = None, streaming: bool = False,
                stream_options: dict | None = None) -> None:
@@ -63,7 +71,7 @@ def run_silver(spark: SparkSession, layout: Layout, tables: list[SilverTable], s
             if src is None:
                 src = layout.read(spark, "bronze", t.source_table)
             write_silver(silver_check(spark, t, src), layout, t, run_id=run_id)
-    frames = [layout.read(spark, "metrics", f"{t.target_table}_metrics") for t in tables]
+    frames = [_entries(spark, layout, f"{t.target_table}_metrics", streaming) for t in tables]
     layout.write(ledger.union_ledgers(spark, frames), "metrics", ledger.system_ledger_name(system))
 
 
@@ -74,7 +82,7 @@ def run_gold(spark: SparkSession, layout: Layout, specs: list[GoldSpec], domain:
     from ..streaming.cdc import cdc_stream, cdc_view
 
     run_id = str(uuid.uuid4())
-    gated = []
+    gated, streamed = [], set()
     for spec in specs:
         silver = {t: layout.read(spark, "silver", t) for t in spec.sources if layout.exists(spark, "silver", t)}
         gold = {t: layout.read(spark, "gold", t) for t in spec.sources if layout.exists(spark, "gold", t)}
@@ -100,6 +108,7 @@ def run_gold(spark: SparkSession, layout: Layout, specs: list[GoldSpec], domain:
             layout.write(cdc_view(spark, spec, layout), "gold", spec.target)
             if spec.apply_gate:
                 gated.append(spec.target)
+                streamed.add(spec.target)
         elif spec.apply_gate:
             checked = check(gold_source(spark, spec, silver), rules if rules is not None else gold_rules(spec),
                             quarantine_warnings=bool(spec.cfg.get("quarantine_warnings", False))).checkpointed()
@@ -111,7 +120,7 @@ def run_gold(spark: SparkSession, layout: Layout, specs: list[GoldSpec], domain:
             layout.write(apply_cdc(spec, layout.read(spark, "gold", passed)), "gold", spec.target)
         else:
             layout.write(build_gold(spark, spec, silver, rules=rules), "gold", spec.target)
-    frames = [layout.read(spark, "metrics", f"{t}_gold_metrics") for t in gated]
+    frames = [_entries(spark, layout, f"{t}_gold_metrics", t in streamed) for t in gated]
     layout.write(ledger.union_ledgers(spark, frames), "metrics", ledger.gold_ledger_name(domain))
 
 

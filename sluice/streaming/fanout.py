@@ -39,7 +39,7 @@ def silver_stream(
     qw = table.quarantine_warnings if quarantine_warnings is None else quarantine_warnings
 
     token = run_token(spark, layout.checkpoint_path(name))
-    runs = layout.state_path(f"{name}__runs")
+    runs = layout.state_path(f"silver_{table.target_table}__runs")  # of the table: another query name is a new run too
 
     def per_batch(batch_df: DataFrame, batch_id: int) -> None:
         # a new checkpoint reads its source from the start, perhaps cut into other batches:

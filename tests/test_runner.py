@@ -22,8 +22,9 @@ def runs(spark):
     for mode in ("batch", "stream"):
         layout = Layout(new_scratch_dir(spark, f"e2e-{mode}"))
         for name in fixtures.BRONZE_SOURCES:
-            layout.write(fixtures.bronze(spark, SF001, name), "bronze", name)
-        run_silver(spark, layout, default_silver_tables(), "core", streaming=mode == "stream")
+            layout.write(fixtures.bronze(spark, SF001, name).repartition(3), "bronze", name)
+        run_silver(spark, layout, default_silver_tables(), "core", streaming=mode == "stream",
+                   stream_options={"maxFilesPerTrigger": "1"})  # several micro-batches a table
         run_gold(spark, layout, list(default_gold_specs().values()), "customer", streaming_cdc=mode == "stream",
                  buckets=4)
         run_global(spark, layout)
@@ -51,6 +52,12 @@ def test_batch_and_stream_agree(spark, runs):
         assert _rows(b.read(spark, layer, table)) == _rows(s.read(spark, layer, table)), (layer, table)
 
 
+def test_streamed_ledger_has_one_entry_per_table(spark, runs):
+    entry = ("output_location", "metric_name", "metric_value")
+    b, s = (sorted(map(tuple, runs[m].read(spark, "metrics", ledger.GLOBAL).select(*entry).collect())) for m in ("batch", "stream"))
+    assert b == s and len(b) == 5 * (3 + 2)
+
+
 def test_metrics_conserve_rows(spark, runs):
     m = {(r.output_location, r.metric_name): r.metric_value
          for r in runs["batch"].read(spark, "metrics", ledger.GLOBAL).collect()}
