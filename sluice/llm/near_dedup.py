@@ -7,8 +7,10 @@
    buckets: a pair at similarity 0.85 misses all of them with probability 3e-7.
 3. *Stars*: a bucket's members are only paired with its hub, so a bucket of m classes gives m - 1 candidates.
    Candidates are confirmed on the full sets.  A star can miss a link between two members that are both unlike the
-   hub, so rounds follow: the hub is now the member with most confirmed links, and members in the hub's component are
-   skipped.  Rounds end when one finds no new link; each is bounded by the bucket sizes.
+   hub, so rounds follow, each with hubs that have not been hub in that bucket: first the member with most confirmed
+   links, after ``LED`` rounds 2, 4, 8, ... members of the smallest components at once.  Only pairs that were tested or
+   are in one component already are skipped.  A bucket is settled, and leaves, when its members that were not hub share
+   a component; rounds end when all are, so every pair of a bucket is linked, tested or inside a component.
 4. *Components* by contraction: every component takes its least neighbour as parent until no edge is left.
 
 Buckets, candidates, links and components stay in tables; the driver only learns whether a table is empty.
@@ -30,6 +32,7 @@ from pyspark.sql import functions as F
 from . import common as C
 
 SHINGLE, PERCENT, BANDS, ROWS = 5, 85, 32, 6
+LED = 3  # rounds with one hub a bucket, led by links
 BINS = BANDS * ROWS
 _TRIES = 64
 PROBES = (C.mix(np.arange(1, _TRIES * BINS + 1, dtype=np.uint64) * np.uint64(C.BASES[1])) % np.uint64(BINS)).astype(np.int64).reshape(_TRIES, BINS)
@@ -174,27 +177,40 @@ def linked_classes(nodes: DataFrame, docs: DataFrame, percent: int) -> DataFrame
     involved = nodes.select("node", "doc_id", "tkey").join(wanted, "node").alias("i")
     # rows that agree in key and text have the same set, so one of them is enough
     texts = C.cut(docs.alias("d").join(involved, C.same_row("d", "i")).select("i.node", "d.text").dropDuplicates(["node"]), "near-texts")
-    state = members.select("bucket", "node", "n", F.col("node").alias("comp"), F.lit(0).cast("long").alias("degree"))
-    links = tested = None
+    live = members.select("bucket", "node", "n", F.col("node").alias("comp"), F.lit(0).cast("long").alias("degree"), F.lit(1).cast("long").alias("size"))
+    links = tested = comps = degree = None
+    turn = 0
     while True:
-        hubs = state.groupBy("bucket").agg(
-            F.max_by(F.struct("node", "comp", "n"), F.struct("degree", -F.col("node"))).alias("h"),
-            F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high")
-        star = state.join(C.detached(hubs, "bucket"), "bucket").filter("comp <> h.comp AND 100 * least(n, h.n) >= %d * greatest(n, h.n)" % percent)
-        pairs = star.select(F.col("h.node").alias("hub"), "node").distinct()
+        # leaders by links first, then by small components: a member unlike a large group settles with it as one hub
+        rank = F.struct("degree", -F.col("node")) if turn < LED else F.struct(-F.col("size"), -F.col("node"))
+        deal = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << max(0, turn - LED + 1)))
+        hubs = live.groupBy("bucket", deal.alias("deal")).agg(F.max_by(F.struct("node", "comp", "n"), rank).alias("h"))
+        hubs = C.cut(hubs.select("bucket", "h"), "near-hubs")
+        star = live.join(C.detached(hubs, "bucket"), "bucket").filter("comp <> h.comp AND 100 * least(n, h.n) >= %d * greatest(n, h.n)" % percent)
+        pairs = star.groupBy(F.least("h.node", "node").alias("a"), F.greatest("h.node", "node").alias("b")).agg(F.min("h.node").alias("hub"))
         if tested is not None:
-            seen = tested.unionByName(tested.select(F.col("node").alias("hub"), F.col("hub").alias("node")))
-            pairs = pairs.join(seen, ["hub", "node"], "left_anti")
-        pairs = C.cut(pairs, "near-pairs")
-        new = C.cut(confirm(pairs, texts, percent), "near-links")
-        tested = pairs if tested is None else C.cut(tested.unionByName(pairs), "near-tested")
-        if new.isEmpty():
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = C.cut(pairs.select("a", "b", "hub", F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("node")), "near-pairs")
+        new = C.cut(confirm(pairs.select("hub", "node"), texts, percent), "near-links")
+        tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
+        if not new.isEmpty():
+            links = new if links is None else links.unionByName(new)
+            comps = components(links, "hub", "node")
+            sizes = comps.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
+            degree = links.select(F.explode(F.array("hub", "node")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+            degree = C.cut(comps.join(C.detached(sizes, "comp"), "comp").join(degree, "node").select("node", "comp", "degree", "size"), "near-state")
+        # a hub's pairs in its bucket are settled; so is a bucket whose other members share a component
+        was = hubs.select("bucket", F.col("h.node").alias("node"))
+        rest = live.join(was, ["bucket", "node"], "left_anti")
+        if degree is not None:
+            rest = rest.select("bucket", "node", "n").join(degree, "node", "left").select(
+                "bucket", "node", "n", F.coalesce("comp", "node").alias("comp"), F.coalesce("degree", F.lit(0)).alias("degree"), F.coalesce("size", F.lit(1)).alias("size"))
+        rest = C.cut(rest, "near-rest")
+        unsettled = rest.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("bucket")
+        live = C.cut(rest.join(C.detached(unsettled, "bucket"), "bucket"), "near-live")
+        if live.isEmpty():
             break
-        links = new if links is None else C.cut(links.unionByName(new), "near-all-links")
-        comps = components(links, "hub", "node")
-        degree = links.select(F.explode(F.array("hub", "node")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
-        state = members.join(comps, "node", "left").join(degree, "node", "left").select(
-            "bucket", "node", "n", F.coalesce("comp", "node").alias("comp"), F.coalesce("degree", F.lit(0)).alias("degree"))
+        turn += 1
     return comps if links is not None else members.select("node", F.col("node").alias("comp")).limit(0)
 
 

@@ -280,6 +280,17 @@ def test_near_duplicates_match_brute_force(spark, texts):
     assert [(got[i].n_shingles, got[i].component_id) for i in range(len(texts))] == [(len(sets[i]), root[i]) for i in range(len(texts))]
 
 
+def test_near_duplicates_behind_unlike_hubs(spark):
+    """Mutually unlike texts of one template, with the least ids, are hubs of every bucket around one linked pair."""
+    base = [f"w{i}" for i in range(240)]
+    changed = [(20 + 3 * k, 130 + 2 * k, 185 + 2 * k) for k in range(24)] + [(10,), (115,)]
+    texts = [" ".join(f"own{k}" if i in at else w for i, w in enumerate(base)) for k, at in enumerate(changed)]
+    _, root = _components(texts)
+    assert root == [*range(24), 24, 24]
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(_docs(spark, texts)).collect()}
+    assert [got[i] for i in range(26)] == root
+
+
 def test_components_of_a_long_path(spark):
     order = list(range(60))
     random.Random(2).shuffle(order)
