@@ -55,17 +55,17 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: each document as often as the mix takes it."""
-    copies = F.expr("IF(size = 0, 0, (2 * taken + size) div (2 * size))")
+    """Operator 8: a copy for each pass of the mix's rows that takes half of a document or more."""
     unique = _unique_ids(docs)
     tkey = F.lit(0).cast("long") if unique else F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
     keyed = docs.select("doc_id", tkey.alias("tkey"), "source", "text")
-    taken = mixing.mix(keyed, keep=("tkey",)).select("doc_id", "row.tkey", copies.alias("copies"))
+    passes = mixing.scheduled(*mixing.placed(keyed, keep=("tkey",))).groupBy("doc_id", "row.tkey", "src", "start", "pass", "size").agg(
+        F.sum("words").alias("words"))
+    taken = passes.filter("2 * words >= size").groupBy("doc_id", "tkey").agg(F.count(F.lit(1)).alias("copies"))
     if not unique:  # rows equal in everything are interchangeable: one of them with all copies
-        taken = taken.groupBy("doc_id", "tkey").agg(F.sum("copies").alias("copies"))
         docs = docs.dropDuplicates()
     rows = docs.select(F.struct("*").alias("row"), "doc_id", tkey.alias("tkey")).alias("d")
-    chosen = rows.join(taken.filter("copies > 0").alias("t"), C.same_row("d", "t")).select("d.row", "t.copies")
+    chosen = rows.join(taken.alias("t"), C.same_row("d", "t")).select("d.row", "t.copies")
     return _unpacked(chosen.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))))
 
 

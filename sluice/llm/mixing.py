@@ -7,8 +7,9 @@ repetition is the level at which the uncapped sources meet, found in one pass ov
 Each source is a stream of its documents in shuffled order (md5), cut into blocks of ``block_words`` and read round
 again when it ends.  Slot ``i`` of the mix has the golden-ratio point ``frac(i * 0.618...)``; mapped through the
 cumulative block shares it names a source, and the slot's rank among that source's slots names the block.  A source
-stops at its target, inside a block if need be, so what it gives is its target rounded.  ``first_slot`` says where
-the mix first takes a document.  Blocks that the points have not reached after ``9/8`` of all slots follow at the end.
+stops at its target, inside a block if need be, so what it gives is its target rounded.  :func:`scheduled` is the mix
+itself: a row for every pass and block that take words of a document, with the block's slot.  ``taken`` sums its words
+and ``first_slot`` says where the mix first takes a document.  Blocks that the points have not reached after ``9/8`` of all slots follow at the end.
 
 The table of sources (a catalogue, one row each) is the only thing collected.  Positions in a source come from 4096
 hash ranges with known offsets and slot ranks from fixed ranges of slots, so no task holds a whole source.
@@ -77,9 +78,9 @@ def schedule(spark, blocks: list[int]) -> DataFrame:
         F.coalesce("slot", F.lit(slots) + F.col("late")).alias("slot"), "src", "block")
 
 
-def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, block_words: int = BLOCK_WORDS,
-        keep: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id, size, source_size, target, taken, first_slot`` and the input columns ``keep`` as the struct ``row``."""
+def placed(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, block_words: int = BLOCK_WORDS,
+           keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """The documents with their places in their sources, and the schedule's blocks."""
     spark = documents.sparkSession
     name = F.concat(F.lit("mix:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     sized = documents.select(*([F.struct(*keep).alias("row")] if keep else []), "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("long").alias("size"),
@@ -92,17 +93,37 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     offsets = narrow.groupBy("source", "part").agg(F.sum("size").alias("n")).select(
         "source", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     inside = Window.partitionBy("source", "part").orderBy("draw", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    placed = sized.withColumn("upto", F.sum("size").over(inside)).alias("d")
-    where = placed.join(offsets.alias("o"), F.col("d.source").eqNullSafe(F.col("o.source")) & (F.col("d.part") == F.col("o.part"))).select(
+    upto = sized.withColumn("upto", F.sum("size").over(inside)).alias("d")
+    where = upto.join(offsets.alias("o"), F.col("d.source").eqNullSafe(F.col("o.source")) & (F.col("d.part") == F.col("o.part"))).select(
         "d.*", (F.col("o.offset") + F.col("d.upto") - F.col("d.size")).alias("start"))
-    where = where.alias("w").join(sources.alias("s"), F.col("w.source").eqNullSafe(F.col("s.source"))).select("w.*", "s.src", "s.source_size", "s.target", "s.quota")
-    whole = F.expr("IF(source_size = 0, 0, quota div source_size)")
-    rest = F.expr("IF(source_size = 0, 0, quota % source_size)")
-    part = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), rest - F.col("start")))
-    got = where.withColumn("taken", (whole * F.col("size") + part).cast("long")).withColumn(
-        "block", F.when(F.col("taken") > 0, F.expr(f"start div {block_words}")))
-    found = got.join(slots, ["src", "block"], "left")
-    return found.select(*["row"] * bool(keep), "doc_id", "size", "source_size", "target", "taken", F.col("slot").alias("first_slot"))
+    where = where.alias("w").join(sources.alias("s"), F.col("w.source").eqNullSafe(F.col("s.source"))).select(
+        *["w.row"] * bool(keep), "w.doc_id", "w.size", "w.start", "s.src", "s.source_size", "s.target", "s.quota")
+    # written once: rows equal in the order above must not trade places between two uses
+    return C.cut(where, "mix-places"), slots
+
+
+def scheduled(places: DataFrame, slots: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The mix: ``slot``, the columns of ``places``, ``pass`` and ``words``, a row per pass and block that take words of a document.
+
+    In order of ``slot, pass, start`` it is the whole mix, repeats included.
+    """
+    first, stop = F.expr("pass * source_size + start"), F.expr("least(quota, pass * source_size + start + size)")
+    takes = places.filter("size > 0 AND start < quota").withColumn("pass", F.explode(F.expr("sequence(0L, (quota - start - 1) div source_size)")))
+    takes = takes.withColumn("first", first).withColumn("stop", stop)
+    takes = takes.withColumn("block", F.explode(F.expr(f"sequence(first div {block_words}, (stop - 1) div {block_words})")))
+    words = F.least("stop", (F.col("block") + 1) * block_words) - F.greatest("first", F.col("block") * block_words)
+    return takes.withColumn("words", words).join(slots, ["src", "block"]).select("slot", *places.columns, "pass", "words")
+
+
+def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, block_words: int = BLOCK_WORDS,
+        keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, size, source_size, target, taken, first_slot`` and the input columns ``keep`` as the struct ``row``."""
+    places, slots = placed(documents, weights, most, block_words, keep)
+    # a document with words is alone at its start
+    sums = scheduled(places, slots, block_words).groupBy("src", "start").agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"))
+    sums = sums.select(F.col("src").alias("at_src"), F.col("start").alias("at_start"), "taken", "first_slot")
+    found = places.join(sums, (F.col("src") == F.col("at_src")) & (F.col("start") == F.col("at_start")) & (F.col("size") > 0), "left")
+    return found.select(*["row"] * bool(keep), "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), "first_slot")
 
 
 def op8_mixing(spark, sf_dir: str) -> DataFrame:

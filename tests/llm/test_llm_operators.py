@@ -178,6 +178,24 @@ def test_mixing_meets_targets(spark):
     assert Counter(r.src for r in slots) == {0: 5, 2: 9, 3: 1} and len({r.slot for r in slots}) == 15
 
 
+def test_mix_holds_every_pass_and_block(spark):
+    rng = random.Random(8)
+    docs = _docs(spark, [_prose(rng, rng.randint(0, 60)) for _ in range(90)], sources={i: "abc"[min(2, i // 8)] for i in range(90)})
+    places, slots = mixing.placed(docs, block_words=16)
+    rows = mixing.scheduled(places, slots, 16).collect()
+    want = {(r.src, r.block): r.slot for r in slots.collect()}
+    by_slot, by_doc, first = Counter(), Counter(), {}
+    for r in rows:
+        by_slot[r.slot] += r.words
+        by_doc[r.doc_id] += r.words
+        first[r.doc_id] = min(first.get(r.doc_id, r.slot), r.slot)
+    assert set(by_slot) == set(want.values()) and max(by_slot.values()) == 16 and max(r["pass"] for r in rows) > 0
+    quota = {r.src: r.quota for r in places.collect()}
+    assert all(by_slot[slot] == min(16, quota[src] - 16 * block) for (src, block), slot in want.items())
+    got = {r.doc_id: (r.taken, r.first_slot) for r in mixing.mix(docs, block_words=16).collect()}
+    assert got == {d: (by_doc[d], first.get(d)) for d in got}
+
+
 # -- op5 ---------------------------------------------------------------------------
 def test_license_alignment(spark):
     a, b = "the cat sat on the mat".split(), "a cat sat quietly on the mat".split()
