@@ -266,6 +266,20 @@ def test_secret_spans(spark):
     assert got[66] == [("grammar", 5, 23)]  # the format of the learned passwords, without the keyword
 
 
+def test_short_lettered_and_embedded_secrets(spark):
+    rng = random.Random(9)
+    pick = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    short = lambda: pick("0123456789", 2) + pick("GHJKLMNP", 5) + pick("0123456789", 2)
+    lettered = lambda: pick("GHJKLMNP", 10) + pick("ghjkmnp", 10)
+    learned = [f"password={short()}" for _ in range(80)] + [f"token: {lettered()}" for _ in range(80)]
+    a, b = short(), lettered()
+    texts = [f"bare {a} word", f"bare {b} word", f"at the end {a}.", f"id={b}&x", f"/path/{a}/to/{b}.", f"{a[:-1]} {b}{b}"]
+    got = {r.doc_id: [(s.kind, texts[r.doc_id - 160][s.start : s.end]) for s in r.spans] for r in
+           secret_scan.scan_secrets(_docs(spark, learned + texts)).collect() if r.doc_id >= 160}
+    g = "grammar"
+    assert [got[160 + i] for i in range(6)] == [[(g, a)], [(g, b)], [(g, a)], [(g, b)], [(g, a), (g, b)], []]
+
+
 # -- op10 --------------------------------------------------------------------------
 def _components(texts, percent=85, size=5):
     sets = []
