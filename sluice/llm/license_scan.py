@@ -10,9 +10,13 @@ of m words and a share ``coverage`` of them to be found:
 3. *Alignment* of the range (:func:`patience`): words that occur once in both sides are anchors; the longest increasing
    subsequence of their places is kept; the gaps between anchors are aligned in the same way, equal words at the ends
    of a gap first.  Coverage is the share of template words aligned.
+4. *Whole text*: the most template words that the text holds in order (:func:`most_in_order`) bounds every alignment.
+   Where the ranges stay below it, the shortest range that reaches it is taken (:func:`shortest_range`), whatever was
+   inserted between the words, so coverage is always that of the whole text.
 
 Per document: the template of highest coverage (ties: first in the list, then first in the text), its place in UTF-8
-bytes of the original, and all templates found.
+bytes of the original, and all templates found.  Templates found in a range of step 2 rank before those whose words
+only align over wider gaps.
 
 Defined cases: null and empty texts have no license; repeated rows are each reported; an empty template is refused;
 further columns are not read; an empty table gives an empty result.
@@ -98,6 +102,40 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def most_in_order(words: list[int], template: list[int]) -> int:
+    """Length of a longest common subsequence, one bit per template word."""
+    full = (1 << len(template)) - 1
+    at: dict[int, int] = {}
+    for j, w in enumerate(template):
+        at[w] = at.get(w, 0) | 1 << j
+    open_ = full
+    for w in words:
+        if w in at:
+            hit = open_ & at[w]
+            open_ = (open_ + hit | open_ - hit) & full
+    return len(template) - open_.bit_count()
+
+
+def shortest_range(words: list[int], template: list[int], most: int) -> tuple[int, int]:
+    """First and last text word of the shortest range (the first of them) that holds ``most`` template words in order.
+
+    ``most`` is the greatest number, so the alignments that lead to it have the greatest number at each of their words.
+    """
+    at: dict[int, list[int]] = {}
+    for j, w in enumerate(template):
+        at.setdefault(w, []).insert(0, j)
+    best = [(0, 0)] * len(template)  # words aligned up to this template word, and the latest start of such an alignment
+    found = None
+    for p, w in enumerate(words):
+        for j in at.get(w, ()):
+            count, start = max(best[:j], default=(0, 0))
+            reached = (count + 1, start if count else p)
+            best[j] = max(best[j], reached)
+            if reached[0] == most and (found is None or p - reached[1] < found[1] - found[0]):
+                found = (reached[1], p)
+    return found
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str], coverage: float, slack: float):
         self.names, self.coverage = list(templates), coverage
@@ -116,9 +154,12 @@ class Scanner:
         self.need = [max(1, int(np.ceil(coverage * len(t) - 1e-9))) for t in self.templates]
         self.slack = [max(2, int(slack * len(t))) for t in self.templates]
 
-    def best(self, words: list[int], t: int) -> tuple[int, int, int] | None:
-        """Most aligned words of template ``t`` in a text, and the first and last text word of that copy."""
+    def best(self, words: list[int], t: int) -> tuple[int, int, int, bool] | None:
+        """Most aligned words of template ``t`` in a text, the first and last text word of that copy, and is it in a near range?"""
         template, need, slack = self.templates[t], self.need[t], self.slack[t]
+        most = most_in_order(words, template)
+        if most < need:
+            return None
         have = Counter(w for w in words if w >= 0)
         places: list[int] = []
         covered = 0
@@ -138,9 +179,11 @@ class Scanner:
             pairs = patience(words[a:z], template)
             if len(pairs) >= need and (found is None or len(pairs) > found[0]):
                 found = (len(pairs), a + pairs[0][0], a + pairs[-1][0])
-                if len(pairs) == len(template):
+                if len(pairs) == most:
                     break
-        return found
+        if found and found[0] == most:
+            return (*found, True)
+        return (most, *shortest_range(words, template, most), found is not None)
 
     def scan(self, data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple]:
         """``n_words, license, coverage, start, end, licenses`` of each text."""
@@ -155,14 +198,15 @@ class Scanner:
         np.add.at(have, (row[known], number[known]), 1)
         able = np.stack([np.minimum(have, c).sum(axis=1) >= n for c, n in zip(self.counts, self.need)], axis=1)
         for i in range(len(bounds) - 1):
-            top, names = None, []
+            top, rank, names = None, (False, 0.0), []
             for t in np.flatnonzero(able[i]).tolist():
                 got = self.best(number[words[i] : words[i + 1]].tolist(), t)
                 if got:
                     names.append(self.names[t])
                     share = got[0] / len(self.templates[t])
-                    if top is None or share > top[1]:
+                    if top is None or (got[3], share) > rank:
                         first, last = words[i] + got[1], words[i] + got[2]
+                        rank = (got[3], share)
                         top = (self.names[t], share, int(starts[first] - bounds[i]), int(ends[last] - bounds[i]))
             yield (int(words[i + 1] - words[i]), *(top or (None, 0.0, None, None)), names)
 

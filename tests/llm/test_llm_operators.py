@@ -213,6 +213,28 @@ def test_license_alignment(spark):
         license_scan.scan_licenses(docs, {"none": "-"})
 
 
+def test_licenses_with_inserted_words(spark):
+    far = "Released under the " + "quite well known " * 40 + "MIT License"
+    texts = ["Released under the terms of the well known MIT License",
+             "Licensed under the terms and conditions of the Apache License, Version 2.0", far, far + ". Licensed under CC BY-NC 4.0",
+             "the License is MIT and under it released"]
+    got = {r.doc_id: r for r in license_scan.scan_licenses(_docs(spark, texts)).collect()}
+    assert [(got[i].license, got[i].coverage) for i in range(5)] == [("MIT", 1.0), ("Apache-2.0", 1.0), ("MIT", 1.0), ("CC-BY-NC-4.0", 1.0), (None, 0.0)]
+    assert [(got[i].start, got[i].end) for i in range(3)] == [(0, len(t)) for t in texts[:3]] and "MIT" in got[3].licenses
+    rng = random.Random(4)
+    for _ in range(300):
+        words, template = ([rng.randrange(4) for _ in range(n)] for n in (rng.randint(1, 9), rng.randint(1, 5)))
+        lcs = [[0] * (len(template) + 1) for _ in range(len(words) + 1)]
+        for i, w in enumerate(words):
+            for j, x in enumerate(template):
+                lcs[i + 1][j + 1] = lcs[i][j] + 1 if w == x else max(lcs[i][j + 1], lcs[i + 1][j])
+        most = license_scan.most_in_order(words, template)
+        assert most == lcs[-1][-1]
+        if most:
+            spans = [(z - a, a, z) for a in range(len(words)) for z in range(a, len(words)) if license_scan.most_in_order(words[a : z + 1], template) == most]
+            assert license_scan.shortest_range(words, template, most) == min(spans)[1:]
+
+
 # -- op6 ---------------------------------------------------------------------------
 def test_language_id_on_held_out_rows(spark):
     got = language_id.op6_language_id(spark, SF001)
