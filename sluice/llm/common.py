@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -117,7 +118,7 @@ def word_spans(data: np.ndarray, bounds: np.ndarray, is_word: np.ndarray) -> tup
     return starts, ends, np.searchsorted(starts, bounds)
 
 
-# -- hashing: polynomials over 2^64 with odd bases, finished by a bijective mix -------
+# -- hashing: words by chained mixing; runs of symbols by polynomials over 2^64 with odd bases, finished by a bijective mix --
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 
 
@@ -155,11 +156,30 @@ class Prefix:
         return (self.sums[ends] - self.sums[starts]) * self.inverse[starts]
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+_TAIL = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)  # keeps the first k bytes of a block
+LONG = 512  # longer slices are digested one by one
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = BASES[2]) -> np.ndarray:
+    """Hash of every slice: blocks of 8 bytes, the state mixed after each, so no choice of text cancels out."""
+    size = ends - starts
+    out = mix(size.astype(np.uint64) * np.uint64(BASES[1]) + np.uint64(seed))
     if not len(starts):
-        return np.zeros(0, np.uint64)
-    raw = Prefix(BYTE_CODES[data]).slices(starts, ends)
-    return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(BASES[2]))
+        return out
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    block = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # block[i]: the 8 bytes from i on
+    live = np.flatnonzero((size > 0) & (size <= LONG))
+    at = starts[live]
+    while len(live):
+        left = ends[live] - at
+        value = block[at] & _TAIL[np.minimum(left, 8)]
+        out[live] = mix((out[live] ^ value) + np.uint64(BASES[0]))
+        more = left > 8
+        live, at = live[more], at[more] + 8
+    for i in np.flatnonzero(size > LONG).tolist():
+        digest = hashlib.blake2b(data[starts[i] : ends[i]], digest_size=8, key=seed.to_bytes(8, "little")).digest()
+        out[i] = int.from_bytes(digest, "little")
+    return out
 
 
 def rolling(symbols: np.ndarray, length: int, base: int = BASES[0]) -> np.ndarray:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, language_id, license_scan, mixing, near_dedup, secret_scan, sharding, substring_dedup, suffix_dedup, topk
+from . import decontam, language_id, license_scan, line_dedup, mixing, near_dedup, secret_scan, sharding, substring_dedup, suffix_dedup, topk
 
 QUERIES = {
     "op1_top_k": topk.op1_top_k,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_secret_scan": secret_scan.op9_secret_scan,
     "op10_near_dedup": near_dedup.op10_near_dedup,
+    "op12_line_dedup": line_dedup.op12_line_dedup,
 }
 
 # the others are tested against brute force in tests/llm
@@ -24,4 +25,5 @@ ORACLES = {
     "op3_substring_dedup": substring_dedup.SQL,
     "op8_mixing": mixing.SQL,
     "op10_near_dedup": near_dedup.SQL,
+    "op12_line_dedup": line_dedup.SQL,
 }
