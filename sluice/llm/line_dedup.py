@@ -213,6 +213,15 @@ def suspects(keys: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:
     return (_probed if 8 * words <= filter_bytes else _joined)(keys, words, found)
 
 
+def _lost_lines(data: np.ndarray, bounds: np.ndarray, least: int, size: np.ndarray, gone: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each line's key is among those (``size`` of ``gone`` per row) that its row loses, and the line bounds of the rows."""
+    a, z, ok, offs = line_keys(data, bounds, least)
+    own, lost = (C.mix(np.repeat(np.arange(1, len(n) + 1), n).astype(np.uint64)) for n in (np.diff(offs), size))
+    for mine, theirs in ((a, gone[0]), (z, gone[1])):  # keys are matched inside their row
+        ok &= np.isin(C.mix(mine ^ own), C.mix(theirs ^ lost))
+    return ok, offs
+
+
 def dropped_keys(docs: DataFrame, least: int = LEAST, filter_bytes: int = FILTER_BYTES) -> DataFrame:
     """``doc_id, tkey, keys``: the keys that lose their lines in that document."""
     keys = C.cut(key_table(docs, least), "lines-keys")
@@ -237,19 +246,18 @@ def dedup_lines(documents: DataFrame, least: int = LEAST, filter_bytes: int = FI
             size = np.asarray(keys.value_lengths().fill_null(0))
             flat = keys.flatten()
             gone = [np.asarray(flat.field(k)).view(np.uint64) for k in ("h1", "h2")]
-            offs = np.concatenate(([0], np.cumsum(size)))
+            cuts = np.concatenate(([0], np.cumsum(size)))
             rows = []
-            for i in range(b.num_rows):
-                raw = data[bounds[i] : bounds[i + 1]]
-                text, drops = raw.tobytes(), 0
-                n = text.count(b"\n") + 1
-                if size[i]:
-                    a, z, ok, _ = line_keys(raw, np.array([0, len(raw)]), least)
-                    s = slice(offs[i], offs[i + 1])
-                    drop = ok & np.isin(C.mix(a) + z, C.mix(gone[0][s]) + gone[1][s])
-                    drops = int(drop.sum())
-                    text = b"\n".join(x for x, d in zip(text.split(b"\n"), drop.tolist()) if not d)
-                rows.append((n, drops, hashlib.sha256(text).hexdigest(), text.decode() if keep_text else None))
+            for i, j in C.row_chunks(bounds):
+                drop, offs = _lost_lines(data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i], least, size[i:j], [g[cuts[i] : cuts[j]] for g in gone])
+                for r in range(i, j):
+                    text = data[bounds[r] : bounds[r + 1]].tobytes()
+                    n, drops = int(offs[r - i + 1] - offs[r - i]), 0
+                    if size[r]:
+                        mine = drop[offs[r - i] : offs[r - i + 1]]
+                        drops = int(mine.sum())
+                        text = b"\n".join(x for x, d in zip(text.split(b"\n"), mine.tolist()) if not d)
+                    rows.append((n, drops, hashlib.sha256(text).hexdigest(), text.decode() if keep_text else None))
             cols = list(zip(*rows)) if rows else [()] * 4
             yield C.batch(out, b.column("doc_id"), *[list(c) for c in (cols if keep_text else cols[:3])])
 
