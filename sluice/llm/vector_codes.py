@@ -225,7 +225,7 @@ def _sql() -> str:
         return f"""
 near{k} AS MATERIALIZED (
   SELECT vec_id, p, any_value(x) AS x, min(d * {ENTRIES} + e) AS m
-  FROM (SELECT vec_id, p, x, e, CAST(list_sum(list_transform(list_zip(x, c), z -> (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+  FROM (SELECT vec_id, p, x, e, CAST(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
         FROM parts JOIN book{k} USING (p)) GROUP BY vec_id, p)"""
 
     def book(k: int) -> str:
@@ -239,8 +239,8 @@ book{k + 1} AS MATERIALIZED (
     steps = ",".join(near(k) + "," + book(k) for k in range(ROUNDS)) + "," + near(ROUNDS)
     return f"""
 WITH kept AS (
-  SELECT vec_id, label, list_transform(embedding, x -> CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
-  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  SELECT vec_id, label, list_transform(embedding, lambda v: CAST(floor({SCALE} * CAST(v AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
 parts AS MATERIALIZED (
   SELECT vec_id, p, v[p * (len(v) // {PARTS}) + 1 : (p + 1) * (len(v) // {PARTS})] AS x FROM kept, range({PARTS}) AS r(p)),
 book0 AS MATERIALIZED (
