@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.session import new_scratch_dir
+from sluice.sources.tables import delete_path
 
 CHUNK = 1 << 20  # symbols hashed at once inside a task; a longer text is a chunk of its own
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -32,7 +33,16 @@ def cut(df: DataFrame, label: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables of :func:`cut` that nothing reads any more."""
+    for df in tables:
+        if path := getattr(df, "scratch", None):
+            delete_path(df.sparkSession, path)
 
 
 def keyed_documents(docs: DataFrame) -> DataFrame:

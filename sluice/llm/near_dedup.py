@@ -6,12 +6,16 @@
    from a non-empty one chosen by a hash of (bin, attempt), which keeps collisions unbiased.  ``BANDS`` bands give the
    buckets: a pair at similarity 0.85 misses all of them with probability 3e-7.
 3. *Stars*: a bucket's members are only paired with its hub, so a bucket of m classes gives m - 1 candidates.
-   Candidates are confirmed on the full sets.  A star can miss a link between two members that are both unlike the
-   hub, so rounds follow, each with hubs that have not been hub in that bucket: first the member with most confirmed
-   links, after ``LED`` rounds 2, 4, 8, ... members of the smallest components at once.  Only pairs that were tested or
-   are in one component already are skipped.  A bucket is settled, and leaves, when its members that were not hub share
-   a component; rounds end when all are, so every pair of a bucket is linked, tested or inside a component.
-4. *Components* by contraction: every component takes its least neighbour as parent until no edge is left.
+   Candidates are confirmed on the full sets.  ``LED`` rounds follow one another, each led by the member with most links.
+   A bucket is settled, and leaves, when its members that were not hub share a component.
+4. *Differences*: what is left unsettled is split exactly.  With hub h, let a member x lack r of h's shingles and have i others, and
+   let W = 100 r + P i (P: percent).  Then x is linked with h if and only if W <= (100 - P) |h|, and x and y are linked if and only if they
+   share c differences from h with (100 + P) c >= W(x) + W(y) - (100 - P) |h|.  So of two members that are not linked with h, each
+   shares more than W / (100 + P) of its differences with a linked one, and by the prefix filter the two meet in one of their
+   rarest differences.  Members that share such a difference form the next groups, again with one hub each.  The hub has the
+   greatest fixed rank, so ranks fall from round to round and the rounds end.  Texts of one template that are unlike
+   each other have rare differences of their own and part at once; no pair of a bucket is lost.
+5. *Components* by contraction: every component takes its least neighbour as parent until no edge is left.
 
 Buckets, candidates, links and components stay in tables; the driver only learns whether a table is empty.
 
@@ -26,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -135,56 +139,132 @@ def _roots(labels: DataFrame) -> DataFrame:
 
 # -- candidates and confirmation --------------------------------------------------
 _LINK = pa.schema([("hub", pa.int64()), ("node", pa.int64())])
+_DIFF = pa.schema([("hub", pa.int64()), ("node", pa.int64()), ("linked", pa.bool_()), ("near", pa.int32()), ("far", pa.int32()), ("elements", pa.list_(pa.int64()))])
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, percent: int, members_per_task: int = 250) -> DataFrame:
-    """The ``(hub, node)`` pairs whose full shingle sets are similar enough.
+def _with_texts(pairs: DataFrame, texts: DataFrame, members_per_task: int) -> DataFrame:
+    """``hub, salt, role, node, wide, text``: members beside their hub, hub first.
 
     Members travel to their hub once; a hub with many members is dealt over several salts, each with the hub's text.
     """
     sizes = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / members_per_task).cast("int").alias("salts"))
     hubs = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    hub_rows = hubs.join(texts, hubs.hub == texts.node).select("hub", "salt", F.lit(0).alias("role"), "node", "text")
+    hub_rows = hubs.join(texts, hubs.hub == texts.node).select("hub", "salt", F.lit(0).alias("role"), "node", F.lit(False).alias("wide"), "text")
     members = pairs.join(C.detached(sizes, "hub"), "hub").withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int")).drop("salts")
-    member_rows = members.join(texts, "node").select("hub", "salt", F.lit(1).alias("role"), "node", "text")
+    member_rows = members.join(texts, "node").select("hub", "salt", F.lit(1).alias("role"), "node", "wide", "text")
+    return hub_rows.unionByName(member_rows).repartition("hub", "salt").sortWithinPartitions("hub", "salt", "role")
+
+
+def _set_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bool, np.ndarray, np.ndarray, bool]]:
+    """``hub, node, wide, hub's set, node's set`` of every pair, and whether a block of rows ends with it."""
+    hub, hub_set = None, np.zeros(0, np.uint64)
+    for b in batches:
+        data, bounds, _ = C.text_bytes(b.column("text"))
+        h, role, node = (np.asarray(b.column(c)) for c in ("hub", "role", "node"))
+        wide = b.column("wide").to_numpy(zero_copy_only=False)
+        for i, j in C.row_chunks(bounds):
+            for r, s in zip(range(i, j), shingle_sets(data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i])):
+                if role[r] == 0:
+                    hub, hub_set = h[r], s
+                elif hub == h[r]:
+                    yield int(h[r]), int(node[r]), bool(wide[r]), hub_set, s, r == j - 1
+
+
+def confirm(pairs: DataFrame, texts: DataFrame, percent: int, members_per_task: int = 250) -> DataFrame:
+    """The ``(hub, node)`` pairs whose full shingle sets are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hub, hub_set = None, np.zeros(0, np.uint64)
-        for b in batches:
-            data, bounds, _ = C.text_bytes(b.column("text"))
-            h, role, node = (np.asarray(b.column(c)) for c in ("hub", "role", "node"))
-            found = []
-            for i, j in C.row_chunks(bounds):
-                for r, s in zip(range(i, j), shingle_sets(data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i])):
-                    if role[r] == 0:
-                        hub, hub_set = h[r], s
-                    elif hub == h[r]:
-                        both = len(np.intersect1d(s, hub_set, assume_unique=True))
-                        if 100 * both >= percent * (len(s) + len(hub_set) - both):
-                            found.append(r)
-            yield C.batch(_LINK, h[found], node[found])
+        found = []
+        for hub, node, _, hub_set, s, _ in _set_pairs(batches):
+            both = len(np.intersect1d(s, hub_set, assume_unique=True))
+            if 100 * both >= percent * (len(s) + len(hub_set) - both):
+                found.append((hub, node))
+        yield C.batch(_LINK, *(list(c) for c in zip(*found))) if found else C.batch(_LINK, [], [])
 
-    placed = hub_rows.unionByName(member_rows).repartition("hub", "salt").sortWithinPartitions("hub", "salt", "role")
-    return placed.mapInArrow(run, "hub long, node long")
+    return _with_texts(pairs.withColumn("wide", F.lit(False)), texts, members_per_task).mapInArrow(run, "hub long, node long")
+
+
+def differences(pairs: DataFrame, texts: DataFrame, percent: int, members_per_task: int = 250) -> DataFrame:
+    """``hub, node, linked, near, far`` and, where ``wide``, the ``elements`` of one set only.
+
+    Of the elements, by rising frequency, the first ``near`` hold one that a linked member shares if neither is linked with the
+    hub, and the first ``far`` one if the other is.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for hub, node, wide, hub_set, s, last in _set_pairs(batches):
+            apart = np.setxor1d(s, hub_set, assume_unique=True)
+            extra = (len(apart) + len(s) - len(hub_set)) // 2
+            weight, limit = 100 * (len(apart) - extra) + percent * extra, (100 - percent) * len(hub_set)
+            near = len(apart) - weight // (100 + percent)
+            far = near if weight <= limit else len(apart) + 1 - -(-(weight - limit) // (100 + percent))
+            rows.append((hub, node, weight <= limit, near, far, C.signed(apart) if wide else ()))
+            if last:
+                yield C.batch(_DIFF, *(list(c) for c in zip(*rows)))
+                rows = []
+        if rows:
+            yield C.batch(_DIFF, *(list(c) for c in zip(*rows)))
+
+    return _with_texts(pairs, texts, members_per_task).mapInArrow(run, "hub long, node long, linked boolean, near int, far int, elements array<long>")
+
+
+def joined_up(state: DataFrame, links: DataFrame) -> DataFrame:
+    """``state`` (``node, rank, comp``) with the components that the links connect named alike."""
+    ends = state.select(F.col("node"), "comp")
+    edges = links.join(ends.select(F.col("node").alias("hub"), F.col("comp").alias("a")), "hub").join(
+        ends.select("node", F.col("comp").alias("b")), "node").filter("a <> b").select("a", "b")
+    edges = C.cut(edges.distinct(), "near-joins")
+    if edges.isEmpty():
+        return state
+    new = components(edges).select(F.col("node").alias("old"), F.col("comp").alias("new"))
+    out = state.join(new, state.comp == new.old, "left").select("node", "rank", F.coalesce("new", "comp").alias("comp"))
+    return C.cut(out, "near-state")
+
+
+def part_by_differences(groups: DataFrame, state: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """``state`` after every linked pair of a group (``grp, node``) is in one component; see step 4 above."""
+    while True:
+        ranked = groups.join(state, "node")
+        hubs = ranked.groupBy("grp").agg(F.max_by("node", F.struct("rank", "node")).alias("hub"))
+        starred = ranked.join(C.detached(hubs, "grp"), "grp").filter("node <> hub")
+        pairs = C.cut(starred.groupBy("hub", "node").agg(F.min("comp").alias("comp")), "near-pairs")
+        several = pairs.groupBy("hub").agg((F.min("comp") < F.max("comp")).alias("wide"))
+        found = C.cut(differences(pairs.join(C.detached(several, "hub"), "hub").select("hub", "node", "wide"), texts, percent), "near-differences")
+        state = joined_up(state, found.filter("linked").select("hub", "node"))
+        now = found.filter(F.size("elements") > 0).join(state.select("node", "comp"), "node")
+        mixed = now.groupBy("hub").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("hub")
+        now = now.join(C.detached(mixed, "hub"), "hub")
+        each = C.cut(now.select("hub", "node", "comp", "linked", "near", "far", F.size("elements").alias("size"), F.explode("elements").alias("e")), "near-elements")
+        often = each.groupBy("hub", "e").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+        own = Window.partitionBy("hub", "node")
+        placed = each.join(C.detached(often, "e"), ["hub", "e"]).withColumn("shared", F.count(F.lit(1)).over(own)).withColumn(
+            "place", F.col("size") - F.col("shared") + F.row_number().over(own.orderBy("c", "e")))  # elements of one member only come first
+        kept = C.cut(placed.filter("place <= far").select(F.xxhash64("hub", "e").alias("grp"), "node", "comp", "linked", (F.col("place") > F.col("near")).alias("late")), "near-split")
+        live = kept.groupBy("grp").agg(
+            F.min("comp").alias("low"), F.max("comp").alias("high"), F.max("linked").alias("any_linked"), F.count_if(~F.col("late")).alias("early"))
+        live = live.filter("low < high AND (any_linked OR early > 1)").select("grp", "any_linked")
+        old = groups
+        groups = C.cut(kept.join(C.detached(live, "grp"), "grp").filter("any_linked OR NOT late").select("grp", "node").distinct(), "near-groups")
+        C.forget(old, pairs, found, each, kept)
+        if groups.isEmpty():
+            return state
 
 
 def linked_classes(nodes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """``node, comp`` of the classes that are linked with another one.  ``nodes``: node, doc_id, tkey, n, bands."""
+    """``node, comp`` of the classes that share a bucket with another one.  ``nodes``: node, doc_id, tkey, n, bands."""
     buckets = nodes.select("node", "n", F.explode("bands").alias("bucket"))
-    several = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("bucket")
+    several = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     members = C.cut(buckets.join(C.detached(several, "bucket"), "bucket"), "near-members")
-    wanted = members.select("node").distinct()
-    involved = nodes.select("node", "doc_id", "tkey").join(wanted, "node").alias("i")
+    # members of many and large buckets are the most central ones: good hubs
+    state = C.cut(members.groupBy("node").agg(F.sum("c").alias("rank")).withColumn("comp", F.col("node")), "near-state")
+    involved = nodes.select("node", "doc_id", "tkey").join(state.select("node"), "node").alias("i")
     # rows that agree in key and text have the same set, so one of them is enough
     texts = C.cut(docs.alias("d").join(involved, C.same_row("d", "i")).select("i.node", "d.text").dropDuplicates(["node"]), "near-texts")
-    live = members.select("bucket", "node", "n", F.col("node").alias("comp"), F.lit(0).cast("long").alias("degree"), F.lit(1).cast("long").alias("size"))
-    links = tested = comps = degree = None
-    turn = 0
-    while True:
-        # leaders by links first, then by small components: a member unlike a large group settles with it as one hub
-        rank = F.struct("degree", -F.col("node")) if turn < LED else F.struct(-F.col("size"), -F.col("node"))
-        deal = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(1 << max(0, turn - LED + 1)))
-        hubs = live.groupBy("bucket", deal.alias("deal")).agg(F.max_by(F.struct("node", "comp", "n"), rank).alias("h"))
+    live = members.select("bucket", "node", "n", F.col("node").alias("comp"), F.lit(0).cast("long").alias("degree"))
+    links = tested = None
+    for turn in range(LED):
+        hubs = live.groupBy("bucket").agg(F.max_by(F.struct("node", "comp", "n"), F.struct("degree", -F.col("node"))).alias("h"))
         hubs = C.cut(hubs.select("bucket", "h"), "near-hubs")
         star = live.join(C.detached(hubs, "bucket"), "bucket").filter("comp <> h.comp AND 100 * least(n, h.n) >= %d * greatest(n, h.n)" % percent)
         pairs = star.groupBy(F.least("h.node", "node").alias("a"), F.greatest("h.node", "node").alias("b")).agg(F.min("h.node").alias("hub"))
@@ -193,36 +273,28 @@ def linked_classes(nodes: DataFrame, docs: DataFrame, percent: int) -> DataFrame
         pairs = C.cut(pairs.select("a", "b", "hub", F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("node")), "near-pairs")
         new = C.cut(confirm(pairs.select("hub", "node"), texts, percent), "near-links")
         tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
-        if not new.isEmpty():
-            links = new if links is None else links.unionByName(new)
-            comps = components(links, "hub", "node")
-            sizes = comps.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
-            degree = links.select(F.explode(F.array("hub", "node")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
-            degree = C.cut(comps.join(C.detached(sizes, "comp"), "comp").join(degree, "node").select("node", "comp", "degree", "size"), "near-state")
+        links = new if links is None else links.unionByName(new)
+        state = joined_up(state, new)
+        degree = links.select(F.explode(F.array("hub", "node")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
         # a hub's pairs in its bucket are settled; so is a bucket whose other members share a component
         was = hubs.select("bucket", F.col("h.node").alias("node"))
-        rest = live.join(was, ["bucket", "node"], "left_anti")
-        if degree is not None:
-            rest = rest.select("bucket", "node", "n").join(degree, "node", "left").select(
-                "bucket", "node", "n", F.coalesce("comp", "node").alias("comp"), F.coalesce("degree", F.lit(0)).alias("degree"), F.coalesce("size", F.lit(1)).alias("size"))
-        rest = C.cut(rest, "near-rest")
+        rest = live.join(was, ["bucket", "node"], "left_anti").select("bucket", "node", "n").join(state.select("node", "comp"), "node")
+        rest = C.cut(rest.join(degree, "node", "left").withColumn("degree", F.coalesce("degree", F.lit(0))), "near-rest")
         unsettled = rest.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("bucket")
-        live = C.cut(rest.join(C.detached(unsettled, "bucket"), "bucket"), "near-live")
+        old, live = live, C.cut(rest.join(C.detached(unsettled, "bucket"), "bucket"), "near-live")
+        C.forget(old, hubs, rest)
         if live.isEmpty():
-            break
-        turn += 1
-    return comps if links is not None else members.select("node", F.col("node").alias("comp")).limit(0)
+            return state.select("node", "comp")
+    return part_by_differences(live.select(F.col("bucket").alias("grp"), "node"), state, texts, percent).select("node", "comp")
 
 
 def grouped(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id, tkey, n`` (shingles), ``comp`` (null for an empty set) and ``component_id`` of ``doc_id, tkey, text`` rows."""
     rows = C.cut(sketches(docs), "near-sketches")
     full = rows.filter("n > 0")
-    classes = C.cut(full.groupBy("k1", "k2").agg(
-        F.min("doc_id").alias("least"), F.min_by(F.struct("doc_id", "tkey", "n"), F.struct("doc_id", "tkey")).alias("at")), "near-classes")
-    # doc_ids name the classes while they are unique (tkey is 0 then)
-    node = F.when((F.col("at.tkey") == 0) & F.col("at.doc_id").isNotNull(), F.col("at.doc_id")).otherwise(F.xxhash64("k1", "k2"))
-    named = classes.withColumn("node", node)
+    classes = full.groupBy("k1", "k2").agg(
+        F.min("doc_id").alias("least"), F.min_by(F.struct("doc_id", "tkey", "n"), F.struct("doc_id", "tkey")).alias("at"))
+    named = C.cut(classes.withColumn("node", F.monotonically_increasing_id()), "near-classes")
     first = named.select("node", F.col("at.doc_id").alias("doc_id"), F.col("at.tkey").alias("tkey"), F.col("at.n").alias("n")).alias("c")
     nodes = rows.alias("r").join(first, C.same_row("r", "c")).select("c.node", "c.doc_id", "c.tkey", "c.n", "r.bands").dropDuplicates(["node"])
     comps = linked_classes(nodes, docs, percent)
