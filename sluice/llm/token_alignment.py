@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 from . import common as C
 
 FOLDER, A_FILE, B_FILE = "/opt/tokenizers", "byte_bpe_50k.json", "piece_bpe_32k.model"
-CHUNK = 4 << 20  # bytes of text in a chunk; a longer text is a chunk of its own
+CHUNK = 2 << 20  # bytes of text whose pairs are sent as one; a longer text is a chunk of its own
+BLOCK = 1 << 19  # bytes of text aligned at once
 # fixed value: the splitting rule of byte-level BPE vocabularies
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -46,7 +47,7 @@ def _byte_letters() -> dict[str, int]:
 
 
 @functools.lru_cache(maxsize=2)
-def byte_bpe(path: str) -> tuple[Callable[[list[str]], list[list[int]]], list[bytes]]:
+def byte_bpe(path: str) -> tuple[Callable[[list[str]], list[list[int]]], tuple[bytes, ...]]:
     """Encoder without special tokens, and the bytes of every id, of a byte-level BPE file."""
     from tokenizers import Tokenizer
 
@@ -66,7 +67,7 @@ def byte_bpe(path: str) -> tuple[Callable[[list[str]], list[list[int]]], list[by
 
     merged = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model["merges"]]
     if any(model["vocab"][m] != 256 + k for k, m in enumerate(merged)):
-        return plain, table
+        return plain, tuple(table)
     # ids follow the merge order, so they are ranks: the faster library gives the same ids
     import tiktoken
 
@@ -77,11 +78,11 @@ def byte_bpe(path: str) -> tuple[Callable[[list[str]], list[list[int]]], list[by
         # its expression engine gives up on very long runs, the other library does not
         return [fast.encode_ordinary(t) if len(t) < 1 << 18 else plain([t])[0] for t in texts]
 
-    return encode, table
+    return encode, tuple(table)
 
 
 @functools.lru_cache(maxsize=2)
-def piece_bpe(path: str) -> tuple[Callable[[list[str]], list[list[int]]], list[bytes]]:
+def piece_bpe(path: str) -> tuple[Callable[[list[str]], list[list[int]]], tuple[bytes, ...]]:
     """The same of a sentencepiece model, which puts the space before a text itself."""
     import sentencepiece
 
@@ -90,7 +91,12 @@ def piece_bpe(path: str) -> tuple[Callable[[list[str]], list[list[int]]], list[b
     for i in range(model.get_piece_size()):
         piece = model.id_to_piece(i)
         table.append(bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.replace("▁", " ").encode())
-    return lambda texts: model.encode(texts, num_threads=1), table
+    return lambda texts: model.encode(texts, num_threads=1), tuple(table)
+
+
+@functools.lru_cache(maxsize=4)
+def _lengths(table: tuple[bytes, ...]) -> np.ndarray:
+    return np.array([len(x) for x in table], np.int64)
 
 
 @functools.lru_cache(maxsize=2)
@@ -140,29 +146,22 @@ _CHUNK_DDL = "chunk long, doc_id array<long>, " + ", ".join(f"{k} array<{t}>" fo
 
 
 def align_texts(texts: list[str | None], tok_a, tok_b) -> dict[str, np.ndarray | list]:
-    """Per text: token, group and link counts, hash of the groups, and its distinct pairs (``sizes`` of ``which``, ``links``).
-
-    ``which`` points into ``pairs``, the distinct packed pairs of all the texts; ``holders`` counts the texts with each.
-    """
+    """Per text: token, group and link counts, hash of the groups, and its distinct packed pairs with their links (``sizes`` of them)."""
     (encode_a, bytes_a), (encode_b, bytes_b) = tok_a, tok_b
-    full = [t for t in texts if t]
-    pairs_of = iter(zip(full, encode_a([" " + t for t in full]), encode_b(full)) if full else ())
-    ids_a, ids_b, n = [], [], np.zeros((2, len(texts)), np.int64)
-    for i, t in enumerate(texts):
-        if not t:
-            continue
-        _, a, b = next(pairs_of)
-        raw = b" " + t.encode()
+    full = [i for i, t in enumerate(texts) if t]
+    ids_a, ids_b, n = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], np.zeros((2, len(texts)), np.int64)
+    some_a, some_b = (encode_a([" " + texts[i] for i in full]), encode_b([texts[i] for i in full])) if full else ((), ())
+    for i, a, b in zip(full, some_a, some_b):
+        raw = b" " + texts[i].encode()
         if b"".join(map(bytes_a.__getitem__, a)) == raw and b"".join(map(bytes_b.__getitem__, b)) == raw:
             n[:, i] = len(a), len(b)
-            ids_a += a
-            ids_b += b
+            ids_a.append(np.array(a, np.int64))
+            ids_b.append(np.array(b, np.int64))
+    ids_a, ids_b = np.concatenate(ids_a), np.concatenate(ids_b)
     out = {"n_a": n[0], "n_b": n[1], "sha": [""] * len(texts)}
-    ids_a, ids_b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
     size = max(len(bytes_a), len(bytes_b))
-    length_a, length_b = (np.array([len(x) for x in t], np.int64) for t in (bytes_a, bytes_b))
-    end_a, end_b = np.cumsum(length_a[ids_a]), np.cumsum(length_b[ids_b])
-    label_a, label_b = component_labels(end_a, end_b) if len(ids_a) else (ids_a, ids_b)
+    length_a, length_b = _lengths(bytes_a), _lengths(bytes_b)
+    label_a, label_b = component_labels(np.cumsum(length_a[ids_a]), np.cumsum(length_b[ids_b])) if len(ids_a) else (ids_a, ids_b)
     groups = int(label_a[-1]) + 1 if len(ids_a) else 0
     many_a, many_b = np.bincount(label_a, minlength=groups), np.bincount(label_b, minlength=groups)
     cut_a, cut_b = (np.concatenate(([0], np.cumsum(x))) for x in n)
@@ -171,33 +170,37 @@ def align_texts(texts: list[str | None], tok_a, tok_b) -> dict[str, np.ndarray |
     out["n_groups"], out["n_links"] = np.diff(last), np.diff(links_before[last])
 
     # ids in printing order: A before B inside a group
-    before_b = np.concatenate(([0], np.cumsum(many_b)))
-    through_a = np.cumsum(many_a)
     code = np.empty(len(ids_a) + len(ids_b), np.int64)
-    end_of_a = np.concatenate((label_a[1:] != label_a[:-1], [True])) if len(ids_a) else np.zeros(0, bool)
-    end_of_b = np.concatenate((label_b[1:] != label_b[:-1], [True])) if len(ids_b) else np.zeros(0, bool)
-    code[np.arange(len(ids_a)) + before_b[label_a]] = ids_a * 3 + end_of_a
-    code[np.arange(len(ids_b)) + through_a[label_b]] = ids_b * 3 + 2 * end_of_b
-    names, cut = _id_texts(size), (cut_a + cut_b).tolist()
-    printed = list(map(names.__getitem__, code.tolist()))
+    end_of_a, end_of_b = (np.concatenate((x[1:] != x[:-1], [True])) if len(x) else np.zeros(0, bool) for x in (label_a, label_b))
+    code[np.arange(len(ids_a)) + np.concatenate(([0], np.cumsum(many_b)))[label_a]] = ids_a * 3 + end_of_a
+    code[np.arange(len(ids_b)) + np.cumsum(many_a)[label_b]] = ids_b * 3 + 2 * end_of_b
+    names, cut = _id_texts(size), cut_a + cut_b
     for i in np.flatnonzero(n[0]).tolist():
-        out["sha"][i] = hashlib.sha256("".join(printed[cut[i] : cut[i + 1]])[:-1].encode()).hexdigest()
+        printed = "".join(map(names.__getitem__, code[cut[i] : cut[i + 1]].tolist()))
+        out["sha"][i] = hashlib.sha256(printed[:-1].encode()).hexdigest()
 
     group, pair, links = _linked(label_a, ids_a, label_b, ids_b, groups, size)
     text = np.searchsorted(last, group, "right") - 1
-    out["pairs"], which = np.unique(pair, return_inverse=True)
-    key = text * max(1, len(out["pairs"])) + which
-    order = np.argsort(key, kind="stable")
-    new = np.flatnonzero(np.concatenate(([True], key[order][1:] != key[order][:-1]))) if len(key) else np.zeros(0, np.int64)
-    at = order[new]
+    order = np.lexsort((pair, text))
+    pair, text = pair[order], text[order]
+    new = np.flatnonzero(np.concatenate(([True], (pair[1:] != pair[:-1]) | (text[1:] != text[:-1])))) if len(pair) else order
+    out["pair"], out["sizes"] = pair[new], np.bincount(text[new], minlength=len(texts))
     out["links"] = np.add.reduceat(links[order], new) if len(new) else links
-    out["which"], out["sizes"] = which[at], np.bincount(text[at], minlength=len(texts))
+    return out
+
+
+def _chunk(texts: list[str | None], bounds: np.ndarray, tok_a, tok_b) -> dict[str, np.ndarray | list]:
+    """The texts of a chunk, aligned in blocks; ``which`` points into ``pairs``, the chunk's distinct pairs, and ``holders`` counts the texts with each."""
+    blocks = [align_texts(texts[i:j], tok_a, tok_b) for i, j in C.row_chunks(bounds, BLOCK)]
+    out = {k: np.concatenate([b[k] for b in blocks]) for k in blocks[0] if k != "sha"}
+    out["sha"] = [x for b in blocks for x in b["sha"]]
+    out["pairs"], out["which"] = np.unique(out.pop("pair"), return_inverse=True)
     out["holders"] = np.bincount(out["which"], minlength=len(out["pairs"]))
     return out
 
 
 def encoded(docs: DataFrame, folder: str, a_file: str, b_file: str, chunk_bytes: int) -> DataFrame:
-    """One row per chunk of documents, see :func:`align_texts`."""
+    """One row per chunk of documents, see :func:`_chunk`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok_a, tok_b = byte_bpe(f"{folder}/{a_file}"), piece_bpe(f"{folder}/{b_file}")
@@ -205,7 +208,7 @@ def encoded(docs: DataFrame, folder: str, a_file: str, b_file: str, chunk_bytes:
         for b in batches:
             _, bounds, _ = C.text_bytes(b.column("text"))
             for i, j in C.row_chunks(bounds, chunk_bytes):
-                got = align_texts(b.column("text").slice(i, j - i).to_pylist(), tok_a, tok_b)
+                got = _chunk(b.column("text").slice(i, j - i).to_pylist(), bounds[i : j + 1] - bounds[i], tok_a, tok_b)
                 row = [pa.array([number], pa.int64()), pa.ListArray.from_arrays(pa.array([0, j - i], pa.int32()), b.column("doc_id").slice(i, j - i))]
                 for k, t in _ARRAYS.items():
                     row.append(pa.ListArray.from_arrays(pa.array([0, len(got[k])], pa.int32()), pa.array(got[k], _PA[t])))
