@@ -6,15 +6,15 @@
    from a non-empty one chosen by a hash of (bin, attempt), which keeps collisions unbiased.  ``BANDS`` bands give the
    buckets: a pair at similarity 0.85 misses all of them with probability 3e-7.
 3. *Stars*: a bucket's members are only paired with its hub, so a bucket of m classes gives m - 1 candidates.
-   Candidates are confirmed on the full sets.  ``LED`` rounds follow one another, each led by the member with most links.
-   A bucket is settled, and leaves, when its members that were not hub share a component.
-4. *Differences*: what is left unsettled is split exactly.  With hub h, let a member x lack r of h's shingles and have i others, and
-   let W = 100 r + P i (P: percent).  Then x is linked with h if and only if W <= (100 - P) |h|, and x and y are linked if and only if they
-   share c differences from h with (100 + P) c >= W(x) + W(y) - (100 - P) |h|.  So of two members that are not linked with h, each
-   shares more than W / (100 + P) of its differences with a linked one, and by the prefix filter the two meet in one of their
-   rarest differences.  Members that share such a difference form the next groups, again with one hub each.  The hub has the
-   greatest fixed rank, so ranks fall from round to round and the rounds end.  Texts of one template that are unlike
-   each other have rare differences of their own and part at once; no pair of a bucket is lost.
+   The hub is the member of most and largest buckets.  Candidates are confirmed on the full sets.  A bucket is settled when
+   its members other than the hub share a component.
+4. *Differences*: what is left unsettled is split exactly.  With hub h, let a member x lack r of h's shingles and have i others;
+   W(x) = 100 r + P i (P: percent) and L = (100 - P) |h|.  Then x is linked with h if and only if W(x) <= L, and x and y are linked if and
+   only if they share c differences from h with (100 + P) c >= W(x) + W(y) - L.  Of two members with different components, where W(x)
+   <= W(y), x shares at least (W(x) + max(W(x), L + 1) - L) / (100 + P) and y at least (W(y) - L) / 100 of its differences, so by
+   the prefix filter a rare difference of x is one of y too (``small`` and ``large`` say how many of the rarest are needed).  The members
+   of a group that share such a difference form its next groups, again with one hub each, until none is left.  Texts of one
+   template that are unlike each other have rare differences of their own and part at once; no pair of a bucket is lost.
 5. *Components* by contraction: every component takes its least neighbour as parent until no edge is left.
 
 Buckets, candidates, links and components stay in tables; the driver only learns whether a table is empty.
@@ -36,7 +36,6 @@ from pyspark.sql import functions as F
 from . import common as C
 
 SHINGLE, PERCENT, BANDS, ROWS = 5, 85, 32, 6
-LED = 3  # rounds with one hub a bucket, led by links
 BINS = BANDS * ROWS
 _TRIES = 64
 PROBES = (C.mix(np.arange(1, _TRIES * BINS + 1, dtype=np.uint64) * np.uint64(C.BASES[1])) % np.uint64(BINS)).astype(np.int64).reshape(_TRIES, BINS)
@@ -139,7 +138,7 @@ def _roots(labels: DataFrame) -> DataFrame:
 
 # -- candidates and confirmation --------------------------------------------------
 _LINK = pa.schema([("hub", pa.int64()), ("node", pa.int64())])
-_DIFF = pa.schema([("hub", pa.int64()), ("node", pa.int64()), ("linked", pa.bool_()), ("near", pa.int32()), ("far", pa.int32()), ("elements", pa.list_(pa.int64()))])
+_DIFF = pa.schema([("hub", pa.int64()), ("node", pa.int64()), ("linked", pa.bool_()), ("small", pa.int32()), ("large", pa.int32()), ("elements", pa.list_(pa.int64()))])
 
 
 def _with_texts(pairs: DataFrame, texts: DataFrame, members_per_task: int) -> DataFrame:
@@ -185,11 +184,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int, members_per_task:
 
 
 def differences(pairs: DataFrame, texts: DataFrame, percent: int, members_per_task: int = 250) -> DataFrame:
-    """``hub, node, linked, near, far`` and, where ``wide``, the ``elements`` of one set only.
-
-    Of the elements, by rising frequency, the first ``near`` hold one that a linked member shares if neither is linked with the
-    hub, and the first ``far`` one if the other is.
-    """
+    """``hub, node, linked, small, large`` and, where ``wide``, the ``elements`` of one set only (see step 4)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
@@ -197,16 +192,18 @@ def differences(pairs: DataFrame, texts: DataFrame, percent: int, members_per_ta
             apart = np.setxor1d(s, hub_set, assume_unique=True)
             extra = (len(apart) + len(s) - len(hub_set)) // 2
             weight, limit = 100 * (len(apart) - extra) + percent * extra, (100 - percent) * len(hub_set)
-            near = len(apart) - weight // (100 + percent)
-            far = near if weight <= limit else len(apart) + 1 - -(-(weight - limit) // (100 + percent))
-            rows.append((hub, node, weight <= limit, near, far, C.signed(apart) if wide else ()))
+            shared = -(-(weight + max(weight, limit + 1) - limit) // (100 + percent))  # with a member of no less weight
+            small = large = len(apart) + 1 - shared
+            if weight > limit:
+                large = len(apart) + 1 - -(-(weight - limit) // 100)  # with a member of no more weight
+            rows.append((hub, node, weight <= limit, small, large, C.signed(apart) if wide else ()))
             if last:
                 yield C.batch(_DIFF, *(list(c) for c in zip(*rows)))
                 rows = []
         if rows:
             yield C.batch(_DIFF, *(list(c) for c in zip(*rows)))
 
-    return _with_texts(pairs, texts, members_per_task).mapInArrow(run, "hub long, node long, linked boolean, near int, far int, elements array<long>")
+    return _with_texts(pairs, texts, members_per_task).mapInArrow(run, "hub long, node long, linked boolean, small int, large int, elements array<long>")
 
 
 def joined_up(state: DataFrame, links: DataFrame) -> DataFrame:
@@ -224,29 +221,33 @@ def joined_up(state: DataFrame, links: DataFrame) -> DataFrame:
 
 def part_by_differences(groups: DataFrame, state: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """``state`` after every linked pair of a group (``grp, node``) is in one component; see step 4 above."""
+    groups, first = groups.withColumn("leads", F.lit(True)), True  # only pairs with a member that leads are in question
     while True:
         ranked = groups.join(state, "node")
-        hubs = ranked.groupBy("grp").agg(F.max_by("node", F.struct("rank", "node")).alias("hub"))
-        starred = ranked.join(C.detached(hubs, "grp"), "grp").filter("node <> hub")
-        pairs = C.cut(starred.groupBy("hub", "node").agg(F.min("comp").alias("comp")), "near-pairs")
+        hubs = ranked.groupBy("grp").agg(F.max_by("node", F.struct("leads", "rank", "node")).alias("hub"))
+        starred = ranked.join(C.detached(hubs, "grp"), "grp").filter("node <> hub").select(
+            (F.col("hub") if first else F.col("grp")).alias("grp"), "hub", "node", "comp")  # buckets of one hub are one group
+        starred = C.cut(starred.distinct(), "near-starred")
+        pairs = starred.groupBy("hub", "node").agg(F.min("comp").alias("comp"))
         several = pairs.groupBy("hub").agg((F.min("comp") < F.max("comp")).alias("wide"))
         found = C.cut(differences(pairs.join(C.detached(several, "hub"), "hub").select("hub", "node", "wide"), texts, percent), "near-differences")
         state = joined_up(state, found.filter("linked").select("hub", "node"))
         now = found.filter(F.size("elements") > 0).join(state.select("node", "comp"), "node")
         mixed = now.groupBy("hub").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("hub")
         now = now.join(C.detached(mixed, "hub"), "hub")
-        each = C.cut(now.select("hub", "node", "comp", "linked", "near", "far", F.size("elements").alias("size"), F.explode("elements").alias("e")), "near-elements")
-        often = each.groupBy("hub", "e").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+        each = C.cut(now.select("hub", "node", "comp", "small", "large", F.size("elements").alias("size"), F.explode("elements").alias("e")), "near-elements")
+        often = each.groupBy("hub", "e").agg(F.count(F.lit(1)).alias("c"), (F.min("comp") < F.max("comp")).alias("mixed")).filter("c > 1")
         own = Window.partitionBy("hub", "node")
         placed = each.join(C.detached(often, "e"), ["hub", "e"]).withColumn("shared", F.count(F.lit(1)).over(own)).withColumn(
             "place", F.col("size") - F.col("shared") + F.row_number().over(own.orderBy("c", "e")))  # elements of one member only come first
-        kept = C.cut(placed.filter("place <= far").select(F.xxhash64("hub", "e").alias("grp"), "node", "comp", "linked", (F.col("place") > F.col("near")).alias("late")), "near-split")
-        live = kept.groupBy("grp").agg(
-            F.min("comp").alias("low"), F.max("comp").alias("high"), F.max("linked").alias("any_linked"), F.count_if(~F.col("late")).alias("early"))
-        live = live.filter("low < high AND (any_linked OR early > 1)").select("grp", "any_linked")
+        kept = C.cut(placed.filter("mixed AND place <= large").select("hub", "node", "e", "comp", (F.col("place") <= F.col("small")).alias("leads")), "near-kept")
+        split = starred.select("grp", "hub", "node").join(kept, ["hub", "node"]).select(F.xxhash64("grp", "e").alias("grp"), "node", "comp", "leads")
+        split = C.cut(split, "near-split")
+        live = split.groupBy("grp").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.max("leads").alias("led")).filter("led AND low < high").select("grp")
         old = groups
-        groups = C.cut(kept.join(C.detached(live, "grp"), "grp").filter("any_linked OR NOT late").select("grp", "node").distinct(), "near-groups")
-        C.forget(old, pairs, found, each, kept)
+        groups = C.cut(split.join(C.detached(live, "grp"), "grp").select("grp", "node", "leads"), "near-groups")
+        C.forget(old, starred, found, each, kept, split)
+        first = False
         if groups.isEmpty():
             return state
 
@@ -261,31 +262,20 @@ def linked_classes(nodes: DataFrame, docs: DataFrame, percent: int) -> DataFrame
     involved = nodes.select("node", "doc_id", "tkey").join(state.select("node"), "node").alias("i")
     # rows that agree in key and text have the same set, so one of them is enough
     texts = C.cut(docs.alias("d").join(involved, C.same_row("d", "i")).select("i.node", "d.text").dropDuplicates(["node"]), "near-texts")
-    live = members.select("bucket", "node", "n", F.col("node").alias("comp"), F.lit(0).cast("long").alias("degree"))
-    links = tested = None
-    for turn in range(LED):
-        hubs = live.groupBy("bucket").agg(F.max_by(F.struct("node", "comp", "n"), F.struct("degree", -F.col("node"))).alias("h"))
-        hubs = C.cut(hubs.select("bucket", "h"), "near-hubs")
-        star = live.join(C.detached(hubs, "bucket"), "bucket").filter("comp <> h.comp AND 100 * least(n, h.n) >= %d * greatest(n, h.n)" % percent)
-        pairs = star.groupBy(F.least("h.node", "node").alias("a"), F.greatest("h.node", "node").alias("b")).agg(F.min("h.node").alias("hub"))
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = C.cut(pairs.select("a", "b", "hub", F.when(F.col("hub") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("node")), "near-pairs")
-        new = C.cut(confirm(pairs.select("hub", "node"), texts, percent), "near-links")
-        tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
-        links = new if links is None else links.unionByName(new)
-        state = joined_up(state, new)
-        degree = links.select(F.explode(F.array("hub", "node")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
-        # a hub's pairs in its bucket are settled; so is a bucket whose other members share a component
-        was = hubs.select("bucket", F.col("h.node").alias("node"))
-        rest = live.join(was, ["bucket", "node"], "left_anti").select("bucket", "node", "n").join(state.select("node", "comp"), "node")
-        rest = C.cut(rest.join(degree, "node", "left").withColumn("degree", F.coalesce("degree", F.lit(0))), "near-rest")
-        unsettled = rest.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("bucket")
-        old, live = live, C.cut(rest.join(C.detached(unsettled, "bucket"), "bucket"), "near-live")
-        C.forget(old, hubs, rest)
-        if live.isEmpty():
-            return state.select("node", "comp")
-    return part_by_differences(live.select(F.col("bucket").alias("grp"), "node"), state, texts, percent).select("node", "comp")
+    ranked = members.select("bucket", "node", "n").join(state.select("node", "rank"), "node")
+    hubs = C.cut(ranked.groupBy("bucket").agg(F.max_by(F.struct("node", "n"), F.struct("rank", "node")).alias("h")), "near-hubs")
+    star = members.join(C.detached(hubs, "bucket"), "bucket").filter("node <> h.node AND 100 * least(n, h.n) >= %d * greatest(n, h.n)" % percent)
+    pairs = C.cut(star.select(F.col("h.node").alias("hub"), "node").distinct(), "near-pairs")
+    state = joined_up(state, confirm(pairs, texts, percent))
+    # a hub's pairs in its bucket are settled; so is a bucket whose other members share a component
+    rest = members.join(hubs.select("bucket", F.col("h.node").alias("node")), ["bucket", "node"], "left_anti")
+    rest = C.cut(rest.select("bucket", "node").join(state.select("node", "comp"), "node"), "near-rest")
+    unsettled = rest.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("bucket")
+    left = C.cut(rest.join(C.detached(unsettled, "bucket"), "bucket").select(F.col("bucket").alias("grp"), "node"), "near-left")
+    C.forget(members, hubs, pairs, rest)
+    if not left.isEmpty():
+        state = part_by_differences(left, state, texts, percent)
+    return state.select("node", "comp")
 
 
 def grouped(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
