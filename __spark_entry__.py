@@ -398,7 +398,21 @@ def q_stream_silver_restart(spark, sf):
     bronze.withColumn("slice", F.pmod(F.xxhash64("ACCOUNT_ID", "UPDATED_AT"), F.lit(3))).write.mode("append").partitionBy("slice").parquet(src)
     for name, files in (("first", 1), ("second", 2)):
         stream = spark.readStream.schema(bronze.schema).option("maxFilesPerTrigger", files).parquet(f"{src}/slice=*")
-        _run(silver_stream(spark, t, stream, layout, query_name=name))
+        _run(silver_stream(spark, t, stream, layout, query_name=name, writer="email"))
+    return _no_stamp(layout.read(spark, "silver", EMAIL))
+
+
+def q_stream_silver_two_writers(spark, sf):
+    """Two streams feed one silver table, each with half of the rows; one starts again from a new checkpoint, in other batches."""
+    from sluice.streaming.fanout import silver_stream
+
+    _prepare(spark)
+    t, layout, src = _tables()[EMAIL], Layout(new_scratch_dir(spark, "two-writers")), new_scratch_dir(spark, "two-writers-src")
+    bronze = fixtures.bronze(spark, sf, EMAIL)
+    bronze.withColumn("slice", F.pmod(F.xxhash64("ACCOUNT_ID", "UPDATED_AT"), F.lit(4))).write.mode("append").partitionBy("slice").parquet(src)
+    for writer, name, slices, files in (("east", "east", "[01]", 1), ("west", "west", "[23]", 2), ("east", "east_again", "[01]", 2)):
+        stream = spark.readStream.schema(bronze.schema).option("maxFilesPerTrigger", files).parquet(f"{src}/slice={slices}")
+        _run(silver_stream(spark, t, stream, layout, query_name=name, writer=writer))
     return _no_stamp(layout.read(spark, "silver", EMAIL))
 
 
@@ -493,6 +507,23 @@ def q_stream_gold_quarantine(spark, sf):
     return _report(layout.read(spark, "quarantine", f"{spec.target}_gold_quarantine"))
 
 
+def q_stream_gold_quarantine_restart(spark, sf):
+    """The gate's quarantine after a second run from a new checkpoint that reads everything again in other batches."""
+    import copy
+
+    from sluice.streaming.cdc import cdc_stream
+
+    _prepare(spark)
+    spec, t, layout, src = copy.deepcopy(_gold_specs()[CURRENT]), _tables()[EMAIL], Layout(new_scratch_dir(spark, "gate-restart")), new_scratch_dir(spark, "gate-src")
+    spec.cfg["quality_gate"] = True
+    bronze = fixtures.bronze(spark, sf, EMAIL)
+    bronze.withColumn("slice", F.pmod(F.xxhash64("ACCOUNT_ID", "UPDATED_AT"), F.lit(3))).write.mode("append").partitionBy("slice").parquet(src)
+    for name, files in (("first", 1), ("second", 3)):
+        source = stage(spark, t, spark.readStream.schema(bronze.schema).option("maxFilesPerTrigger", files).parquet(f"{src}/slice=*"))
+        _run(cdc_stream(spark, spec, {EMAIL: source}, layout, buckets=8, rules=t.rules, query_name=name))
+    return _report(layout.read(spark, "quarantine", f"{spec.target}_gold_quarantine"))
+
+
 # -- registry ----------------------------------------------------------------------
 def _llm() -> tuple[dict, dict]:
     """Queries and SQL of the training-data operators; none where that subpackage isn't there."""
@@ -567,12 +598,14 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_scd2": q_stream_scd2,
         "stream_scd1_ooo": q_stream_scd1_ooo,
         "stream_silver_restart": q_stream_silver_restart,
+        "stream_silver_two_writers": q_stream_silver_two_writers,
         "stream_scd1_restart": q_stream_scd1_restart,
         "stream_scd2_merge": q_stream_scd2_merge,
         "stream_scd1_mor": q_stream_scd1_mor,
         "stream_scd1_enriched": q_stream_scd1_enriched,
         "stream_scd2_mor": q_stream_scd2_mor,
         "stream_gold_quarantine": q_stream_gold_quarantine,
+        "stream_gold_quarantine_restart": q_stream_gold_quarantine_restart,
     }
 
 
@@ -652,12 +685,14 @@ def core_oracle_sql() -> dict[str, str]:
         "stream_scd2": scd2_all,
         "stream_scd1_ooo": O.SCD1,
         "stream_silver_restart": silver_email_q,
+        "stream_silver_two_writers": silver_email_q,
         "stream_scd1_restart": O.SCD1,
         "stream_scd2_merge": scd2_all,
         "stream_scd1_mor": O.SCD1,
         "stream_scd1_enriched": O.SCD1_ENRICHED,
         "stream_scd2_mor": scd2_all,
         "stream_gold_quarantine": email_quarantine,
+        "stream_gold_quarantine_restart": email_quarantine,
     }
 
 

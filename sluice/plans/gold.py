@@ -55,7 +55,7 @@ class GoldSpec:
 KNOWN_KEYS = {
     "operation_type", "target_table", "cdc_target_table", "sql_file", "source_table", "source_tables", "sql_parameters",
     "contract_file", "keys", "sequence_by", "except_columns", "track_history_columns", "track_history_except_columns",
-    "quarantine_warnings", "cdc_mode", "cdc_compact_every", "cdc_buckets", "watermarks", "builder", "description", "comment",
+    "quarantine_warnings", "cdc_mode", "cdc_compact_every", "cdc_keep_versions", "cdc_keep_seconds", "cdc_buckets", "watermarks", "builder", "description", "comment",
 }
 
 

@@ -20,6 +20,7 @@ from ..functions.binding import bind_sql, exclude_list, read_sql
 from ..functions.contract import Contract, Rule, load_contract
 from ..functions.rules import schema_rule
 from ..operators.quality import Checked, check
+from ..sources.commits import BATCH, RUN, Commit
 from ..sources.tables import Layout
 
 RESOURCES = os.path.join(os.path.dirname(os.path.dirname(__file__)), "resources")
@@ -129,6 +130,7 @@ def write_silver(
     table: SilverTable,
     batch_id: int | None = None,
     run_id: str | None = None,
+    run: str | None = None,
 ) -> None:
     """Write valid rows, quarantine and metrics of one check run.
 
@@ -136,7 +138,8 @@ def write_silver(
     Micro-batch: the batch is persisted so the rules run once per row, and
     every output goes to its own ``_batch_id`` partition, overwritten on
     replay, so a replayed micro-batch replaces its earlier attempt instead of
-    duplicating it.
+    duplicating it.  With ``run`` (see ``CommitLog.run``) the partitions are
+    those of that run, so several writers can feed the table.
     """
     out_loc, q_loc = locations(layout, table)
     run_id = run_id or str(uuid.uuid4())
@@ -153,7 +156,9 @@ def write_silver(
             (c.metrics(out_loc, q_loc, run_id), "metrics", f"{table.target_table}_metrics"),
         ]
         for df, layer, name in outputs:
-            layout.write(df.withColumn("_batch_id", F.lit(int(batch_id))), layer, name,
-                         mode="overwrite", partition_by="_batch_id")
+            if run is None:
+                layout.write(df.withColumn(BATCH, F.lit(int(batch_id))), layer, name, mode="overwrite", partition_by=BATCH)
+            else:
+                layout.write(Commit(run, batch_id).stamp(df), layer, name, mode="overwrite", partition_by=[RUN, BATCH])
     finally:
         c.unpersist()

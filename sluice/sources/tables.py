@@ -12,6 +12,7 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 LAYERS = ("bronze", "silver", "quarantine", "gold", "metrics")
 
@@ -41,6 +42,14 @@ class Layout:
         return f"{name}_{zlib.crc32(self.root.encode()):08x}"
 
     def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
+        """The table's rows; of a table that streams write, those committed by each writer's newest run."""
+        from .commits import CommitLog
+
+        log = CommitLog.of_table(spark, self, layer, table)
+        df = self._stored(spark, layer, table)
+        return log.visible(df) if log else df
+
+    def _stored(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
         return spark.read.parquet(self.path(layer, table))
 
     def exists(self, spark: SparkSession, layer: str, table: str) -> bool:
@@ -58,11 +67,32 @@ class Layout:
         """Remove all rows of a table."""
         delete_path(spark, self.path(layer, table))
 
+    def drop_partition(self, spark: SparkSession, layer: str, table: str, column: str, value: str) -> None:
+        delete_path(spark, f"{self.path(layer, table)}/{column}={value}")
+
+    def rows_outside(self, spark: SparkSession, layer: str, table: str, column: str) -> bool:
+        """Whether the table has files that aren't partitioned by ``column``."""
+        p, fs = _fs(spark, self.path(layer, table))
+        names = [s.getPath().getName() for s in fs.listStatus(p)]
+        return any(not n.startswith((f"{column}=", "_SUCCESS", ".", "_temporary")) for n in names)
+
     def list_tables(self, spark: SparkSession, layer: str) -> list[str]:
         return list_dirs(spark, f"{self.root.rstrip('/')}/{layer}")
 
     def stream(self, spark: SparkSession, layer: str, table: str, options: dict | None = None) -> DataFrame:
-        """The table as a file stream; options such as ``maxBytesPerTrigger`` bound each micro-batch."""
+        """The table as a file stream; options such as ``maxBytesPerTrigger`` bound each micro-batch.
+
+        Of a table that streams write, runs that are superseded when the stream starts are left out.
+        """
+        from .commits import RUN, CommitLog
+
+        df = self._stream(spark, layer, table, options)
+        log = CommitLog.of_table(spark, self, layer, table)
+        if not log or RUN not in df.columns:
+            return df
+        return df.where(~F.col(RUN).isin(log.superseded())).drop(RUN)
+
+    def _stream(self, spark: SparkSession, layer: str, table: str, options: dict | None = None) -> DataFrame:
         path = self.path(layer, table)
         reader = spark.readStream.schema(spark.read.parquet(path).schema)
         for k, v in (options or {}).items():
@@ -91,7 +121,7 @@ class CatalogLayout(Layout):
             names[layer] = f"{catalog}.{schema}" if catalog else schema
         return cls(root, names)
 
-    def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
+    def _stored(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
         return spark.read.table(self.name(layer, table))
 
     def exists(self, spark: SparkSession, layer: str, table: str) -> bool:
@@ -115,11 +145,24 @@ class CatalogLayout(Layout):
         if spark.catalog.tableExists(name):
             spark.sql(f"TRUNCATE TABLE {name}")
 
+    def drop_partition(self, spark: SparkSession, layer: str, table: str, column: str, value: str) -> None:
+        name = self.name(layer, table)
+        if spark.catalog.tableExists(name):
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({column} = '{value}')")
+            # a catalog that doesn't track partitions leaves the files
+            place = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()
+            delete_path(spark, f"{place.data_type}/{column}={value}")
+            spark.catalog.refreshTable(name)
+
+    def rows_outside(self, spark: SparkSession, layer: str, table: str, column: str) -> bool:
+        df = spark.read.table(self.name(layer, table))
+        return column not in df.columns and not df.isEmpty()
+
     def list_tables(self, spark: SparkSession, layer: str) -> list[str]:
         db = self.names.get(layer, layer)
         return sorted(t.name for t in spark.catalog.listTables(db) if not t.isTemporary)
 
-    def stream(self, spark: SparkSession, layer: str, table: str, options: dict | None = None) -> DataFrame:
+    def _stream(self, spark: SparkSession, layer: str, table: str, options: dict | None = None) -> DataFrame:
         reader = spark.readStream
         for k, v in (options or {}).items():
             reader = reader.option(k, v)
@@ -164,6 +207,36 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create a small file under its final name by one rename; it must not exist yet."""
+    target, fs = _fs(spark, path)
+    if fs.exists(target):
+        raise FileExistsError(path)
+    draft, _ = _fs(spark, f"{path}.{uuid.uuid4().hex[:8]}.draft")
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(draft, target):
+        raise OSError(f"cannot rename {draft} to {target}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    p, fs = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def file_times(spark: SparkSession, path: str) -> dict[str, float]:
+    """Modification time (seconds) of everything in a folder, by name."""
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return {}
+    return {s.getPath().getName(): s.getModificationTime() / 1000 for s in fs.listStatus(p)}
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     p, fs = _fs(spark, path)
     fs.delete(p, True)

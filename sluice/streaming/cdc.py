@@ -1,33 +1,27 @@
 """Streaming CDC: apply SCD type 1 / type 2 incrementally, state in bucketed parquet.
 
-There is no MERGE on plain parquet, so the state is a directory partitioned by
-``_bucket = pmod(xxhash64(keys), B)``; a key lives in exactly one bucket.  Per
-micro-batch:
+There is no MERGE on plain parquet, so the state is cut into buckets, ``_bucket = pmod(xxhash64(keys), B)``; a key lives
+in exactly one bucket.  Per micro-batch:
 
 1. optional gold gate: quarantine and metrics of the batch, continue with valid rows;
 2. reduce the batch on its own (type 1: winners per key; type 2: rows per (key, seq));
-3. read only the touched buckets of the state (partition pruning), union, reduce again;
-4. write the new content of the touched buckets to ``<state>__staging/batch=<id>``
-   (a complete, independent copy), then overwrite those buckets of the state from
-   it with dynamic partition overwrite.
-
-The first batch of a new state (the initial load, usually the largest) is
-written in place: there is nothing old to lose, and a replay recomputes
-``f(partial ∪ batch) = f(batch)``.
-
-Both reductions obey ``f(f(A) ∪ B) = f(A ∪ B)``: the result does not depend on
-arrival order or batch boundaries, so late and out-of-order rows are handled by
-``sequence_by`` alone.  If a run dies while step 4 commits, the replayed batch
-finds its finished staging copy and only repeats the overwrite.  Type 2 keeps
-the de-duplicated change log (so a late row can split an old version) next to
-the history of the touched buckets; the consumer views read ``current`` or
-``history`` directly.
-
-The driver only ever receives the ids of touched buckets (at most B integers).
+3. read only the touched buckets of the state, union, reduce again;
+4. write the new content of the touched buckets into folders of their own, once, and publish a manifest that
+   names them (``sources.versions``): one rename makes the version visible, log and history together.
+
+Both reductions obey ``f(f(A) ∪ B) = f(A ∪ B)``: the result does not depend on arrival order or batch boundaries, so
+late and out-of-order rows are handled by ``sequence_by`` alone.  A run that dies before step 4's rename has changed
+nothing; its replay starts over.  A batch that is already in the manifest is skipped.  Type 2 keeps the de-duplicated
+change log (so a late row can split an old version) next to the history of the touched buckets; the consumer views
+resolve the manifest and read ``current`` or ``history``.
+
+The driver only ever receives the ids of touched buckets (at most B integers) and the manifest.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,29 +29,22 @@ from pyspark.sql import functions as F
 from ..operators.quality import check
 from ..operators.scd import _prepare, dedup_key_seq, scd1, scd2
 from ..plans.gold import GoldSpec, gold_rules, gold_source
-from ..sources.tables import Layout, delete_path, list_dirs, marker_names, path_exists, run_token, touch
+from ..sources.commits import BATCH, RUN, Commit, CommitLog
+from ..sources.versions import BUCKET, VersionedState, has_versions
+from ..sources.tables import Layout, delete_path, file_times, list_dirs, marker_names, path_exists, run_token, touch
 
-BUCKET = "_bucket"
 # Fixed at state creation.  Pick it so one bucket holds ~128 MB - 1 GB of state:
 # a micro-batch rewrites only the buckets its keys fall into.
 DEFAULT_BUCKETS = 256
+# Older versions kept for readers, and how long (registry keys cdc_keep_versions, cdc_keep_seconds): one is
+# deleted when newer ones are enough and it is old enough for any reader of it to have ended.
+KEEP_VERSIONS, KEEP_SECONDS = 8, 24 * 3600.0
 
 
 def bucket_of(keys, buckets: int):
     return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(buckets)).cast("int")
 
 
-def _swap_in(spark: SparkSession, staging: str, target: str) -> None:
-    """Overwrite the buckets present in the (complete) staging copy inside ``target``."""
-    (
-        spark.read.parquet(staging)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET)
-        .parquet(target)
-    )
-
-
 def check_bucket_count(spark: SparkSession, state_root: str, buckets: int) -> None:
     """The bucket count is fixed when the state is created (a key must stay in one bucket)."""
     found = marker_names(spark, state_root, "_BUCKETS_")
@@ -71,110 +58,59 @@ def _touched(spark: SparkSession, df: DataFrame) -> list[int]:
     return [r[0] for r in df.select(BUCKET).distinct().collect()]
 
 
-def _state(spark: SparkSession, path: str, touched: list[int]) -> DataFrame | None:
-    if not path_exists(spark, path):
-        return None
-    return spark.read.parquet(path).where(F.col(BUCKET).isin(touched))
-
-
-def _rebalanced(df: DataFrame) -> DataFrame:
-    """Files sized by AQE per bucket: without it every task writes a file into every bucket it holds
-    (tasks x buckets small files); a bucket larger than the advisory size is still split over tasks."""
-    return df.hint("rebalance", BUCKET)
-
-
-def _write_buckets(df: DataFrame, target: str) -> None:
-    (_rebalanced(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET).parquet(target))
-
-
-def _stage(spark: SparkSession, df: DataFrame, staging: str) -> None:
-    """Write a complete staging copy; its own marker says so, whatever the session's overwrite mode writes."""
-    (_rebalanced(df).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(staging))
-    touch(spark, f"{staging}/_COMPLETE")
-
-
-def _staged(spark: SparkSession, staging: str) -> bool:
-    return path_exists(spark, f"{staging}/_COMPLETE")
-
+def _dedup_log(df: DataFrame, keys, sequence_by: str) -> DataFrame:
+    """One row per (key, sequence): the greatest remaining columns win (as in ``scd2``)."""
+    return dedup_key_seq(df.drop(BUCKET), keys, sequence_by)
 
-def _drop_older_staging(spark: SparkSession, root: str, batch_id) -> None:
-    """Staging copies of other batches are no longer needed once a batch begins: their swap is complete."""
-    for name in list_dirs(spark, root, prefix="batch="):
-        if name != f"batch={batch_id}":
-            delete_path(spark, f"{root}/{name}")
 
+def _merge(spark, reduced: DataFrame, state_root: str, part: str, keys, buckets: int, batch_id, again, follow=None) -> None:
+    """Fold the reduced rows of a batch into the buckets of ``part`` they fall into, and publish.
 
-def merge_scd1(spark, batch_df, state_root, keys, sequence_by, except_columns=(), buckets=DEFAULT_BUCKETS, batch_id=0):
+    ``again`` reduces old and new rows together; ``follow`` gives the rows of a second part from those of the first.
+    """
+    state = VersionedState(spark, state_root)
+    base = state.manifest()
+    batch = None if batch_id is None else str(batch_id)
+    if batch and base.batch == batch:
+        return  # a replay: this version is already published
+    placed = lambda df: df.withColumn(BUCKET, bucket_of(keys, buckets))
+    rows = placed(reduced).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        touched = _touched(spark, rows)
+        if not touched:
+            return
+        old = state.rows(part, touched, base.version)
+        fresh = rows if old is None else placed(again(old.unionByName(rows.drop(BUCKET))))
+        folders = {part: state.write(fresh, part)}
+    finally:
+        rows.unpersist()
+    if follow:
+        name, made = follow
+        folders[name] = state.write(placed(made(state.written(part, folders[part]).drop(BUCKET))), name)
+    state.publish(base, batch, folders, sorted(touched), buckets)
+
+
+def merge_scd1(spark, batch_df, state_root, keys, sequence_by, except_columns=(), buckets=DEFAULT_BUCKETS, batch_id=None):
     keys = [keys] if isinstance(keys, str) else list(keys)
     check_bucket_count(spark, state_root, buckets)
-    staging = f"{state_root}__staging/current/batch={batch_id}"
-    target = f"{state_root}/current"
-    _drop_older_staging(spark, f"{state_root}__staging/current", batch_id)
-    if not _staged(spark, staging):
-        winners = scd1(batch_df, keys, sequence_by, except_columns).withColumn(BUCKET, bucket_of(keys, buckets))
-        winners = winners.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            touched = _touched(spark, winners)
-            if not touched:
-                return
-            old = _state(spark, target, touched)
-            if old is None:
-                # initial load: nothing old can be lost, a replay recomputes f(partial ∪ batch) = f(batch)
-                _write_buckets(winners, target)
-                return
-            both = old.drop(BUCKET).unionByName(winners.drop(BUCKET))
-            fresh = scd1(both, keys, sequence_by).withColumn(BUCKET, bucket_of(keys, buckets))
-            _stage(spark, fresh, staging)
-        finally:
-            winners.unpersist()
-    _swap_in(spark, staging, target)
-
-
-def _dedup_log(df: DataFrame, keys, sequence_by: str) -> DataFrame:
-    """One row per (key, sequence): the greatest remaining columns win (as in ``scd2``)."""
-    return dedup_key_seq(df.drop(BUCKET), keys, sequence_by)
+    _merge(spark, scd1(batch_df, keys, sequence_by, except_columns), state_root, "current", keys, buckets, batch_id,
+           lambda both: scd1(both, keys, sequence_by))
 
 
 def merge_scd2(spark, batch_df, state_root, keys, sequence_by, except_columns=(), track_history_columns=None,
-               track_history_except_columns=None, buckets=DEFAULT_BUCKETS, batch_id=0):
+               track_history_except_columns=None, buckets=DEFAULT_BUCKETS, batch_id=None):
     keys = [keys] if isinstance(keys, str) else list(keys)
     check_bucket_count(spark, state_root, buckets)
-    log_target, hist_target = f"{state_root}/log", f"{state_root}/history"
-    log_staging = f"{state_root}__staging/log/batch={batch_id}"
-    hist_staging = f"{state_root}__staging/history/batch={batch_id}"
-
-    def history(log: DataFrame) -> DataFrame:
-        hist = scd2(log.drop(BUCKET), keys, sequence_by,
-                    track_history_columns=track_history_columns,
-                    track_history_except_columns=track_history_except_columns)
-        return hist.withColumn(BUCKET, bucket_of(keys, buckets))
-
-    for part in ("log", "history"):
-        _drop_older_staging(spark, f"{state_root}__staging/{part}", batch_id)
-    if not _staged(spark, hist_staging):
-        if not _staged(spark, log_staging):
-            d, _ = _prepare(batch_df, keys, sequence_by, except_columns)
-            rows = _dedup_log(d, keys, sequence_by).withColumn(BUCKET, bucket_of(keys, buckets))
-            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                touched = _touched(spark, rows)
-                if not touched:
-                    return
-                old = _state(spark, log_target, touched)
-                if old is None:
-                    # initial load: nothing old can be lost; write log and history in place
-                    _write_buckets(rows, log_target)
-                    _write_buckets(history(spark.read.parquet(log_target)), hist_target)
-                    return
-                fresh = _dedup_log(old.unionByName(rows), keys, sequence_by).withColumn(
-                    BUCKET, bucket_of(keys, buckets))
-                _stage(spark, fresh, log_staging)
-            finally:
-                rows.unpersist()
-        _stage(spark, history(spark.read.parquet(log_staging)), hist_staging)
-    _swap_in(spark, log_staging, log_target)
-    _swap_in(spark, hist_staging, hist_target)
+    d, _ = _prepare(batch_df, keys, sequence_by, except_columns)
+    _merge(spark, _dedup_log(d, keys, sequence_by), state_root, "log", keys, buckets, batch_id,
+           lambda both: _dedup_log(both, keys, sequence_by),
+           ("history", lambda log: scd2(log, keys, sequence_by, track_history_columns=track_history_columns,
+                                        track_history_except_columns=track_history_except_columns)))
+
+
+def state_rows(spark: SparkSession, state_root: str, part: str) -> DataFrame | None:
+    """Rows of a part of a merge-on-write state (``current``; ``log``, ``history``) in its newest version."""
+    return VersionedState(spark, state_root).rows(part)
 
 
 # -- merge-on-read: per batch only the batch's own rows; compaction every N batches ----------
@@ -248,12 +184,14 @@ def run_offset(spark: SparkSession, state_root: str, token: str) -> int:
     return offset
 
 
-def prune(spark: SparkSession, state_root: str, keep: int = 1) -> list[str]:
-    """Delete what the newest complete base makes obsolete, keeping ``keep`` older base versions.
+def prune(spark: SparkSession, state_root: str, keep: int = 1, min_age_s: float = 0) -> list[str]:
+    """Delete what the newest version makes obsolete, keeping ``keep`` older ones; either mode.
 
-    Readers that started before the last compaction still find their base and
+    What is younger than ``min_age_s`` seconds stays (see ``VersionedState.prune``).  Readers that started before the last compaction still find their base and
     deltas (they belong to a kept version).  Returns the deleted paths.
     """
+    if has_versions(spark, state_root):
+        return VersionedState(spark, state_root).prune(keep, min_age_s)
     versions = sorted(int(n[2:]) for n in list_dirs(spark, f"{state_root}/base")
                       if n.startswith("v=") and path_exists(spark, f"{state_root}/base/{n}/_SUCCESS"))
     if len(versions) <= keep:
@@ -262,6 +200,9 @@ def prune(spark: SparkSession, state_root: str, keep: int = 1) -> list[str]:
     doomed = [f"{state_root}/base/v={v}" for v in versions[: -1 - keep]]
     doomed += [f"{state_root}/deltas/{n}" for n in list_dirs(spark, f"{state_root}/deltas", prefix=f"{DELTA_BATCH}=")
                if int(n.split("=")[1]) <= floor]
+    if min_age_s:
+        ages = file_times(spark, f"{state_root}/base") | file_times(spark, f"{state_root}/deltas")
+        doomed = [p for p in doomed if time.time() - ages.get(p.rsplit("/", 1)[1], time.time()) >= min_age_s]
     for path in doomed:
         delete_path(spark, path)
     return doomed
@@ -286,6 +227,8 @@ def cdc_stream(
     query_name: str | None = None,
     mode: str | None = None,
     compact_every: int | None = None,
+    writer: str | None = None,
+    reset: bool = False,
 ):
     """Start the CDC stream of a ``delta_type1`` / ``delta_type2`` registry entry.
 
@@ -297,6 +240,10 @@ def cdc_stream(
     Of the sources, any may be static frames (joined as Spark joins a stream
     with a table).  Several streams need a watermark each: registry key
     ``watermarks``, table -> ``{column, delay}``.
+
+    The gate's quarantine and metrics belong to ``writer`` (by default the
+    target, whatever the query's name): what a new checkpoint checks again replaces
+    what its earlier runs have written, see ``silver_stream``.
     """
     mode = mode or spec.cfg.get("cdc_mode", "merge_on_write")
     compact_every = int(compact_every or spec.cfg.get("cdc_compact_every", 10))
@@ -327,21 +274,28 @@ def cdc_stream(
     gate_rules = (rules if rules is not None else gold_rules(spec)) if spec.apply_gate else None
     excluded = spec.cfg.get("except_columns") or []
     buckets = int(buckets or spec.cfg.get("cdc_buckets") or DEFAULT_BUCKETS)
+    keep, keep_s = int(spec.cfg.get("cdc_keep_versions", KEEP_VERSIONS)), float(spec.cfg.get("cdc_keep_seconds", KEEP_SECONDS))
     state_root = layout.state_path(spec.cdc_target)
     _declare(spark, source, state_root)
     name = query_name or f"cdc_{spec.cdc_target}"
     token = run_token(spark, layout.checkpoint_path(name))
+    gate_tables = [("quarantine", f"{spec.target}_gold_quarantine"), ("metrics", f"{spec.target}_gold_metrics")]
+    if gate_rules:
+        log = CommitLog(spark, layout, f"gold.{spec.target}", gate_tables)
+        run = log.run(writer or spec.target, layout.checkpoint_path(name))
+        log.claim(reset)
+        if reset:
+            log.reset(run)
 
     def per_batch(batch_df: DataFrame, batch_id: int) -> None:
         checked = None
         if gate_rules:
             checked = check(batch_df, gate_rules).persist()
-            q = checked.quarantine().withColumn("_batch_id", F.lit(int(batch_id)))
-            layout.write(q, "quarantine", f"{spec.target}_gold_quarantine", mode="overwrite", partition_by="_batch_id")
-            m = checked.metrics(layout.name("gold", spec.target),
-                                layout.name("quarantine", f"{spec.target}_gold_quarantine"), f"{name}:{batch_id}")
-            layout.write(m.withColumn("_batch_id", F.lit(int(batch_id))), "metrics", f"{spec.target}_gold_metrics",
-                         mode="overwrite", partition_by="_batch_id")
+            at = Commit(run, batch_id)
+            layout.write(at.stamp(checked.quarantine()), *gate_tables[0], mode="overwrite", partition_by=[RUN, BATCH])
+            m = checked.metrics(layout.name("gold", spec.target), layout.name(*gate_tables[0]), f"{name}:{batch_id}")
+            layout.write(at.stamp(m), *gate_tables[1], mode="overwrite", partition_by=[RUN, BATCH])
+            log.commit(at)
             batch_df = checked.valid()
         staged_as = f"{token}-{batch_id}"  # another run's batch of the same number is another batch
         try:
@@ -357,6 +311,7 @@ def cdc_stream(
         finally:
             if checked is not None:
                 checked.unpersist()
+        prune(spark, state_root, keep, keep_s)
 
     writer = source.writeStream.queryName(layout.query_name(name)).foreachBatch(per_batch).option(
         "checkpointLocation", layout.checkpoint_path(name))
@@ -367,9 +322,9 @@ def cdc_stream(
 def cdc_view(spark: SparkSession, spec: GoldSpec, layout: Layout) -> DataFrame:
     """The consumer view over the CDC state (current rows or history), either mode."""
     root = layout.state_path(spec.cdc_target)
-    sub = "current" if spec.operation == "delta_type1" else "history"
-    if path_exists(spark, f"{root}/{sub}"):
-        return spark.read.parquet(f"{root}/{sub}").drop(BUCKET)
+    rows = state_rows(spark, root, "current" if spec.operation == "delta_type1" else "history")
+    if rows is not None:
+        return rows
     rows, excluded = mor_rows(spark, root), []
     if rows is None:  # no batch yet
         if not path_exists(spark, f"{root}/declared/_SUCCESS"):

@@ -2,8 +2,9 @@
 
 The stream carries the staged rows; ``foreachBatch`` checks each micro-batch
 once (persisted) and writes valid rows, quarantine and a metrics entry, each
-into its own ``_batch_id`` partition (replay of a batch overwrites, never
-duplicates).  The checkpoint makes the whole thing restartable: a lost
+into its own partition of (writer's run, batch), then commits the three together
+in the table's log (``sources.commits``): a replayed batch overwrites, what a
+dead run left half-written is never read.  The checkpoint makes the whole thing restartable: a lost
 executor only re-runs tasks, a lost driver resumes at the last committed batch.
 """
 
@@ -14,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.rules import schema_rule
 from ..operators.quality import check
 from ..plans.silver import SilverTable, stage, write_silver
-from ..sources.tables import Layout, delete_path, marker_names, path_exists, run_token, touch
+from ..sources.commits import Commit, CommitLog
+from ..sources.tables import Layout
 
 
 def silver_stream(
@@ -27,8 +29,15 @@ def silver_stream(
     validate_schema: bool = True,
     quarantine_warnings: bool | None = None,
     query_name: str | None = None,
+    writer: str | None = None,
+    reset: bool = False,
 ):
-    """Start the silver stream of one table; returns the ``StreamingQuery``."""
+    """Start the silver stream of one table; returns the ``StreamingQuery``.
+
+    ``writer`` (by default the query's name) owns what the stream writes.  Streams of different writers feed one
+    table side by side.  A new checkpoint of the same writer starts a new run, whose rows replace those of its earlier runs
+    for readers from its first commit on; only ``reset=True`` also deletes them (and rows that no stream has written).
+    """
     if not bronze_stream.isStreaming:
         raise ValueError("silver_stream needs a streaming bronze DataFrame")
     staged = stage(spark, table, bronze_stream)
@@ -38,21 +47,17 @@ def silver_stream(
     name = query_name or f"silver_{table.target_table}"
     qw = table.quarantine_warnings if quarantine_warnings is None else quarantine_warnings
 
-    token = run_token(spark, layout.checkpoint_path(name))
-    runs = layout.state_path(f"silver_{table.target_table}__runs")  # of the table: another query name is a new run too
+    target = table.target_table
+    log = CommitLog(spark, layout, f"silver.{target}", [("silver", target), ("quarantine", f"{target}_quarantine"), ("metrics", f"{target}_metrics")])
+    run = log.run(writer or name, layout.checkpoint_path(name))
+    log.claim(reset)
+    if reset:
+        log.reset(run)
 
     def per_batch(batch_df: DataFrame, batch_id: int) -> None:
-        # a new checkpoint reads its source from the start, perhaps cut into other batches:
-        # what an earlier run wrote would stay beside it under other batch numbers
-        if marker_names(spark, runs, "_RUN_") != [f"_RUN_{token}"]:
-            if path_exists(spark, runs):
-                for layer, out in (("silver", table.target_table), ("quarantine", f"{table.target_table}_quarantine"),
-                                   ("metrics", f"{table.target_table}_metrics")):
-                    layout.clear(spark, layer, out)
-                delete_path(spark, runs)
-            touch(spark, f"{runs}/_RUN_{token}")
         checked = check(batch_df, rules, qw)
-        write_silver(checked, layout, table, batch_id=batch_id, run_id=f"{name}:{batch_id}")
+        write_silver(checked, layout, table, batch_id=batch_id, run_id=f"{name}:{batch_id}", run=run)
+        log.commit(Commit(run, batch_id))
 
     writer = (
         staged.writeStream.queryName(layout.query_name(name))

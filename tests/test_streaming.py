@@ -1,6 +1,5 @@
 """Streams equal their batch counterparts, whatever the file order and batch cut; replays are idempotent."""
 
-import shutil
 from dataclasses import replace
 
 import pytest
@@ -10,8 +9,9 @@ from conftest import SF001
 from sluice.operators.scd import scd1, scd2
 from sluice.plans.gold import default_gold_specs
 from sluice.plans.silver import default_silver_tables, silver_check, write_silver
-from sluice.session import new_scratch_dir, strip_scheme
-from sluice.sources import fixtures
+from sluice.session import new_scratch_dir
+from sluice.sources import fixtures, versions
+from sluice.sources.tables import list_dirs
 from sluice.streaming import cdc
 from sluice.streaming.fanout import silver_stream
 
@@ -95,8 +95,8 @@ def test_cdc_stream_equals_batch(spark, layout, silver_email, name):
 
 @pytest.mark.parametrize("overwrite", ["dynamic", "static"])
 @pytest.mark.parametrize("kind", ["scd1", "scd2"])
-def test_cdc_merge_recovers_from_a_crash_during_commit(spark, silver_email, kind, overwrite):
-    """A swap that died halfway is repeated from the staging copy, also for keys that the batch doesn't hold."""
+def test_cdc_merge_recovers_from_a_crash_during_commit(spark, silver_email, kind, overwrite, monkeypatch):
+    """A merge that died before its version was published has changed nothing; its replay, or another run, goes on."""
     root = new_scratch_dir(spark, "crash")
     keys, seq = ["ACCOUNT_ID"], "UPDATED_AT"
     half = F.pmod(F.xxhash64("ACCOUNT_ID"), F.lit(2)) == 0  # the second batch holds other keys than the first
@@ -104,20 +104,91 @@ def test_cdc_merge_recovers_from_a_crash_during_commit(spark, silver_email, kind
     merge, reduce_, parts = (cdc.merge_scd1, scd1, ["current"]) if kind == "scd1" else (cdc.merge_scd2, scd2, ["log", "history"])
     before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", overwrite)
+
+    def rows():
+        return _rows(cdc.state_rows(spark, root, parts[-1]))
+
+    def dies(*a, **k):
+        raise OSError("died")
+
     try:
         merge(spark, first, root, keys, seq, ["processed_time"], buckets=4, batch_id="a-0")
-        merge(spark, second, root, keys, seq, ["processed_time"], buckets=4, batch_id="a-1")
-        # simulate a commit that deleted a bucket of the state and died before replacing it
-        for part in parts:
-            shutil.rmtree(strip_scheme(f"{root}/{part}/_bucket=0"), ignore_errors=True)
+        whole = rows()
+        assert whole == _rows(reduce_(first, keys, seq, ["processed_time"]))
+        with monkeypatch.context() as m:  # everything is written, the manifest isn't
+            m.setattr(versions, "write_text", dies)
+            with pytest.raises(OSError, match="died"):
+                merge(spark, second, root, keys, seq, ["processed_time"], buckets=4, batch_id="a-1")
+        assert rows() == whole
         merge(spark, second, root, keys, seq, ["processed_time"], buckets=4, batch_id="a-1")  # replay
+        done = versions.VersionedState(spark, root).versions()
+        merge(spark, second, root, keys, seq, ["processed_time"], buckets=4, batch_id="a-1")  # replayed after it was published
+        assert versions.VersionedState(spark, root).versions() == done
         merge(spark, first, root, keys, seq, ["processed_time"], buckets=4, batch_id="b-0")  # another run, from the start
-        got = spark.read.parquet(f"{root}/{parts[-1]}").drop("_bucket")
-        assert _rows(got) == _rows(reduce_(silver_email, keys, seq, ["processed_time"]))
+        assert rows() == _rows(reduce_(silver_email, keys, seq, ["processed_time"]))
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
 
 
+@pytest.mark.parametrize("kind", ["scd1", "scd2"])
+def test_a_run_that_died_loses_no_rows_of_other_keys(spark, kind, monkeypatch):
+    """24 keys in 2 buckets; a merge dies; then a batch of another run holds 4 other keys: 28 rows."""
+    root = new_scratch_dir(spark, "other-run")
+    merge, part = (cdc.merge_scd1, "current") if kind == "scd1" else (cdc.merge_scd2, "history")
+    batch = lambda lo, hi: spark.range(lo, hi).selectExpr("concat('k', id) AS id", "1 AS seq", "'v' AS v")
+    merge(spark, batch(0, 20), root, ["id"], "seq", buckets=2, batch_id="a-0")
+    with monkeypatch.context() as m:
+        m.setattr(versions.VersionedState, "publish", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            merge(spark, batch(20, 24), root, ["id"], "seq", buckets=2, batch_id="a-1")
+    merge(spark, batch(20, 24), root, ["id"], "seq", buckets=2, batch_id="a-1")
+    merge(spark, batch(24, 28), root, ["id"], "seq", buckets=2, batch_id="b-0")
+    assert cdc.state_rows(spark, root, part).count() == 28
+
+
+@pytest.mark.parametrize("kind", ["scd1", "scd2"])
+def test_readers_see_one_whole_version(spark, kind, monkeypatch):
+    """Readers that start before, during and after each step of a merge: the old version, the old one, the new one."""
+    root = new_scratch_dir(spark, "readers")
+    merge, parts = (cdc.merge_scd1, ["current"]) if kind == "scd1" else (cdc.merge_scd2, ["log", "history"])
+    batch = lambda seq, v: spark.range(30).selectExpr("concat('k', id) AS id", f"{seq} AS seq", f"'{v}' AS v")
+    merge(spark, batch(1, "old"), root, ["id"], "seq", buckets=4, batch_id="a-0")
+    readers, real = [], versions.VersionedState.write
+    start = lambda: [cdc.state_rows(spark, root, p) for p in parts]
+    readers.append(start())
+
+    def write(self, df, part):
+        readers.append(start())
+        out = real(self, df, part)
+        readers.append(start())
+        return out
+
+    monkeypatch.setattr(versions.VersionedState, "write", write)
+    merge(spark, batch(2, "new"), root, ["id"], "seq", buckets=4, batch_id="a-1")
+    for early in readers:
+        assert all({r.v for r in df.collect()} == {"old"} and df.count() == 30 for df in early)
+    log = {"scd1": 30, "scd2": 60}[kind]
+    assert [df.count() for df in start()] == ([30] if kind == "scd1" else [60, 60]) and log >= 30
+    assert {r.v for r in start()[0].collect()} == ({"new"} if kind == "scd1" else {"old", "new"})
+
+
+def test_fifty_batches_leave_few_folders_and_slow_readers_end(spark):
+    """Old versions go once newer ones are enough and no reader can be left; a reader within that time still ends."""
+    root = new_scratch_dir(spark, "retention")
+    state = versions.VersionedState(spark, root)
+    for b in range(12):
+        one = spark.createDataFrame([(f"k{b % 3}", b)], "id string, seq int")
+        cdc.merge_scd1(spark, one, root, ["id"], "seq", buckets=2, batch_id=f"a-{b}")
+        slow = slow if b else cdc.state_rows(spark, root, "current")
+        cdc.prune(spark, root, keep=2, min_age_s=3600)
+    assert len(state.versions()) == 12 and slow.count() == 1  # all of them young
+    cdc.prune(spark, root, keep=2)
+    folders = list_dirs(spark, f"{root}/data/current")
+    assert state.versions() == [10, 11, 12] and len(folders) <= 4
+    assert {(r.id, r.seq) for r in cdc.state_rows(spark, root, "current").collect()} == {("k0", 9), ("k1", 10), ("k2", 11)}
+    assert {(r.id, r.seq) for r in state.rows("current", version=10).collect()} == {("k0", 9), ("k1", 7), ("k2", 8)}
+
+
 def test_a_new_checkpoint_continues_merge_on_read(spark):
     """Batch numbers of a second run follow those of the first; its deltas are neither lost nor overwrite others."""
     root = new_scratch_dir(spark, "runs")
