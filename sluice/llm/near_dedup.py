@@ -13,8 +13,9 @@
    only if they share c differences from h with (100 + P) c >= W(x) + W(y) - L.  Of two members with different components, where W(x)
    <= W(y), x shares at least (W(x) + max(W(x), L + 1) - L) / (100 + P) and y at least (W(y) - L) / 100 of its differences, so by
    the prefix filter a rare difference of x is one of y too (``small`` and ``large`` say how many of the rarest are needed).  The members
-   of a group that share such a difference form its next groups, again with one hub each, until none is left.  Texts of one
-   template that are unlike each other have rare differences of their own and part at once; no pair of a bucket is lost.
+   of a group that share such a difference form its next groups (those of the same members once), again with one hub each, until
+   no group holds two components.  Every group is smaller than the one it came from, so the rounds end.  Texts of one template that
+   are unlike each other have rare differences of their own and part soon; no pair of a bucket is lost.
 5. *Components* by contraction: every component takes its least neighbour as parent until no edge is left.
 
 Buckets, candidates, links and components stay in tables; the driver only learns whether a table is empty.
@@ -219,34 +220,44 @@ def joined_up(state: DataFrame, links: DataFrame) -> DataFrame:
     return C.cut(out, "near-state")
 
 
+def _open(members: DataFrame) -> DataFrame:
+    """The groups in which a pair is still in question: two components, and a member that leads."""
+    sides = members.groupBy("grp").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.max("leads").alias("led"))
+    return sides.filter("led AND low < high").select("grp")
+
+
 def part_by_differences(groups: DataFrame, state: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """``state`` after every linked pair of a group (``grp, node``) is in one component; see step 4 above."""
     groups, first = groups.withColumn("leads", F.lit(True)), True  # only pairs with a member that leads are in question
     while True:
         ranked = groups.join(state, "node")
-        hubs = ranked.groupBy("grp").agg(F.max_by("node", F.struct("leads", "rank", "node")).alias("hub"))
-        starred = ranked.join(C.detached(hubs, "grp"), "grp").filter("node <> hub").select(
-            (F.col("hub") if first else F.col("grp")).alias("grp"), "hub", "node", "comp")  # buckets of one hub are one group
-        starred = C.cut(starred.distinct(), "near-starred")
-        pairs = starred.groupBy("hub", "node").agg(F.min("comp").alias("comp"))
-        several = pairs.groupBy("hub").agg((F.min("comp") < F.max("comp")).alias("wide"))
-        found = C.cut(differences(pairs.join(C.detached(several, "hub"), "hub").select("hub", "node", "wide"), texts, percent), "near-differences")
+        hubs = ranked.groupBy("grp").agg(F.max_by(F.struct("node", "comp"), F.struct("leads", "rank", "node")).alias("h"))
+        starred = ranked.join(C.detached(hubs, "grp"), "grp").filter("node <> h.node")
+        hub = F.col("h.node").alias("hub")
+        starred = starred.select((hub if first else F.col("grp")).alias("grp"), hub, F.col("h.comp").alias("hub_comp"), "node", "comp", "leads")
+        starred = C.cut(starred.distinct(), "near-starred")  # buckets of one hub are one group
+        split = _open(starred).withColumn("open", F.lit(True))
+        asked = starred.join(C.detached(split, "grp"), "grp", "left").filter("open OR comp <> hub_comp").groupBy("hub", "node").agg(
+            F.coalesce(F.max("open"), F.lit(False)).alias("wide"))
+        found = C.cut(differences(asked, texts, percent), "near-differences")
         state = joined_up(state, found.filter("linked").select("hub", "node"))
-        now = found.filter(F.size("elements") > 0).join(state.select("node", "comp"), "node")
-        mixed = now.groupBy("hub").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("hub")
-        now = now.join(C.detached(mixed, "hub"), "hub")
-        each = C.cut(now.select("hub", "node", "comp", "small", "large", F.size("elements").alias("size"), F.explode("elements").alias("e")), "near-elements")
+        now = starred.select("grp", "hub", "node", "leads").join(state.select("node", "comp"), "node")
+        now = C.cut(now.join(C.detached(_open(now), "grp"), "grp").select("grp", "hub", "node", "comp"), "near-now")
+        each = found.join(now.select("hub", "node", "comp").distinct(), ["hub", "node"]).select(
+            "hub", "node", "comp", "small", "large", F.size("elements").alias("size"), F.explode("elements").alias("e"))
+        each = C.cut(each, "near-elements")
         often = each.groupBy("hub", "e").agg(F.count(F.lit(1)).alias("c"), (F.min("comp") < F.max("comp")).alias("mixed")).filter("c > 1")
         own = Window.partitionBy("hub", "node")
         placed = each.join(C.detached(often, "e"), ["hub", "e"]).withColumn("shared", F.count(F.lit(1)).over(own)).withColumn(
             "place", F.col("size") - F.col("shared") + F.row_number().over(own.orderBy("c", "e")))  # elements of one member only come first
-        kept = C.cut(placed.filter("mixed AND place <= large").select("hub", "node", "e", "comp", (F.col("place") <= F.col("small")).alias("leads")), "near-kept")
-        split = starred.select("grp", "hub", "node").join(kept, ["hub", "node"]).select(F.xxhash64("grp", "e").alias("grp"), "node", "comp", "leads")
-        split = C.cut(split, "near-split")
-        live = split.groupBy("grp").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.max("leads").alias("led")).filter("led AND low < high").select("grp")
-        old = groups
-        groups = C.cut(split.join(C.detached(live, "grp"), "grp").select("grp", "node", "leads"), "near-groups")
-        C.forget(old, starred, found, each, kept, split)
+        kept = placed.filter("mixed AND place <= large").select("hub", "node", "e", (F.col("place") <= F.col("small")).alias("leads"))
+        parts = C.cut(now.join(kept, ["hub", "node"]).select(F.xxhash64("grp", "e").alias("grp"), "node", "comp", "leads"), "near-parts")
+        parts_open = parts.join(C.detached(_open(parts), "grp"), "grp").select("grp", "node", "leads")
+        # groups of the same members are one
+        same = parts_open.groupBy("grp").agg(*[F.bit_xor(F.xxhash64("node", "leads", F.lit(k))).alias(f"s{k}") for k in (0, 1)], F.count(F.lit(1)).alias("c"))
+        same = same.groupBy("s0", "s1", "c").agg(F.min("grp").alias("grp")).select("grp")
+        old, groups = groups, C.cut(parts_open.join(C.detached(same, "grp"), "grp").select("grp", "node", "leads"), "near-groups")
+        C.forget(old, starred, found, now, each, parts)
         first = False
         if groups.isEmpty():
             return state
