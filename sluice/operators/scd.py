@@ -9,9 +9,10 @@ partition in the shuffle.
 A per-key window would put a hot key (say a third of all rows) into one task,
 so the ordered scan is split into range chunks instead:
 
-1. ``repartitionByRange(keys, seq)``: the sampled range partitioner cuts a hot
-   key into several contiguous pieces; the partition id is the chunk id.  The
-   chunk count follows the input size (~256 MB per chunk).
+1. Borders of (keys, seq) ranges come from a bounded sample; a binary search over
+   them numbers each row's chunk, so a hot key is cut into several contiguous
+   pieces, and one exchange puts each chunk into a partition of its own.  The
+   chunk count follows the measured rows (``CHUNK_ROWS`` each).
 0. Equal ``(key, seq)`` rows are de-duplicated first by a map-side-combined
    aggregate: a range partitioner cannot split copies of one value.
 2. Windows over ``(keys, chunk)``: previous / next tracked values, next
@@ -41,6 +42,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize
 
@@ -112,14 +114,45 @@ def dedup_key_seq(df: DataFrame, keys, sequence_by: str) -> DataFrame:
         *[_q(c) if c in keys or c == sequence_by else F.col("_w").getField(c).alias(c) for c in df.columns])
 
 
+SAMPLE_PER_CHUNK, SAMPLE_ROWS = 60, 1_000_000   # rows whose keys are sampled for the borders: by chunk, and at most
+
+
+def chunk_borders(df: DataFrame, keys: list[str], order_by: str, n: int) -> DataFrame:
+    """One row: ``_borders``, the least (keys, order_by) of the second and later of ``n`` > 1 chunks, in order.
+
+    They come from a sample of the composite key chosen by hash, so runs agree and a key holding a large share of
+    the rows gets several borders.  The sample is bounded, and only the borders are collected.
+    """
+    spark = df.sparkSession
+    at = F.struct(*[_q(k) for k in keys], _q(order_by)).alias("_at")
+    points = df.select(at)
+    wanted = min(SAMPLE_PER_CHUNK * n, SAMPLE_ROWS)
+    every = max(1, points.count() // wanted)
+    picked = points.where(F.pmod(F.xxhash64("_at"), F.lit(every)) == 0)
+    found = picked.sort("_at").collect()
+    cuts = sorted({len(found) * i // n for i in range(1, n)} - {0})
+    return spark.createDataFrame([([found[i]._at for i in cuts],)], T.StructType([T.StructField("_borders", T.ArrayType(points.schema["_at"].dataType))]))
+
+
 def range_chunks(df: DataFrame, keys, order_by: str, n: int) -> DataFrame:
-    """Add ``_chunk``: contiguous, size-balanced ranges of (keys, order_by).
+    """Add ``_chunk``: contiguous, size-balanced ranges of (keys, order_by), numbered 0 to n - 1.
 
-    The range partitioner samples the composite key, so a key holding a large
-    share of the rows is cut into several chunks of about ``rows / n`` each.
+    A binary search over the borders numbers the rows where they are, without an exchange; the borders are one
+    value (n - 1 keys), a scalar subquery.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return df.repartitionByRange(n, *[_q(k) for k in keys], _q(order_by)).withColumn("_chunk", F.spark_partition_id())
+    if n <= 1:
+        return df.withColumn("_chunk", F.lit(0))
+    borders = chunk_borders(df, keys, order_by, n).scalar()
+    steps = [1 << k for k in reversed(range(max(1, (n - 1).bit_length())))]
+    at = F.struct(*[_q(k) for k in keys], _q(order_by))
+
+    def further(found: Column, step: Column) -> Column:
+        nxt = found + step
+        return F.when((nxt <= F.size("_borders")) & (F.get(F.col("_borders"), nxt - 1) <= at), nxt).otherwise(found)
+
+    chunk = F.aggregate(F.array(*[F.lit(x) for x in steps]), F.lit(0), further)
+    return df.withColumn("_borders", borders).withColumn("_chunk", chunk).drop("_borders")
 
 
 def tracked_columns(columns, keys, track_history_columns=None, track_history_except_columns=None) -> list[str]:
@@ -169,9 +202,9 @@ def scd2(
     deduped = materialize(dedup_key_seq(d, keys, sequence_by), "scd2-rows")
     n = chunks or max(1, -(-deduped.count() // CHUNK_ROWS))
 
-    # 1. contiguous (key, seq) ranges; the partition id names the chunk.  Rows are then
-    #    placed by chunk: the windows below need no further exchange and keep n partitions.
-    deduped = range_chunks(deduped, keys, sequence_by, n).repartition(n, "_chunk")
+    # 1. contiguous (key, seq) ranges, numbered before the only exchange of these rows: each chunk
+    #    is a partition of its own, and the windows below need no further exchange.
+    deduped = range_chunks(deduped, keys, sequence_by, n).repartitionById(n, F.col("_chunk"))
 
     # 2. inside a chunk: neighbours and running island start
     t = F.struct(*[_q(c) for c in tracked])

@@ -209,3 +209,23 @@ def test_scd1_matches_brute_force(spark, rows):
     want = sorted(((k, v, w, s) for k, (s, v, w) in best.items()), key=repr)
     got = sorted((tuple(r) for r in scd1(spark.createDataFrame(rows, SCHEMA), ["k"], "seq").collect()), key=repr)
     assert got == want
+
+
+def test_one_exchange_of_full_rows_after_the_deduplication(spark, monkeypatch):
+    """Chunks are numbered in place and placed once; each is a partition of its own, and the windows run there."""
+    import sluice.operators.scd as scd
+
+    plans, real = {}, scd.materialize
+    monkeypatch.setattr(scd, "materialize", lambda df, label: (plans.update({label: df._jdf.queryExecution().executedPlan().toString()}), real(df, label))[1])
+    monkeypatch.setattr(scd, "CHUNK_ROWS", 50)
+    rows = spark.range(600).selectExpr("if(id % 3 = 0, 'hot', concat('k', id % 7)) AS k", "CAST(id AS INT) AS seq", "CAST(id % 5 AS STRING) AS v")
+    assert scd.scd2(rows, ["k"], "seq").count() == 600
+    assert plans["scd2-windows"].count("Exchange ") == 1 and "direct_shuffle_partition_id(_chunk" in plans["scd2-windows"]
+    placed = scd.range_chunks(rows, ["k"], "seq", 12)
+    where = placed.repartitionById(12, "_chunk").selectExpr("spark_partition_id() AS p", "_chunk").distinct().collect()
+    assert len(where) == 12 and all(r.p == r._chunk for r in where)
+    # ranges follow the order: no key and sequence of a chunk lies before one of the chunk before it
+    ends = placed.groupBy("_chunk").agg({"*": "count"}).count()
+    edges = placed.selectExpr("_chunk", "struct(k, seq) AS at").groupBy("_chunk").agg({"at": "min"}).join(
+        placed.selectExpr("_chunk + 1 AS _chunk", "struct(k, seq) AS at").groupBy("_chunk").agg({"at": "max"}), "_chunk")
+    assert ends == 12 and edges.where("`min(at)` <= `max(at)`").count() == 0
