@@ -266,6 +266,23 @@ def q_param_text(spark, sf):
     return bind_sql(spark, sql, {"silver": {ACCOUNT: _silver(spark, sf)[ACCOUNT]}}, params)
 
 
+def q_gold_sql_reach(spark, sf):
+    """Gold as SQL text: three silver tables joined, and two whole predicates as parameters of the registry entry."""
+    from sluice.plans.gold import GoldSpec
+
+    text = f"""
+        SELECT a.SERVICE_STATE, p.CUSTOMER_TYPE, count(*) AS CONTACTS, count(DISTINCT a.ACCOUNT_ID) AS ACCOUNTS,
+               count_if(e.EMAIL_STATUS = 'VALID') AS VALID_CONTACTS, min(a.OPEN_DATE) AS OLDEST
+        FROM __silver__.{ACCOUNT} a
+        JOIN __silver__.{PROFILE} p ON p.CUSTOMER_ID = a.CUSTOMER_ID
+        LEFT JOIN __silver__.{EMAIL} e ON e.ACCOUNT_ID = a.ACCOUNT_ID
+        WHERE ${{ACCOUNT_FILTER}} AND (${{EMAIL_FILTER}})
+        GROUP BY ALL"""
+    params = {"ACCOUNT_FILTER": "a.ACCOUNT_STATUS IN ('ACTIVE', 'INACTIVE')", "EMAIL_FILTER": "e.PREFERRED_EMAIL_FLAG = 'Y' OR e.ACCOUNT_ID IS NULL"}
+    spec = GoldSpec("contact_reach", {"sql_parameters": params}, text, "contact_reach.sql", [ACCOUNT, PROFILE, EMAIL])
+    return _ntz(gold_view(spark, spec, _silver(spark, sf)).output())
+
+
 def q_gold_profile_gated(spark, sf):
     return _gold(spark, sf, SUMMARY).output()
 
@@ -577,6 +594,7 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_contact_quarantine": q_gold_contact_quarantine,
         "gold_contact_unvalidated_quarantine": q_gold_contact_unvalidated_quarantine,
         "param_text": q_param_text,
+        "gold_sql_reach": q_gold_sql_reach,
         "gold_profile_gated": q_gold_profile_gated,
         "gold_profile_quarantine": q_gold_profile_quarantine,
         "silver_metrics": q_silver_metrics,
@@ -664,6 +682,11 @@ def core_oracle_sql() -> dict[str, str]:
         "gold_contact_unvalidated_quarantine": O.unvalidated(O.quarantine_report(CONTACT, contact_cols)),
         "param_text": O.q("SELECT ACCOUNT_ID AS ACCOUNT_NO, 'v256' AS TAG, CAST(256 AS BIGINT) AS N, ACCOUNT_STATUS "
                           "FROM silver_account WHERE ACCOUNT_STATUS IN ('ACTIVE', 'CLOSED')"),
+        "gold_sql_reach": O.q("SELECT a.SERVICE_STATE, p.CUSTOMER_TYPE, count(*) AS CONTACTS, count(DISTINCT a.ACCOUNT_ID) AS ACCOUNTS, "
+                              "count(*) FILTER (WHERE e.EMAIL_STATUS = 'VALID') AS VALID_CONTACTS, min(a.OPEN_DATE) AS OLDEST "
+                              "FROM silver_account a JOIN silver_profile p ON p.CUSTOMER_ID = a.CUSTOMER_ID "
+                              "LEFT JOIN silver_email e ON e.ACCOUNT_ID = a.ACCOUNT_ID WHERE a.ACCOUNT_STATUS IN ('ACTIVE', 'INACTIVE') "
+                              "AND (e.PREFERRED_EMAIL_FLAG = 'Y' OR e.ACCOUNT_ID IS NULL) GROUP BY ALL"),
         "gold_profile_gated": O.q(f"SELECT {summary_cols} FROM summary_f WHERE NOT {O._any(SUMMARY, 'error')}"),
         "gold_profile_quarantine": O.quarantine_report(SUMMARY, summary_cols),
         "silver_metrics": O.q(O.silver_metrics_select()),
