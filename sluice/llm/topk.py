@@ -15,9 +15,10 @@ Every step is exact: partial scores are integer products, held in doubles where
 in 64-bit integers elsewhere.
 
 Defined cases: vectors that are null or hold a null or non-finite component, and rows with a null id, take no part;
-a component times the scale saturates at the 64-bit range, and a score has to fit into 64 bits; only vectors of equal length are compared; of rows with one
-id the least vector counts; ties go to the smaller id; a query meets every id but its own; further columns are not
-read; an empty table, or one without queries, gives an empty result.
+a component times the scale saturates at the 64-bit range, and a score has to fit into 64 bits; only vectors of equal length
+are compared; rows equal in id and vector count once, rows of one id with different vectors are rows of their own (as
+candidates, of the other's query too, and as queries); ties go to the smaller id; further columns are not read; an empty
+table, or one without queries, gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,18 +35,18 @@ from . import common as C
 GROUP_ROWS, BLOCK_QUERIES, LISTS = 5_000, 1_000, 2
 _BOUND = "query_id long, low double"
 _BOUND_ARROW = pa.schema([("query_id", pa.int64()), ("low", pa.float64())])
-_HIT = "query_id long, vec_id long, score long"
-_HIT_ARROW = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+_HIT = "row long, query_id long, vec_id long, score long"
+_HIT_ARROW = pa.schema([("row", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
 
 def quantised(vectors: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
-    """``(id, dim, v)``: one row per id, components floor(scale * x)."""
+    """``(id, vec_id, dim, v)``: components floor(scale * x), with a key ``id`` for each row (rows equal in all are one)."""
     x = F.col(vec_col)
     good = x.isNotNull() & F.col(id_col).isNotNull() & F.forall(
         x, lambda c: c.isNotNull() & ~F.isnan(c.cast("double")) & (F.abs(c.cast("double")) != float("inf")))
     rows = vectors.filter(F.coalesce(good, F.lit(False))).select(
-        F.col(id_col).cast("long").alias("id"), F.transform(x, lambda c: F.floor(F.lit(scale) * c.cast("double")).cast("long")).alias("v"))
-    return rows.groupBy("id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
+        F.col(id_col).cast("long").alias("vec_id"), F.transform(x, lambda c: F.floor(F.lit(scale) * c.cast("double")).cast("long")).alias("v"))
+    return rows.distinct().select(F.monotonically_increasing_id().alias("id"), "vec_id", "v", F.size("v").alias("dim"))
 
 
 def _matrix(t: pa.Table, dim: int) -> np.ndarray:
@@ -65,11 +66,10 @@ def _lists(dim: int, lists: int) -> list[slice]:
     return [slice(a, b) for a, b in zip(edges[:-1], edges[1:])]
 
 
-def _blocks(t: pa.Table, dim: int, rows: int = 5_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    ids, v = np.asarray(t["id"]), _matrix(t, dim)
-    order = np.argsort(ids, kind="stable")
+def _blocks(t: pa.Table, dim: int, rows: int = 5_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    ids, names, v = np.asarray(t["id"]), np.asarray(t["vec_id"]), _matrix(t, dim)
     for at in range(0, len(ids), rows):
-        yield ids[order[at : at + rows]], v[order[at : at + rows]]
+        yield ids[at : at + rows], names[at : at + rows], v[at : at + rows]
 
 
 def _lower_bounds(k: int, lists: int):
@@ -79,7 +79,7 @@ def _lower_bounds(k: int, lists: int):
             return _BOUND_ARROW.empty_table()
         q_ids, q = np.asarray(queries["id"]), _matrix(queries, dim)
         best = np.full((len(q_ids), 0), -np.inf)
-        for ids, v in _blocks(vectors, dim):
+        for ids, _, v in _blocks(vectors, dim):
             parts = [_product(q[:, s], v[:, s]).astype(np.float64) for s in _lists(dim, lists)]
             own = q_ids[:, None] == ids[None, :]
             least = [p.min(axis=1, keepdims=True) for p in parts]
@@ -114,7 +114,7 @@ def _resolved(k: int, lists: int):
         q_ids, q = np.asarray(queries["id"]), _matrix(queries, dim)
         cutoff = np.asarray(queries["cutoff"].combine_chunks().fill_null(-np.inf))[:, None]
         got: list[np.ndarray] = []
-        for ids, v in _blocks(vectors, dim):
+        for ids, names, v in _blocks(vectors, dim):
             reach = np.zeros((len(q_ids), len(ids)), bool)
             for s in _lists(dim, lists):
                 part = _product(q[:, s], v[:, s])
@@ -125,9 +125,9 @@ def _resolved(k: int, lists: int):
             for a in range(0, len(qi), 100_000):
                 s = slice(a, a + 100_000)
                 score[s] = (q[qi[s]] * v[vi[s]]).sum(axis=1)
-            got.append(_best(qi, ids[vi], score, k))
+            got.append(_best(qi, names[vi], score, k))
         qi, vec, score = _best(*np.concatenate(got, axis=1), k)
-        return pa.table([pa.array(q_ids[qi]), pa.array(vec), pa.array(score)], schema=_HIT_ARROW)
+        return pa.table([pa.array(q_ids[qi]), pa.array(np.asarray(queries["vec_id"])[qi]), pa.array(vec), pa.array(score)], schema=_HIT_ARROW)
 
     return phases23
 
@@ -142,9 +142,12 @@ def _best(qi: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int) -> np.ndar
 
 def exact_top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 256,
                 lists: int = LISTS, group_rows: int = GROUP_ROWS, block_queries: int = BLOCK_QUERIES) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the ``k`` highest scores for each row whose id is divisible by ``every``."""
+    """``query_id, rank, vec_id, score``: the ``k`` highest scores for each row whose id is divisible by ``every``.
+
+    A query leaves out its own row only; rows that share an id but not the vector are candidates and queries of their own.
+    """
     rows = C.cut(quantised(vectors, id_col, vec_col, scale), "topk-vectors")
-    is_query = F.pmod("id", F.lit(every)) == 0
+    is_query = F.pmod("vec_id", F.lit(every)) == 0
     n = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(is_query).alias("q")).first()
     groups, blocks = -(-n.n // group_rows) or 1, -(-n.q // block_queries) or 1
     deal = lambda parts, seed: F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(parts)).cast("int")
@@ -158,7 +161,7 @@ def exact_top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "
     cutoff = low.withColumn("r", F.row_number().over(best)).filter(F.col("r") == k).select(F.col("query_id").alias("id"), F.col("low").alias("cutoff"))
     armed = queries.join(cutoff, "id", "left")
     hits = armed.groupBy(*unit).cogroup(dealt.groupBy(*unit)).applyInArrow(_resolved(k, lists), _HIT)
-    final = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    final = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return hits.withColumn("rank", F.row_number().over(final)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
@@ -168,11 +171,11 @@ def op1_top_k(spark, sf_dir: str) -> DataFrame:
 
 SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0),
-r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+  SELECT q.vec_id AS query_id, q.e, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON (q.vec_id <> c.vec_id OR q.e <> c.e) AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id, e ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
