@@ -30,6 +30,7 @@ from . import common as C
 PARTS, ENTRIES, ROUNDS, SCALE, PIVOTS = 4, 256, 4, 1024, 8
 ROWS = 2048  # parts bounded at once: a table of ROWS x ENTRIES lower bounds
 STEPS = 2  # entries taken singly by rising bound before the rest is evaluated together
+DENSE = 0.05  # share of entries left from which on their products are made together
 _SLACK = 2.0**-20  # of float32 distances, relative
 
 
@@ -73,18 +74,34 @@ def nearest(x: np.ndarray, to_pivot: np.ndarray, entries: np.ndarray, entry_to_p
         low[live, nxt[live]] = np.inf
         done += len(live)
     limit = np.nextafter(np.sqrt(best.astype(np.float64)).astype(np.float32), np.float32(np.inf))
-    r, e = np.nonzero(low <= limit[:, None])
-    if len(r):
+    left = low <= limit[:, None]
+    count = int(left.sum())
+    done += count
+    if count > DENSE * left.size and _exact_in_doubles(x, entries):
+        # many entries are left for most rows: all their products at once, which doubles hold exactly
+        a, b = x.astype(np.float64), entries.astype(np.float64)
+        gaps = (a * a).sum(axis=1)[:, None] - 2 * (a @ b.T) + (b * b).sum(axis=1)[None]
+        gaps[~left] = np.inf
+        row, k = rows, gaps.argmin(axis=1)
+        found = np.isfinite(gaps[rows, k])
+        row, k = row[found], k[found]
+        d = gaps[row, k].astype(np.int64)
+    else:
+        r, e = np.nonzero(left)
         got = _squares(x[r], entries[e])
-        done += len(r)
         order = np.lexsort((e, got, r))
-        first = order[np.concatenate(([True], r[order][1:] != r[order][:-1]))]
+        first = order[np.concatenate(([True], r[order][1:] != r[order][:-1]))] if len(r) else order
         row, d, k = r[first], got[first], e[first]
-        better = (d < best[row]) | ((d == best[row]) & (k < at[row]))
-        at[row[better]], best[row[better]] = k[better], d[better]
+    better = (d < best[row]) | ((d == best[row]) & (k < at[row]))
+    at[row[better]], best[row[better]] = k[better], d[better]
     return at, best, done
 
 
+def _exact_in_doubles(x: np.ndarray, entries: np.ndarray) -> bool:
+    top = max(int(np.abs(x).max(initial=0)), int(np.abs(entries).max(initial=0)))
+    return 4 * x.shape[1] * top * top < 2**52
+
+
 class Codebooks:
     """Entries of every part, the fixed pivots and the entries' distances to them."""
 
