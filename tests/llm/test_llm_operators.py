@@ -382,7 +382,7 @@ def test_pipeline_stages_against_brute_force(spark):
 
 
 def test_registry():
-    assert sorted(QUERIES, key=lambda q: int(re.match(r"op(\d+)_", q)[1]))[0].startswith("op1_") and len(QUERIES) == 10
+    assert sorted(QUERIES, key=lambda q: int(re.match(r"op(\d+)_", q)[1]))[0].startswith("op1_") and len(QUERIES) == 13
     import __spark_entry__ as entry
 
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
