@@ -4,15 +4,15 @@
 2. *Learning*: at most ``SAMPLE`` distinct credentials per kind (chosen by hash: the documented bound of the sample), as
    sequences of character classes, form a prefix tree; states whose outgoing frequencies agree within a Hoeffding bound,
    and whose successors do, are merged (:func:`infer`).  The result is a probabilistic automaton per kind.
-3. *Background*: a class model of order two, learned from parts of runs outside base spans (words, numbers and what occurs
-   repeatedly) of about ``BACKGROUND_DOCS`` documents chosen by hash (the documented bound), says how likely a part is as
-   ordinary text.
+3. *Background*: a class model of order two, counted over the parts of all runs outside base spans (words, numbers and what
+   occurs repeatedly) of all documents, says how likely a part is as ordinary text.  Parts are counted where they are and summed
+   by value; the model is the sums by three neighbouring classes, so only these reach the driver.
 4. *Scoring*: a part of a run of credential characters lies between two of its start, its end and its symbols (``. = / - _ +``).
    Its score is the log likelihood ratio of a kind's automaton, which decides the lengths too, to the background.  One pass
    over a run keeps the best start for every state, so its cost is the run's length times the states reached.  A part is
    reported (kind ``grammar``) when its score reaches the kind's limit and it overlaps no base span; of parts that overlap,
    the best one.  ``KEEP`` of the held-out credentials reach the limit.  If more than a ``FALSE_POSITIVES`` share of the
-   held-out words and numbers (by occurrence) would too, ordinary text has the format as well: the kind's automaton reports nothing.
+   held-out words and numbers of all documents (by occurrence) would too, ordinary text has the format as well: the kind's automaton reports nothing.
 
 Offsets are code points, ends exclusive.  Every text is scanned in full.
 
@@ -25,7 +25,8 @@ from __future__ import annotations
 import functools
 import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -36,8 +37,9 @@ from pyspark.sql import functions as F
 from . import common as C
 
 SAMPLE, ALPHA, KEEP = 5000, 0.05, 0.95
-BACKGROUND_DOCS, FALSE_POSITIVES = 2000, 0.001
-HELD_OUT = 5  # every fifth value of a sample sets the limit
+FALSE_POSITIVES = 0.001
+HELD_OUT = 5  # every fifth value sets the limit
+COUNTED = 1 << 18  # different runs a task counts before it passes them on
 RARE = 0.1  # share of the background model that takes all symbols as equally likely
 KINDS = ("assign", "access", "hex")
 # The base patterns.
@@ -75,8 +77,11 @@ def long_runs(least: int) -> re.Pattern:
     return re.compile(RUN.pattern[:-1] + "{%d,}" % min(least, 1000))  # RE2's bound for a count
 
 
+_TO_CLASS = str.maketrans(_CLASS)
+
+
 def classes_of_run(value: str) -> str:
-    return "".join(_CLASS.get(c, c) for c in value)
+    return value.translate(_TO_CLASS)
 
 
 # -- grammar inference ---------------------------------------------------------------
@@ -188,17 +193,36 @@ def infer(values: list[str], alpha: float = ALPHA) -> Automaton | None:
 
 
 # -- background and limits ---------------------------------------------------------------
+def class_triples(parts: Iterable[tuple[str, int]]) -> dict[str, int]:
+    """Occurrences of every symbol with the two before it, in parts given as classes with their numbers of occurrences."""
+    out: dict[str, int] = {}
+    for symbols, n in parts:
+        padded = "^^" + symbols + "$"
+        for i in range(2, len(padded)):
+            around = padded[i - 2 : i + 1]
+            out[around] = out.get(around, 0) + n
+    return out
+
+
 class Background:
     """Class model of ordinary parts: a symbol after the two before it, smoothed by shorter contexts."""
 
-    def __init__(self, values: list[tuple[str, int]]):
+    def __init__(self, values: Iterable[tuple[str, int]]):
+        self._set(class_triples((classes(v), n) for v, n in values))
+
+    @classmethod
+    def of(cls, triples: dict[str, int]) -> Background:
+        """From the sums of :func:`class_triples`."""
+        out = cls.__new__(cls)
+        out._set(triples)
+        return out
+
+    def _set(self, triples: dict[str, int]) -> None:
         self.counts: dict[str, dict[str, int]] = {}
-        for v, n in values:
-            padded = "^^" + classes(v) + "$"
-            for i in range(2, len(padded)):
-                for k in range(3):
-                    c = self.counts.setdefault(padded[i - k : i], {})
-                    c[padded[i]] = c.get(padded[i], 0) + n
+        for around, n in triples.items():
+            for k in range(3):
+                c = self.counts.setdefault(around[2 - k : 2], {})
+                c[around[2]] = c.get(around[2], 0) + n
         self.total = {c: sum(n.values()) for c, n in self.counts.items()}
         self.known: dict[tuple[str, str], float] = {}
 
@@ -223,28 +247,39 @@ def ratio(automaton: Automaton, background: Background, symbols: str) -> float:
     return automaton.likelihood(symbols) - background.likelihood(symbols)
 
 
-def learn(values: list[str], ordinary: list[tuple[str, int]], alpha: float = ALPHA, keep: float = KEEP,
-          false_positives: float = FALSE_POSITIVES) -> tuple[Automaton | None, Background]:
-    """A kind's automaton with its limit, and the background model of ``ordinary`` parts with their numbers of occurrences.
+def held_out(x: list) -> tuple[list, list]:
+    """What is learned from, and what sets the limit (small samples do both)."""
+    return (x, x) if len(x) < 10 * HELD_OUT else ([v for i, v in enumerate(x) if i % HELD_OUT], x[::HELD_OUT])
 
-    Small samples set the limit on all of their values.
-    """
-    def parts(x: list) -> tuple[list, list]:
-        return (x, x) if len(x) < 10 * HELD_OUT else ([v for i, v in enumerate(x) if i % HELD_OUT], x[::HELD_OUT])
 
-    # a part that occurs once and is no word may be an unlabelled secret
-    ordinary = [(v, n) for v, n in ordinary if n > 1 or ORDINARY.fullmatch(v)]
-    (used, held), (plain, plain_held) = parts(values), parts(ordinary)
-    automaton, background = infer(used, alpha), Background(plain)
+def fit(values: list[str], background: Background, alpha: float = ALPHA, keep: float = KEEP) -> Automaton | None:
+    """A kind's automaton; ``keep`` of the held-out credentials reach its limit."""
+    used, held = held_out(values)
+    automaton = infer(used, alpha)
     if automaton:
         scores = sorted(ratio(automaton, background, classes(v)) for v in held)
-        limit = max(0.0, scores[min(len(scores) - 1, int((1 - keep) * len(scores)))] - 1e-6)  # sums may round otherwise
+        automaton.limit = max(0.0, scores[min(len(scores) - 1, int((1 - keep) * len(scores)))] - 1e-6)  # sums may round otherwise
+    return automaton
+
+
+def settle(automaton: Automaton, background: Background, alarms: int, words: int, false_positives: float = FALSE_POSITIVES) -> None:
+    """``alarms`` of the held-out ``words`` (by occurrence) reach the limit: if too many, the format is one of ordinary words as well."""
+    if alarms > false_positives * words:
+        automaton.limit = math.inf
+    automaton.least = least_length(automaton, background) if automaton.limit < math.inf else 0
+
+
+def learn(values: list[str], ordinary: list[tuple[str, int]], alpha: float = ALPHA, keep: float = KEEP,
+          false_positives: float = FALSE_POSITIVES) -> tuple[Automaton | None, Background]:
+    """A kind's automaton with its limit, and the background model of ``ordinary`` parts with their numbers of occurrences, from lists."""
+    # a part that occurs once and is no word may be an unlabelled secret
+    plain, plain_held = held_out([(v, n) for v, n in ordinary if n > 1 or ORDINARY.fullmatch(v)])
+    background = Background(plain)
+    automaton = fit(values, background, alpha, keep)
+    if automaton:
         words = [(v, n) for v, n in plain_held if ORDINARY.fullmatch(v)]
-        alarms = sum(n for v, n in words if ratio(automaton, background, classes(v)) >= limit)
-        if alarms > false_positives * sum(n for _, n in words):
-            limit = math.inf  # the format is one of ordinary words as well
-        automaton.limit = limit
-        automaton.least = least_length(automaton, background) if limit < math.inf else 0
+        alarms = sum(n for v, n in words if ratio(automaton, background, classes(v)) >= automaton.limit)
+        settle(automaton, background, alarms, sum(n for _, n in words), false_positives)
     return automaton, background
 
 
@@ -316,12 +351,16 @@ def grammar_spans(text: str, base: list[tuple], models: list[tuple[Automaton | N
         run = m[0]
         got = known.get(run) if known is not None else None
         if got is None:
-            got = [x for a, b in models if a and 0 < a.least <= len(run) for x in found_parts(run, 0, len(run), a, b)]
-            got.sort(key=lambda x: (-x[0], x[1], -x[2]))
+            # runs of the same classes have the same parts, and classes are their own classes
+            alike = run if "AKIA" in run else classes_of_run(run)
+            got = known.get(alike) if known is not None else None
+            if got is None:
+                got = [x for a, b in models if a and 0 < a.least <= len(run) for x in found_parts(run, 0, len(run), a, b)]
+                got.sort(key=lambda x: (-x[0], x[1], -x[2]))
             if known is not None and len(run) <= REMEMBERED:
                 if len(known) >= 1 << 17:
                     known.clear()
-                known[run] = got
+                known[run] = known[alike] = got
         if not got:
             continue
         near = [(s, e) for s, e in taken if s < m.end() and m.start() < e]
@@ -339,8 +378,8 @@ def _hits(b: pa.RecordBatch, pattern: str) -> list[bool]:
 
 
 def _least_drawn(found: DataFrame, sample: int) -> DataFrame:
-    """At most ``sample`` distinct (kind, value) of every kind by hash, with the number ``n`` of their rows."""
-    drawn = found.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n")).withColumn("draw", F.xxhash64(F.lit(9), "value"))
+    """At most ``sample`` distinct (kind, value) of every kind by hash."""
+    drawn = found.select("kind", "value").distinct().withColumn("draw", F.xxhash64(F.lit(9), "value"))
     # the least draws of each of 64 parts hold the least of all: no kind is sorted in one task
     part = drawn.withColumn("r", F.row_number().over(Window.partitionBy("kind", F.pmod("draw", F.lit(64))).orderBy("draw", "value"))).filter(F.col("r") <= sample)
     return part.withColumn("r", F.row_number().over(Window.partitionBy("kind").orderBy("draw", "value"))).filter(F.col("r") <= sample)
@@ -361,36 +400,99 @@ def credentials(documents: DataFrame, sample: int = SAMPLE) -> list[list[str]]:
     return out
 
 
-def ordinary_parts(text: str) -> list[str]:
-    """Runs outside base spans, and what lies between their symbols."""
-    taken, out = [(s, e) for s, _, e, _ in base_spans(text)], []
-    for m in RUN.finditer(text):
-        if not any(s < m.end() and m.start() < e for s, e in taken):
-            inner = [x for x in SYMBOL.split(m[0]) if x]
-            out += inner if inner == [m[0]] else [m[0], *inner]
-    return out
+def ordinary_runs(text: str, maybe: bool = True) -> list[str]:
+    """Runs outside base spans; ``maybe``: can the text hold any?"""
+    taken = [(s, e) for s, _, e, _ in base_spans(text)] if maybe else []
+    if not taken:
+        return RUN.findall(text)
+    return [m[0] for m in RUN.finditer(text) if not any(s < m.end() and m.start() < e for s, e in taken)]
 
 
-def background(documents: DataFrame, docs: int = BACKGROUND_DOCS, sample: int = 4 * SAMPLE) -> list[tuple[str, int]]:
-    """At most ``sample`` distinct ordinary parts, with their occurrences, of about ``docs`` documents chosen by hash."""
-    schema = pa.schema([("kind", pa.int32()), ("value", pa.string())])
-    every = max(1, documents.count() // docs)
+def ordinary_parts(run: str) -> list[str]:
+    """A run, and what lies between its symbols."""
+    if run.isalnum():
+        return [run]
+    inner = [x for x in SYMBOL.split(run) if x]
+    return inner if inner == [run] else [run, *inner]
+
+
+def ordinary(documents: DataFrame) -> DataFrame:
+    """``symbols, n, held, word`` of the ordinary parts of all documents: classes, occurrences, whether they are held out, whether words.
+
+    One row per classes, ``held`` and ``word``.  A part that occurs once and is no word may be an unlabelled secret.
+    """
+    schema = pa.schema([("value", pa.string()), ("n", pa.int64())])
+
+    def passed_on(runs: Counter) -> pa.RecordBatch:
+        parts: Counter = Counter()
+        for run, n in runs.items():
+            for part in ordinary_parts(run):
+                parts[part] += n
+        return C.batch(schema, list(parts), list(parts.values()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runs: Counter = Counter()
+        for b in batches:
+            for text, maybe in zip(b.column("text").to_pylist(), _hits(b, MAYBE)):
+                if text is not None:
+                    runs.update(ordinary_runs(text, maybe))
+                    if len(runs) > COUNTED:
+                        yield passed_on(runs)
+                        runs = Counter()
+        yield passed_on(runs)
+
+    rest = lambda c: F.translate(c, "".join(_CLASS), "".join(_CLASS.values()))
+    value = F.col("value")
+    symbols = F.when(value.startswith("AKIA"), F.concat(F.lit(classes("AKIA")), rest(F.substring(value, 5, (1 << 31) - 1)))).otherwise(rest(value))
+    found = documents.select("text").mapInArrow(run, "value string, n long").groupBy("value").agg(F.sum("n").alias("n"))
+    marked = found.withColumn("word", value.rlike(f"^(?:{ORDINARY.pattern})$")).filter("n > 1 OR word")
+    held = F.pmod(F.xxhash64(F.lit(11), "value"), F.lit(HELD_OUT)) == 0
+    return marked.groupBy(symbols.alias("symbols"), held.alias("held"), "word").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("values"))
+
+
+def background(parts: DataFrame) -> tuple[Background, DataFrame]:
+    """The model of the parts that aren't held out, and the held-out words (few parts are both): ``symbols, n``."""
+    schema = pa.schema([("around", pa.string()), ("n", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sums = class_triples(zip(b.column("symbols").to_pylist(), b.column("n").to_pylist()))
+            yield C.batch(schema, list(sums), list(sums.values()))
+
+    few = (parts.agg(F.sum("values")).first()[0] or 0) < 10 * HELD_OUT
+    used, words = (parts, parts.filter("word")) if few else (parts.filter("NOT held"), parts.filter("held AND word"))
+    sums = used.select("symbols", "n").mapInArrow(run, "around string, n long").groupBy("around").agg(F.sum("n").alias("n"))
+    return Background.of({r.around: r.n for r in sums.collect()}), words.select("symbols", "n")  # triples of a dozen classes
+
+
+def alarms(words: DataFrame, automata: list[Automaton | None], model: Background) -> tuple[list[int], int]:
+    """Occurrences of the words that reach each automaton's limit, and of all words."""
+    schema = pa.schema([*((f"a{k}", pa.int64()) for k in range(len(automata))), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for text in b.column("text").to_pylist():
-                values = ordinary_parts(text)
-                yield C.batch(schema, [0] * len(values), values)
+            symbols, n = b.column("symbols").to_pylist(), b.column("n").to_pylist()
+            over = [[c if a and ratio(a, model, x) >= a.limit else 0 for x, c in zip(symbols, n)] for a in automata]
+            yield C.batch(schema, *over, n)
 
-    some = documents.select("text").filter(F.col("text").isNotNull() & (F.pmod(F.xxhash64(F.lit(11), "text"), F.lit(every)) == 0))
-    return [(r.value, r.n) for r in _least_drawn(some.mapInArrow(run, "kind int, value string"), sample).select("value", "n", "draw").sort("draw").collect()]
+    sums = words.mapInArrow(run, ", ".join(f"{f.name} long" for f in schema)).agg(*[F.coalesce(F.sum(f.name), F.lit(0)) for f in schema]).first()
+    return list(sums[:-1]), sums[-1]
 
 
 def scan_secrets(documents: DataFrame, sample: int = SAMPLE, alpha: float = ALPHA, keep: float = KEEP, false_positives: float = FALSE_POSITIVES) -> DataFrame:
     """``doc_id`` and ``spans``: array of (kind, start, end), by start and kind (``grammar`` last)."""
     found = credentials(documents, sample)
-    ordinary = background(documents) if any(found) else []
-    models = [learn(v, ordinary, alpha, keep, false_positives) for v in found]
+    models: list[tuple[Automaton | None, Background]] = []
+    if any(found):
+        parts = C.cut(ordinary(documents), "secret-parts")
+        model, words = background(parts)
+        automata = [fit(v, model, alpha, keep) for v in found]
+        over, of = alarms(words, automata, model)
+        C.forget(parts)
+        for automaton, n in zip(automata, over):
+            if automaton:
+                settle(automaton, model, n, of, false_positives)
+            models.append((automaton, model))
     least = min((a.least for a, _ in models if a and a.least), default=None)
     pattern = None if least is None else long_runs(least).pattern
     span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
