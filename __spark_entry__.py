@@ -433,10 +433,19 @@ def q_stream_silver_two_writers(spark, sf):
     return _no_stamp(layout.read(spark, "silver", EMAIL))
 
 
+MICRO_BATCHES = 5  # a stored table is streamed in at most so many
+
+
 def _silver_as_stream(spark, layout, path=None):
+    """The stored rows as a stream.
+
+    A merge rewrites the state its keys touch, so what a run costs is the state times the micro-batches: their number
+    must not follow the files, which grow with the table.  Few files come one at a time.
+    """
     path = path or layout.path("silver", EMAIL)
-    schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    stored = spark.read.parquet(path)
+    files = max(1, -(-len(stored.inputFiles()) // MICRO_BATCHES))
+    return spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def _stream_cdc(spark, sf, name, stream_path=None, spec=None, rules=None, source=None, tables=None, **kw):
@@ -461,11 +470,14 @@ def q_stream_scd2(spark, sf):
 
 
 def _interleaved_silver(spark, sf, slices=4):
-    """Silver email rows, in one pass, as slices whose sequences interleave (late and early rows mixed)."""
+    """Silver email rows, in one pass, as slices whose sequences interleave (late and early rows mixed).
+
+    AQE sizes the files per slice (without the hint every task writes one into each), slice after slice.
+    """
     _prepare(spark)
     src = new_scratch_dir(spark, "ooo-src")
     dealt = F.pmod(F.xxhash64("ACCOUNT_ID", "UPDATED_AT"), F.lit(slices))
-    _silver(spark, sf)[EMAIL].withColumn("slice", dealt).write.mode("append").partitionBy("slice").parquet(src)
+    _silver(spark, sf)[EMAIL].withColumn("slice", dealt).hint("rebalance", "slice").write.mode("append").partitionBy("slice").parquet(src)
     return f"{src}/slice=*"
 
 
