@@ -180,8 +180,12 @@ def scd2(
     track_history_columns=None,
     track_history_except_columns=None,
     chunks: int | None = None,
+    stored: bool = False,
 ) -> DataFrame:
-    """Type 2 history: one row per version, ``__START_AT`` / ``__END_AT`` validity interval."""
+    """Type 2 history: one row per version, ``__START_AT`` / ``__END_AT`` validity interval.
+
+    ``stored``: ``df`` reads files that hold one row per (key, sequence) already (a CDC log): step 0 is done.
+    """
     d, keys = _prepare(df, keys, sequence_by, except_columns)
     name = _resolver(d)
     sequence_by = name(sequence_by)
@@ -199,7 +203,7 @@ def scd2(
     #    combines them map-side, so even a group of copies holding a third of all
     #    rows reaches the shuffle as one row per input partition.
     #    The result is written once, so the number of chunks follows its real row count.
-    deduped = materialize(dedup_key_seq(d, keys, sequence_by), "scd2-rows")
+    deduped = d if stored else materialize(dedup_key_seq(d, keys, sequence_by), "scd2-rows")
     n = chunks or max(1, -(-deduped.count() // CHUNK_ROWS))
 
     # 1. contiguous (key, seq) ranges, numbered before the only exchange of these rows: each chunk

@@ -3,7 +3,9 @@
 import __spark_entry__ as entry
 from pyspark.sql import functions as F
 from sluice.operators.scd import scd2
-from sluice.streaming.cdc import cdc_stream, cdc_view
+from sluice.sources.tables import list_dirs
+from sluice.sources.versions import VersionedState
+from sluice.streaming.cdc import cdc_stream, cdc_view, merge_scd2
 
 
 def _contacts(spark, n=400):
@@ -39,3 +41,19 @@ def test_slices_are_not_cut_by_tasks(spark, tmp_path):
     assert len(files) == 4
     spans = [spark.read.parquet(f).agg(F.min("UPDATED_AT"), F.max("UPDATED_AT")).first() for f in files]
     assert max(s[0] for s in spans) < min(s[1] for s in spans)
+
+
+def test_history_comes_from_the_written_log(spark, layout):
+    """The rows of the log are written once per part: no third copy of the de-duplicated log."""
+    from sluice.session import scratch_root
+
+    root = layout.state_path("history-of-log")
+    before = set(list_dirs(spark, scratch_root(spark)))
+    for part in range(2):
+        merge_scd2(spark, _contacts(spark).where(F.col("UPDATED_AT").cast("long") % 2 == part), root, ["ACCOUNT_ID"], "UPDATED_AT", ["processed_time"],
+                   track_history_columns=["EMAIL_ADDRESS"], buckets=3, batch_id=part)
+    new = set(list_dirs(spark, scratch_root(spark))) - before
+    assert not any(d.startswith("scd2-rows") for d in new)
+    got = VersionedState(spark, root).rows("history")
+    want = scd2(_contacts(spark), ["ACCOUNT_ID"], "UPDATED_AT", ["processed_time"], track_history_columns=["EMAIL_ADDRESS"])
+    assert got.count() == want.count() and got.exceptAll(want.select(got.columns)).isEmpty()
