@@ -57,3 +57,31 @@ def test_history_comes_from_the_written_log(spark, layout):
     got = VersionedState(spark, root).rows("history")
     want = scd2(_contacts(spark), ["ACCOUNT_ID"], "UPDATED_AT", ["processed_time"], track_history_columns=["EMAIL_ADDRESS"])
     assert got.count() == want.count() and got.exceptAll(want.select(got.columns)).isEmpty()
+
+
+def test_a_stream_broadcasts_only_what_is_small(spark, layout, monkeypatch):
+    """What a micro-batch broadcasts goes through the driver every time: the stream runs with a low limit, the session keeps its own."""
+    import dataclasses
+
+    from sluice.streaming import cdc
+
+    seen, merge = [], cdc.merge_scd1
+
+    def spy(session, batch_df, *args):
+        seen.append(batch_df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+        merge(session, batch_df, *args)
+
+    monkeypatch.setattr(cdc, "merge_scd1", spy)
+    path = layout.path("silver", "contacts")
+    _contacts(spark).repartition(2).write.parquet(path)
+    accounts = spark.range(20).select(F.format_string("ACC%08d", "id").alias("ACCOUNT_ID"), F.lit("ACTIVE").alias("ACCOUNT_STATUS"))
+    spec = dataclasses.replace(
+        entry._gold_specs()[entry.CURRENT], sources=[entry.EMAIL, entry.ACCOUNT],
+        sql=f"SELECT c.*, a.ACCOUNT_STATUS FROM __silver__.{entry.EMAIL} c JOIN __silver__.{entry.ACCOUNT} a ON a.ACCOUNT_ID = c.ACCOUNT_ID")
+    before = spark.conf.get(cdc.THRESHOLD)
+    sources = {entry.EMAIL: entry._silver_as_stream(spark, layout, path), entry.ACCOUNT: accounts}
+    query = cdc_stream(spark, spec, sources, layout, buckets=2)
+    query.awaitTermination()
+    assert query.exception() is None and seen == [cdc.BROADCAST_BYTES] * 2
+    assert spark.conf.get(cdc.THRESHOLD) == before
+    assert cdc_view(spark, spec, layout).count() == 20
