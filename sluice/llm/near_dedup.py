@@ -5,16 +5,16 @@
 2. *Signature*: one permutation (the hash) cut into ``BINS`` bins, each keeping its least value.  An empty bin borrows
    from a non-empty one chosen by a hash of (bin, attempt), which keeps collisions unbiased.  ``BANDS`` bands give the
    buckets: a pair at similarity 0.85 misses all of them with probability 3e-7.
-3. *Stars*: a bucket's members are only paired with its hub, so a bucket of m classes gives m - 1 candidates.
-   The hub is the member of most and largest buckets.  Candidates are confirmed on the full sets.  A bucket is settled when
-   its members other than the hub share a component.
-4. *Differences*: what is left unsettled is split exactly.  With hub h, let a member x lack r of h's shingles and have i others;
+3. *Stars*: a bucket's members are only brought to its hub, and the buckets of one hub are one group, so a bucket of m classes
+   gives m rows.  The hub is the member of most and largest buckets.  A group of at most ``GROUP`` classes and ``SHINGLES``
+   shingles is settled at once: one task counts the common shingles of all its pairs.
+4. *Differences*: a larger group is split exactly.  With hub h, let a member x lack r of h's shingles and have i others;
    W(x) = 100 r + P i (P: percent) and L = (100 - P) |h|.  Then x is linked with h if and only if W(x) <= L, and x and y are linked if and
    only if they share c differences from h with (100 + P) c >= W(x) + W(y) - L.  Of two members with different components, where W(x)
    <= W(y), x shares at least (W(x) + max(W(x), L + 1) - L) / (100 + P) and y at least (W(y) - L) / 100 of its differences, so by
    the prefix filter a rare difference of x is one of y too (``small`` and ``large`` say how many of the rarest are needed).  The members
-   of a group that share such a difference form its next groups (those of the same members once), again with one hub each, until
-   no group holds two components.  Every group is smaller than the one it came from, so the rounds end.  Texts of one template that
+   of a group that share such a difference form its next groups (those of the same members once), again with one hub each and
+   settled as in step 3 once they are small, until no group holds two components.  Every group is smaller than the one it came from, so the rounds end.  Texts of one template that
    are unlike each other have rare differences of their own and part soon; no pair of a bucket is lost.
 5. *Components* by contraction: every component takes its least neighbour as parent until no edge is left.
 
@@ -38,6 +38,7 @@ from . import common as C
 
 SHINGLE, PERCENT, BANDS, ROWS = 5, 85, 32, 6
 BINS = BANDS * ROWS
+GROUP, SHINGLES = 256, 1 << 18  # of a group that one task settles
 _TRIES = 64
 PROBES = (C.mix(np.arange(1, _TRIES * BINS + 1, dtype=np.uint64) * np.uint64(C.BASES[1])) % np.uint64(BINS)).astype(np.int64).reshape(_TRIES, BINS)
 _BAND_SALT = C.mix(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(C.BASES[2]))
@@ -110,7 +111,11 @@ def sketches(docs: DataFrame) -> DataFrame:
 # -- components ------------------------------------------------------------------
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node, comp`` for every node of an edge table, by contraction to the least neighbour."""
-    rest = C.cut(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b").distinct(), "cc-edges")
+    return _contracted(C.cut(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b").distinct(), "cc-edges"))
+
+
+def _contracted(rest: DataFrame) -> DataFrame:
+    """:func:`components` of a written table of distinct edges ``a, b``."""
     labels = None
     while True:
         both = rest.unionByName(rest.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -170,18 +175,57 @@ def _set_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bo
                     yield int(h[r]), int(node[r]), bool(wide[r]), hub_set, s, r == j - 1
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, percent: int, members_per_task: int = 250) -> DataFrame:
-    """The ``(hub, node)`` pairs whose full shingle sets are similar enough."""
+def joined_members(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """For each set the first one that it reaches over links between the sets."""
+    sizes, k = np.array([len(s) for s in sets]), len(sets)
+    values, owner = np.concatenate(sets), np.repeat(np.arange(k), sizes)
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    bounds = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1], [True])))
+    often = np.diff(bounds) > 1
+    column = np.repeat(np.cumsum(often) - 1, np.diff(bounds))
+    shared = np.repeat(often, np.diff(bounds))
+    column, owner = column[shared], owner[shared]
+    both = np.zeros((k, k), np.int64)
+    for low in range(0, int(often.sum()), 4096):  # ascending columns: a block of elements is a slice
+        i, j = np.searchsorted(column, (low, low + 4096))
+        block = np.zeros((k, 4096), np.float32)
+        block[owner[i:j], column[i:j] - low] = 1
+        both += (block @ block.T).astype(np.int64)
+    linked = 100 * both >= percent * (sizes[:, None] + sizes - both)
+    np.fill_diagonal(linked, True)
+    first = np.arange(k)
+    while (now := np.where(linked, first, k).min(axis=1)).tolist() != first.tolist():
+        first = now
+    return first
+
+
+def confirm(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """``hub, node``: the members of each small group (``hub, node``, the hub itself included) beside the first one that
+    they reach over links of full shingle sets inside the group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = []
-        for hub, node, _, hub_set, s, _ in _set_pairs(batches):
-            both = len(np.intersect1d(s, hub_set, assume_unique=True))
-            if 100 * both >= percent * (len(s) + len(hub_set) - both):
-                found.append((hub, node))
-        yield C.batch(_LINK, *(list(c) for c in zip(*found))) if found else C.batch(_LINK, [], [])
+        group, nodes, sets = None, [], []
+
+        def links() -> pa.RecordBatch:
+            first = joined_members(sets, percent) if len(sets) > 1 else np.arange(len(sets))
+            apart, named = np.flatnonzero(first != np.arange(len(sets))), np.array(nodes, np.int64)
+            return C.batch(_LINK, named[first[apart]], named[apart])
 
-    return _with_texts(pairs.withColumn("wide", F.lit(False)), texts, members_per_task).mapInArrow(run, "hub long, node long")
+        for b in batches:
+            data, bounds, _ = C.text_bytes(b.column("text"))
+            h, node = (np.asarray(b.column(c)) for c in ("hub", "node"))
+            for i, j in C.row_chunks(bounds):
+                for r, s in zip(range(i, j), shingle_sets(data[bounds[i] : bounds[j]], bounds[i : j + 1] - bounds[i])):
+                    if h[r] != group:
+                        yield links()
+                        group, nodes, sets = h[r], [], []
+                    nodes.append(node[r])
+                    sets.append(s)
+        yield links()
+
+    rows = members.join(texts, "node").select("hub", "node", "text").repartition("hub").sortWithinPartitions("hub", "node")
+    return rows.mapInArrow(run, "hub long, node long")
 
 
 def differences(pairs: DataFrame, texts: DataFrame, percent: int, members_per_task: int = 250) -> DataFrame:
@@ -207,16 +251,19 @@ def differences(pairs: DataFrame, texts: DataFrame, percent: int, members_per_ta
     return _with_texts(pairs, texts, members_per_task).mapInArrow(run, "hub long, node long, linked boolean, small int, large int, elements array<long>")
 
 
-def joined_up(state: DataFrame, links: DataFrame) -> DataFrame:
-    """``state`` (``node, rank, comp``) with the components that the links connect named alike."""
-    ends = state.select(F.col("node"), "comp")
-    edges = links.join(ends.select(F.col("node").alias("hub"), F.col("comp").alias("a")), "hub").join(
-        ends.select("node", F.col("comp").alias("b")), "node").filter("a <> b").select("a", "b")
+def joined_up(state: DataFrame, links: DataFrame, fresh: bool) -> DataFrame:
+    """``state`` (``node, n, rank, comp``) with the components that the links connect named alike; ``fresh``: each node is its own."""
+    if fresh:
+        edges = links.select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    else:
+        ends = state.select(F.col("node"), "comp")
+        edges = links.join(ends.select(F.col("node").alias("hub"), F.col("comp").alias("a")), "hub").join(
+            ends.select("node", F.col("comp").alias("b")), "node").filter("a <> b").select("a", "b")
     edges = C.cut(edges.distinct(), "near-joins")
     if edges.isEmpty():
         return state
-    new = components(edges).select(F.col("node").alias("old"), F.col("comp").alias("new"))
-    out = state.join(new, state.comp == new.old, "left").select("node", "rank", F.coalesce("new", "comp").alias("comp"))
+    new = _contracted(edges).select(F.col("node").alias("old"), F.col("comp").alias("new"))
+    out = state.join(new, state.comp == new.old, "left").select("node", "n", "rank", F.coalesce("new", "comp").alias("comp"))
     return C.cut(out, "near-state")
 
 
@@ -226,22 +273,36 @@ def _open(members: DataFrame) -> DataFrame:
     return sides.filter("led AND low < high").select("grp")
 
 
-def part_by_differences(groups: DataFrame, state: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """``state`` after every linked pair of a group (``grp, node``) is in one component; see step 4 above."""
-    groups, first = groups.withColumn("leads", F.lit(True)), True  # only pairs with a member that leads are in question
+def part_by_differences(members: DataFrame, state: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """``state`` after every linked pair of a group is in one component; see steps 3 and 4 above.
+
+    ``members``: ``grp, leads`` and their row of ``state``.  Only pairs with a member that leads are in question.
+    """
+    groups, first = None, True
     while True:
-        ranked = groups.join(state, "node")
-        hubs = ranked.groupBy("grp").agg(F.max_by(F.struct("node", "comp"), F.struct("leads", "rank", "node")).alias("h"))
-        starred = ranked.join(C.detached(hubs, "grp"), "grp").filter("node <> h.node")
+        hubs = members.groupBy("grp").agg(F.max_by(F.struct("node", "comp"), F.struct("leads", "rank", "node")).alias("h"))
         hub = F.col("h.node").alias("hub")
-        starred = starred.select((hub if first else F.col("grp")).alias("grp"), hub, F.col("h.comp").alias("hub_comp"), "node", "comp", "leads")
-        starred = C.cut(starred.distinct(), "near-starred")  # buckets of one hub are one group
-        split = _open(starred).withColumn("open", F.lit(True))
-        asked = starred.join(C.detached(split, "grp"), "grp", "left").filter("open OR comp <> hub_comp").groupBy("hub", "node").agg(
-            F.coalesce(F.max("open"), F.lit(False)).alias("wide"))
-        found = C.cut(differences(asked, texts, percent), "near-differences")
-        state = joined_up(state, found.filter("linked").select("hub", "node"))
-        now = starred.select("grp", "hub", "node", "leads").join(state.select("node", "comp"), "node")
+        stars = members.join(C.detached(hubs, "grp"), "grp").select(
+            (hub if first else F.col("grp")).alias("grp"), hub, F.col("h.comp").alias("hub_comp"), "node", "comp", "n", "leads")
+        stars = C.cut(stars.distinct() if first else stars, "near-stars")  # buckets of one hub are one group
+        beside = stars.select("hub", "node", "n")
+        sizes = (beside if first else beside.distinct()).groupBy("hub").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("n"))
+        sizes = C.cut(sizes.select("hub", F.expr(f"c <= {GROUP} AND n <= {SHINGLES}").alias("small")), "near-sizes")
+        told = stars.drop("n").join(sizes, "hub")
+        small = told.filter("small").select("hub", "node")
+        links = confirm(small if first else small.distinct(), texts, percent)
+        done = sizes.filter("NOT small").isEmpty()
+        if not done:
+            large = told.filter("NOT small AND node <> hub")
+            split = _open(large).withColumn("open", F.lit(True))
+            asked = large.join(C.detached(split, "grp"), "grp", "left").filter("open OR comp <> hub_comp").groupBy("hub", "node").agg(
+                F.coalesce(F.max("open"), F.lit(False)).alias("wide"))
+            found = C.cut(differences(asked, texts, percent), "near-differences")
+            links = links.unionByName(found.filter("linked").select("hub", "node"))
+        state = joined_up(state, links, fresh=first)
+        if done:
+            return state
+        now = large.select("grp", "hub", "node", "leads").join(state.select("node", "comp"), "node")
         now = C.cut(now.join(C.detached(_open(now), "grp"), "grp").select("grp", "hub", "node", "comp"), "near-now")
         each = found.join(now.select("hub", "node", "comp").distinct(), ["hub", "node"]).select(
             "hub", "node", "comp", "small", "large", F.size("elements").alias("size"), F.explode("elements").alias("e"))
@@ -257,36 +318,26 @@ def part_by_differences(groups: DataFrame, state: DataFrame, texts: DataFrame, p
         same = parts_open.groupBy("grp").agg(*[F.bit_xor(F.xxhash64("node", "leads", F.lit(k))).alias(f"s{k}") for k in (0, 1)], F.count(F.lit(1)).alias("c"))
         same = same.groupBy("s0", "s1", "c").agg(F.min("grp").alias("grp")).select("grp")
         old, groups = groups, C.cut(parts_open.join(C.detached(same, "grp"), "grp").select("grp", "node", "leads"), "near-groups")
-        C.forget(old, starred, found, now, each, parts)
+        C.forget(*([] if old is None else [old]), stars, sizes, found, now, each, parts)
         first = False
         if groups.isEmpty():
             return state
+        members = groups.join(state, "node")
 
 
 def linked_classes(nodes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """``node, comp`` of the classes that share a bucket with another one.  ``nodes``: node, doc_id, tkey, n, bands."""
     buckets = nodes.select("node", "n", F.explode("bands").alias("bucket"))
     several = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    members = C.cut(buckets.join(C.detached(several, "bucket"), "bucket"), "near-members")
     # members of many and large buckets are the most central ones: good hubs
-    state = C.cut(members.groupBy("node").agg(F.sum("c").alias("rank")).withColumn("comp", F.col("node")), "near-state")
+    state = buckets.join(C.detached(several, "bucket"), "bucket").groupBy("node").agg(
+        F.max("n").alias("n"), F.sum("c").alias("rank"), F.collect_list("bucket").alias("buckets"))  # a node has BANDS of them at most
+    state = C.cut(state.withColumn("comp", F.col("node")), "near-state")
     involved = nodes.select("node", "doc_id", "tkey").join(state.select("node"), "node").alias("i")
     # rows that agree in key and text have the same set, so one of them is enough
     texts = C.cut(docs.alias("d").join(involved, C.same_row("d", "i")).select("i.node", "d.text").dropDuplicates(["node"]), "near-texts")
-    ranked = members.select("bucket", "node", "n").join(state.select("node", "rank"), "node")
-    hubs = C.cut(ranked.groupBy("bucket").agg(F.max_by(F.struct("node", "n"), F.struct("rank", "node")).alias("h")), "near-hubs")
-    star = members.join(C.detached(hubs, "bucket"), "bucket").filter("node <> h.node AND 100 * least(n, h.n) >= %d * greatest(n, h.n)" % percent)
-    pairs = C.cut(star.select(F.col("h.node").alias("hub"), "node").distinct(), "near-pairs")
-    state = joined_up(state, confirm(pairs, texts, percent))
-    # a hub's pairs in its bucket are settled; so is a bucket whose other members share a component
-    rest = members.join(hubs.select("bucket", F.col("h.node").alias("node")), ["bucket", "node"], "left_anti")
-    rest = C.cut(rest.select("bucket", "node").join(state.select("node", "comp"), "node"), "near-rest")
-    unsettled = rest.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("bucket")
-    left = C.cut(rest.join(C.detached(unsettled, "bucket"), "bucket").select(F.col("bucket").alias("grp"), "node"), "near-left")
-    C.forget(members, hubs, pairs, rest)
-    if not left.isEmpty():
-        state = part_by_differences(left, state, texts, percent)
-    return state.select("node", "comp")
+    members = state.select(F.explode("buckets").alias("grp"), F.lit(True).alias("leads"), "node", "n", "rank", "comp")
+    return part_by_differences(members, state.drop("buckets"), texts, percent).select("node", "comp")
 
 
 def grouped(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -294,10 +345,9 @@ def grouped(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows = C.cut(sketches(docs), "near-sketches")
     full = rows.filter("n > 0")
     classes = full.groupBy("k1", "k2").agg(
-        F.min("doc_id").alias("least"), F.min_by(F.struct("doc_id", "tkey", "n"), F.struct("doc_id", "tkey")).alias("at"))
+        F.min("doc_id").alias("least"), F.min_by(F.struct("doc_id", "tkey", "n", "bands"), F.struct("doc_id", "tkey")).alias("at"))
     named = C.cut(classes.withColumn("node", F.monotonically_increasing_id()), "near-classes")
-    first = named.select("node", F.col("at.doc_id").alias("doc_id"), F.col("at.tkey").alias("tkey"), F.col("at.n").alias("n")).alias("c")
-    nodes = rows.alias("r").join(first, C.same_row("r", "c")).select("c.node", "c.doc_id", "c.tkey", "c.n", "r.bands").dropDuplicates(["node"])
+    nodes = named.select("node", "at.*")
     comps = linked_classes(nodes, docs, percent)
     least = named.join(comps, "node", "left").select("k1", "k2", "node", F.coalesce("comp", "node").alias("comp"), "least")
     least = C.cut(least, "near-components")

@@ -103,3 +103,34 @@ def test_prefixes_of_differences_hold_every_link():
                         tried += 1
                         assert rows[x][1] & large_y
     assert tried > 200
+
+
+@pytest.mark.parametrize("group", [256, 8])
+def test_small_groups_are_settled_at_once(spark, counted, monkeypatch, group):
+    """A group that fits one task takes one pass and no round of differences; larger ones are split until they fit."""
+    rounds, plain = [], N.differences
+    monkeypatch.setattr(N, "differences", lambda *a, **k: (rounds.append(1), plain(*a, **k))[1])
+    monkeypatch.setattr(N, "GROUP", group, raising=False)
+    texts = _family(random.Random(group), 60, 6)
+    got = {r.doc_id: r.component_id for r in N.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert got == brute(texts)
+    assert bool(rounds) == (group == 8) and (group == 8 or len(counted) == 1)
+
+
+def test_members_joined_by_counts_match_all_pairs():
+    rng = np.random.default_rng(9)
+    for size in (60, 6000):  # the elements of one block, and of several
+        base = rng.choice(1 << 40, size, replace=False).astype(np.uint64)
+        for k in (2, 7, 40):
+            sets = []
+            for _ in range(k):
+                keep = base[rng.random(size) > rng.choice([0.0, 0.05, 0.12])]
+                sets.append(np.union1d(keep, rng.integers(1 << 41, 1 << 42, rng.integers(0, size // 10)).astype(np.uint64)))
+            want = list(range(k))
+            for i in range(k):
+                for j in range(i):
+                    both = len(np.intersect1d(sets[i], sets[j]))
+                    if 100 * both >= 85 * (len(sets[i]) + len(sets[j]) - both):
+                        a, b = sorted((want[i], want[j]))
+                        want = [a if w == b else w for w in want]
+            assert N.joined_members(sets, 85).tolist() == want
