@@ -6,7 +6,8 @@
    tokens at once converges to the terminal token of each component, which labels its group; the end of a document ends a group too.
 3. *Counts*: chunks send each distinct id pair once, with the number of their documents that hold it.  Sums give the corpus-wide
    counts and each A id's highest, and go back to the chunks that hold the pair.  No table of pairs is broadcast, and a frequent pair is
-   one row per chunk, not per document.
+   one row per chunk, not per document.  Documents and answers travel as rows of their own and meet one chunk at a time, so no
+   row and no batch of the last step grows with the partition.
 
 Pairs inside a group are formed of its distinct ids with their multiplicities, not of token occurrences.
 
@@ -49,9 +50,6 @@ def _byte_letters() -> dict[str, int]:
 @functools.lru_cache(maxsize=2)
 def byte_bpe(path: str) -> tuple[Callable[[list[str]], list[list[int]]], tuple[bytes, ...]]:
     """Encoder without special tokens, and the bytes of every id, of a byte-level BPE file."""
-    from tokenizers import Tokenizer
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     with open(path, encoding="utf-8") as fh:
         model = json.load(fh)["model"]
     letters = _byte_letters()
@@ -59,11 +57,18 @@ def byte_bpe(path: str) -> tuple[Callable[[list[str]], list[list[int]]], tuple[b
     for token, i in model["vocab"].items():
         if all(c in letters for c in token):
             table[i] = bytes(letters[c] for c in token)
-    whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
+
+    @functools.cache
+    def whole():
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        slower = Tokenizer.from_file(path)
+        slower.encode_special_tokens = True
+        return slower
 
     def plain(texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in whole.encode_batch_fast(texts, add_special_tokens=False)]
+        return [e.ids for e in whole().encode_batch_fast(texts, add_special_tokens=False)]
 
     merged = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model["merges"]]
     if any(model["vocab"][m] != 256 + k for k, m in enumerate(merged)):
@@ -139,10 +144,11 @@ def _linked(label_a, ids_a, label_b, ids_b, groups: int, size: int):
     return ga[left], a[left] << 32 | b[right], ca[left] * cb[right]
 
 
-_ARRAYS = {"n_a": "int", "n_b": "int", "n_groups": "int", "n_links": "bigint", "sha": "string", "sizes": "int", "which": "int", "links": "bigint", "pairs": "bigint", "holders": "int"}
+_CELLS = {"n_a": "int", "n_b": "int", "n_groups": "int", "n_links": "bigint", "sha": "string"}
+_ARRAYS = {"which": "int", "links": "bigint", "pairs": "bigint", "holders": "int"}
 _PA = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}
-_CHUNK = pa.schema([("chunk", pa.int64()), ("doc_id", pa.list_(pa.int64()))] + [(k, pa.list_(_PA[t])) for k, t in _ARRAYS.items()])
-_CHUNK_DDL = "chunk long, doc_id array<long>, " + ", ".join(f"{k} array<{t}>" for k, t in _ARRAYS.items())
+_CODED = pa.schema([("chunk", pa.int64()), ("doc_id", pa.int64())] + [(k, _PA[t]) for k, t in _CELLS.items()] + [(k, pa.list_(_PA[t])) for k, t in _ARRAYS.items()])
+_CODED_DDL = "chunk long, doc_id long, " + ", ".join([f"{k} {t}" for k, t in _CELLS.items()] + [f"{k} array<{t}>" for k, t in _ARRAYS.items()])
 
 
 def align_texts(texts: list[str | None], tok_a, tok_b) -> dict[str, np.ndarray | list]:
@@ -200,7 +206,7 @@ def _chunk(texts: list[str | None], bounds: np.ndarray, tok_a, tok_b) -> dict[st
 
 
 def encoded(docs: DataFrame, folder: str, a_file: str, b_file: str, chunk_bytes: int) -> DataFrame:
-    """One row per chunk of documents, see :func:`_chunk`."""
+    """One row per document, see :func:`_chunk`; the first one of a chunk has the chunk's ``pairs`` and ``holders``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok_a, tok_b = byte_bpe(f"{folder}/{a_file}"), piece_bpe(f"{folder}/{b_file}")
@@ -209,13 +215,14 @@ def encoded(docs: DataFrame, folder: str, a_file: str, b_file: str, chunk_bytes:
             _, bounds, _ = C.text_bytes(b.column("text"))
             for i, j in C.row_chunks(bounds, chunk_bytes):
                 got = _chunk(b.column("text").slice(i, j - i).to_pylist(), bounds[i : j + 1] - bounds[i], tok_a, tok_b)
-                row = [pa.array([number], pa.int64()), pa.ListArray.from_arrays(pa.array([0, j - i], pa.int32()), b.column("doc_id").slice(i, j - i))]
-                for k, t in _ARRAYS.items():
-                    row.append(pa.ListArray.from_arrays(pa.array([0, len(got[k])], pa.int32()), pa.array(got[k], _PA[t])))
+                own, first = np.concatenate(([0], np.cumsum(got["sizes"]))), np.full(j - i + 1, len(got["pairs"]))
+                first[0] = 0
+                cuts = {"which": own, "links": own, "pairs": first, "holders": first}
+                lists = [pa.ListArray.from_arrays(pa.array(cuts[k], pa.int32()), pa.array(got[k], _PA[t])) for k, t in _ARRAYS.items()]
+                yield C.batch(_CODED, np.full(j - i, number), b.column("doc_id").slice(i, j - i), *[got[k] for k in _CELLS], *lists)
                 number += 1
-                yield pa.RecordBatch.from_arrays(row, schema=_CHUNK)
 
-    return docs.mapInArrow(run, _CHUNK_DDL)
+    return docs.mapInArrow(run, _CODED_DDL)
 
 
 _OUT = pa.schema([("doc_id", pa.int64())] + [(k, pa.int64()) for k in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")] + [("groups_sha256", pa.string())])
@@ -224,30 +231,26 @@ _OUT = pa.schema([("doc_id", pa.int64())] + [(k, pa.int64()) for k in ("n_a", "n
 def align(documents: DataFrame, folder: str = FOLDER, a_file: str = A_FILE, b_file: str = B_FILE, chunk_bytes: int = CHUNK) -> DataFrame:
     """``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256`` of every document."""
     docs = documents.select(F.col("doc_id").cast("long"), "text")
-    chunks = C.cut(encoded(docs, folder, a_file, b_file, chunk_bytes), "align-chunks")
-    uses = chunks.select("chunk", F.posexplode(F.arrays_zip("pairs", "holders")).alias("k", "p")).select("chunk", "k", "p.pairs", "p.holders")
+    coded = C.cut(encoded(docs, folder, a_file, b_file, chunk_bytes), "align-chunks")
+    uses = coded.select("chunk", F.posexplode(F.arrays_zip("pairs", "holders")).alias("k", "p")).select("chunk", "k", "p.pairs", "p.holders")
     counts = uses.groupBy("pairs").agg(F.sum("holders").alias("count"))
     a_id = F.shiftright("pairs", 32)
     highest = counts.groupBy(a_id.alias("a")).agg(F.max("count").alias("highest"))
     ranked = C.cut(counts.join(highest, a_id == F.col("a")).select("pairs", "count", (F.col("count") == F.col("highest")).alias("best")), "align-counts")
-    answers = uses.select("chunk", "k", "pairs").join(ranked, "pairs").groupBy("chunk").agg(F.collect_list(F.struct("k", "count", "best")).alias("answers"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in range(b.num_rows):
-                cell = lambda c: b.column(c)[r].values
-                count, best = np.zeros(len(cell("pairs")), np.int64), np.zeros(len(cell("pairs")), bool)
-                found = cell("answers")
-                if found is not None:
-                    k = np.asarray(found.field("k"))
-                    count[k], best[k] = np.asarray(found.field("count")), found.field("best").to_numpy(zero_copy_only=False)
-                which, links = np.asarray(cell("which")), np.asarray(cell("links"))
-                cuts = np.concatenate(([0], np.cumsum(np.asarray(cell("sizes")))))
-                sums = [np.diff(np.concatenate(([0], np.cumsum(x)))[cuts]) for x in (links * best[which], links * count[which])]
-                yield C.batch(_OUT, cell("doc_id"), *[cell(c).cast(pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links")], *sums, cell("sha"))
-
-    needed = chunks.select("chunk", "doc_id", "n_a", "n_b", "n_groups", "n_links", "sha", "sizes", "which", "links", "pairs")
-    return needed.join(answers, "chunk", "left").mapInArrow(run, _OUT_DDL)
+    answers = uses.select(F.col("chunk").alias("of"), "k", "pairs").join(ranked, "pairs").select("of", "k", "count", "best")
+
+    def run(rows: pa.Table, found: pa.Table) -> pa.Table:
+        k = found["k"].to_numpy()
+        count, best = np.empty(len(k), np.int64), np.empty(len(k), bool)
+        count[k], best[k] = found["count"].to_numpy(), found["best"].to_numpy()
+        which, links = (rows[c].combine_chunks() for c in ("which", "links"))
+        cuts = np.concatenate(([0], np.cumsum(which.value_lengths().to_numpy())))
+        which, links = which.flatten().to_numpy(), links.flatten().to_numpy()
+        sums = [np.diff(np.concatenate(([0], np.cumsum(x)))[cuts]) for x in (links * best[which], links * count[which])]
+        return pa.table([rows["doc_id"], *[rows[c].cast(pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links")], *sums, rows["sha"]], schema=_OUT)
+
+    needed = coded.select("chunk", "doc_id", "n_a", "n_b", "n_groups", "n_links", "sha", "which", "links")
+    return needed.groupBy("chunk").cogroup(answers.groupBy("of")).applyInArrow(run, _OUT_DDL)
 
 
 _OUT_DDL = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"

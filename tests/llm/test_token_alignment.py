@@ -85,6 +85,18 @@ def test_alignment_of_an_empty_table(spark):
     assert [tuple(r) for r in T.align(spark.createDataFrame([(1, None)], "doc_id long, text string")).collect()] == [(1, 0, 0, 0, 0, 0, 0, "")]
 
 
+def test_no_row_holds_a_chunk_of_documents(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(1)
+    rows = T.encoded(docs, T.FOLDER, T.A_FILE, T.B_FILE, T.CHUNK).collect()
+    assert Counter(r["doc_id"] for r in rows) == Counter(range(len(texts)))
+    assert all(len(set(r["which"])) == len(r["which"]) == len(r["links"]) for r in rows)
+    pairs = [r["pairs"] for r in rows if r["pairs"]]
+    assert len(pairs) == len({r["chunk"] for r in rows}) == 1
+    assert Counter(k for r in rows for k in r["which"]) == Counter(dict(enumerate(next(r["holders"] for r in rows if r["pairs"]))))
+    plan = T.align(docs)._jdf.queryExecution().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "collect_list" not in plan
+
+
 def test_labels_of_random_tilings():
     rng = np.random.default_rng(9)
     for size, share in ((1, 1.0), (50, 0.5), (4000, 0.02), (4000, 0.9)):
